@@ -14,12 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from changevault.functions.coerce import coerce, required_violations
 from changevault.functions.records import extract_fields, spill_overflow
 from changevault.model import (
-    MAX_IN_FLIGHT, ColumnDef, ObjectSpec, check_case_collisions, col, excludes_frame, is_system,
-    pick_specs, specs_frame,
-)
-from changevault.operators.schema import (
-    apply_removed_policy, columns_from_catalog, detect_drift, without_intentional,
+    MAX_IN_FLIGHT, ColumnDef, DriftHalted, ObjectSpec, check_case_collisions, col, excludes_frame,
+    is_system, pick_specs,
 )
+from changevault.operators.schema import columns_from_catalog, detect_drift, without_intentional
 from changevault.operators.watermark import drop_seen, incremental, job_start_watermark
 from changevault.session import from_micros, moment, now, to_micros
 from changevault.sources.extract import pick_fields, read_extract
@@ -69,10 +67,11 @@ def prepare_table(spark: SparkSession, spec: ObjectSpec, catalog: DataFrame, roo
     drift = without_intentional(
         detect_drift(_frame(spark, spec, stored), _frame(spark, spec, desired)), catalog
     )
-    apply_removed_policy(drift, specs_frame(spark, [spec]))
     found = {k: [] for k in ("new", "removed", "type_change")}
-    for row in drift.orderBy("name").collect():
+    for row in drift.select("change", "name").collect():
         found[row.change].append(row.name)
+    if found["removed"] and spec.removed_field_policy == "halt":
+        raise DriftHalted(f"object {spec.name}: columns removed at the source: {sorted(found['removed'])}")
     if not spec.overflow:
         added = [ColumnDef(c.name, c.type) for c in desired if c.name in set(found["new"])]
         check_case_collisions(c.name for c in [*stored, *added])
@@ -81,7 +80,7 @@ def prepare_table(spark: SparkSession, spec: ObjectSpec, catalog: DataFrame, roo
     return Prepared(
         tuple(stored),
         tuple(c.name for c in desired),
-        tuple(found["new"]), tuple(found["removed"]), tuple(found["type_change"]),
+        *[tuple(sorted(found[k])) for k in ("new", "removed", "type_change")],
     )
 
 
@@ -185,7 +184,9 @@ def sync_all(
         if failed is not None:
             for future in waiting:
                 future.cancel()
-            spark.interruptTag(tag)
+            while waiting:  # a running sync may submit another job after an interrupt
+                spark.interruptTag(tag)
+                waiting = wait(waiting, timeout=0.5).not_done
             raise failed.exception()
     return [f.result() for f in futures]
 

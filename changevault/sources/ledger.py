@@ -122,10 +122,14 @@ class History:
         merges = [e for e in self.entries if e.kind == CURRENT]
         return max(merges, key=lambda e: (e.committed_us, e.commit_id)).commit_id if merges else None
 
+    @property
+    def covered(self) -> set[str]:
+        return {c for e in self.entries if e.kind == CURRENT for c in e.covers or ()}
+
     @property
     def pending(self) -> list[str]:
         """Raw commits no merge has covered. One that maintenance replaced means: all live ones."""
-        covered = {c for e in self.entries if e.kind == CURRENT for c in e.covers or ()}
+        covered = self.covered
         waiting = [
             e.commit_id for e in self.entries
             if e.kind == RAW and e.commit_id not in covered and e.n_rows > 0
@@ -134,7 +138,7 @@ class History:
         return waiting if set(waiting) <= set(live) else live
 
     def covers_after(self, merged: Sequence[str]) -> list[str]:
-        """Commits to mark as covered once ``merged`` are in: they and what they replaced."""
+        """Commits newly covered once ``merged`` are in: they and what they replaced."""
         parents = {e.commit_id: list(e.replaces or ()) for e in self.entries}
         reached, todo = set(), list(merged)
         while todo:
@@ -142,7 +146,7 @@ class History:
             if commit not in reached:
                 reached.add(commit)
                 todo.extend(parents.get(commit, ()))
-        return sorted(reached)
+        return sorted(reached - self.covered)
 
 
 def history(spark: SparkSession, root: str, object_name: str) -> History:

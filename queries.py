@@ -347,56 +347,59 @@ def csv_mixed_headers(spark, sf_dir):
 # ---- coercion -------------------------------------------------------------------------------
 
 
-def _coerce_query(type_name: str, source: str, key: str, text: Column, sql_value: str,
-                  bad: str, read: Callable[[Column], Column] = lambda c: c):
-    """Text of a column, with empty and unreadable text mixed in, coerced to one type.
-
-    Every 7th key has empty text and every 11th the bad text; the rest keeps its value.
+def _coerce_query(
+    type_name: str, source: str, key: str, text: str, bad: str, sql_value: str,
+    sql_empty: str = "NULL", sql_bad: str = "NULL", read: Callable[[Column], Column] = lambda c: c,
+):
+    """A Spark SQL text expression, with empty and unreadable text mixed in, coerced to one type.
+
+    Every 7th key has empty text and every 11th the bad text; the rest keeps its value. ``read``
+    brings the typed value into a form both engines print alike.
     """
-    empty_sql = "''" if type_name == "string" else "NULL"
-    bad_sql = f"'{bad}'" if type_name == "string" else "NULL"
-    if type_name == "binary":
-        bad_sql = sql_value.replace("$x", f"'{bad}'")
-    rejected = "false" if type_name in ("string", "binary") else f"{key} % 7 <> 0 AND {key} % 11 = 0"
+    rejected = f"{key} % 7 <> 0 AND {key} % 11 = 0" if sql_bad == "NULL" else "false"
 
     @query(f"coerce_{type_name}", f"""
-    SELECT {key} AS id, CASE WHEN {key} % 7 = 0 THEN {empty_sql} WHEN {key} % 11 = 0 THEN {bad_sql}
-      ELSE {sql_value.replace('$x', 'text')} END AS value, {rejected} AS rejected
+    SELECT {key} AS id, {rejected} AS rejected, CASE WHEN {key} % 7 = 0 THEN {sql_empty}
+      WHEN {key} % 11 = 0 THEN {sql_bad} ELSE {sql_value} END AS value
     FROM {source}
     """)
     def run(spark, sf_dir):
         id_col = F.col(key)
-        mixed = F.when(id_col % 7 == 0, "").when(id_col % 11 == 0, bad).otherwise(text)
+        mixed = F.when(id_col % 7 == 0, "").when(id_col % 11 == 0, bad).otherwise(F.expr(text))
         frame = table(spark, sf_dir, source).select(id_col.alias("id"), mixed.alias("value"))
         checked = frame.withColumn("rejected", is_rejected(F.col("value"), type_name))
         typed = coerce(checked, [ColumnDef("value", type_name)], on_error="null")
         return typed.withColumn("value", read(F.col("value")))
 
 
-_coerce_query("string", "documents", "doc_id", F.col("text"), "$x", "anything")
-_coerce_query("long", "orders", "o_orderkey", F.col("o_custkey").cast("string"),
-              "CAST(o_custkey AS VARCHAR)", "1.0", lambda c: c.cast("string"))
-_coerce_query("int", "part", "p_partkey", F.concat(F.lit("+"), F.col("p_size")),
-              "CAST(p_size AS VARCHAR)", "2147483648", lambda c: c.cast("string"))
-_coerce_query("double", "orders", "o_orderkey", F.col("o_totalprice").cast("string"),
-              "o_totalprice", "1e999")
-_coerce_query("float", "customer", "c_custkey", F.col("c_acctbal").cast("string"),
-              "CAST(CAST(c_acctbal AS FLOAT) AS DOUBLE)", "1.0d", lambda c: c.cast("double"))
-_coerce_query("boolean", "events", "event_id",
-              F.when(F.col("event_type") == "click", "t").otherwise("False"),
-              "CAST(event_type = 'click' AS VARCHAR)", "yes", lambda c: c.cast("string"))
-_coerce_query("date", "orders", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"),
-              "strftime(o_orderdate, '%Y-%m-%d')", "2023-02-29", lambda c: c.cast("string"))
-_coerce_query("timestamp", "events", "event_id",
-              F.when(F.col("event_type") == "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"))
-              .when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+01:00'"))
-              .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
-              "CASE event_type WHEN 'click' THEN date_trunc('millisecond', ts) "
-              "WHEN 'view' THEN ts - INTERVAL 1 HOUR ELSE ts END",
-              "2024-01-01", lambda c: c.cast("timestamp_ntz"))
-_coerce_query("binary", "pages", "page_id", F.col("html"), "sha256($x)", "%%%",
-              lambda c: F.sha2(c, 256))
-ORACLES["coerce_binary"] = ORACLES["coerce_binary"].replace("sha256(text)", "sha256(html)")
+def _text(value: Column) -> Column:
+    return value.cast("string")
+
+
+_coerce_query("string", "documents", "doc_id", "text", "anything", "text", "''", "'anything'")
+_coerce_query("long", "orders", "o_orderkey", "CAST(o_custkey AS STRING)", "1.0",
+              "CAST(o_custkey AS VARCHAR)", read=_text)
+_coerce_query("int", "part", "p_partkey", "'+' || p_size", "2147483648",
+              "CAST(p_size AS VARCHAR)", read=_text)
+_coerce_query("double", "orders", "o_orderkey", "CAST(o_totalprice AS STRING)", "1e999", "o_totalprice")
+_coerce_query("float", "customer", "c_custkey", "CAST(c_acctbal AS STRING)", "1.0d",
+              "CAST(CAST(c_acctbal AS FLOAT) AS DOUBLE)", read=lambda c: c.cast("double"))
+_coerce_query("boolean", "events", "event_id", "IF(event_type = 'click', 't', 'False')",
+              "yes", "CAST(event_type = 'click' AS VARCHAR)", read=_text)
+_coerce_query("date", "orders", "o_orderkey", "CAST(CAST(o_orderdate AS DATE) AS STRING)", "2023-02-29",
+              "strftime(o_orderdate, '%Y-%m-%d')", read=_text)
+_coerce_query(
+    "timestamp", "events", "event_id",
+    """CASE event_type WHEN 'click' THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'")
+    WHEN 'view' THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+01:00'")
+    ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END""",
+    "2024-01-01",
+    "CASE event_type WHEN 'click' THEN date_trunc('millisecond', ts) "
+    "WHEN 'view' THEN ts - INTERVAL 1 HOUR ELSE ts END",
+    read=lambda c: c.cast("timestamp_ntz"),
+)
+_coerce_query("binary", "pages", "page_id", "html", "%%%", "sha256(html)",
+              sql_bad="sha256('%%%')", read=lambda c: F.sha2(c, 256))
 
 
 def _messy_orders(spark, sf_dir) -> DataFrame:
@@ -749,32 +752,34 @@ def compact(spark, sf_dir):
     return _orders_back(cv.read_raw(spark, ORDERS, root))
 
 
-CUSTOMERS_ORDERS = ObjectSpec(
+CUSTOMER_ORDERS = ObjectSpec(
     "customer_orders", "o_custkey", "o_orderdate", partition_by=(PartitionBy("o_orderdate", "month"),)
 )
 
 
 @query("expire", """
-WITH old AS (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-  FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'
+WITH versions AS (
+  SELECT * FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1
 )
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-FROM old WHERE rn = 1
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM versions
+WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
 UNION ALL
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS rn FROM versions
+  WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'
+) WHERE rn = 1
 """)
 def expire(spark, sf_dir):
-    """Orders as versions of their customer; one version per customer and day so that none ties."""
+    """Orders as versions of their customer, one per stamp, in two syncs; then a retention run."""
     root = fresh_dir(spark, "expire")
-    orders = _orders(spark, sf_dir)
-    spec = CUSTOMERS_ORDERS
-    cv.append_raw(orders, spec, root, "all", synced_at=moment(AT))
-    cutoff = moment("1997-01-01T00:00:00Z") + timedelta(days=60)
-    raw = cv.read_raw(spark, spec, root)
-    kept = cv.retained(raw, spec, cutoff - timedelta(days=60), tiebreak=("o_orderkey",))
-    return _orders_back(kept)
+    spec = CUSTOMER_ORDERS
+    versions = cv.latest_per_key(_orders(spark, sf_dir), ["o_custkey", "o_orderdate"], "o_orderkey")
+    old = F.col("o_orderdate") < F.lit("1996-01-01 00:00:00Z").cast("timestamp")
+    cv.append_raw(versions.where(old), spec, root, "old")
+    cv.append_raw(versions.where(~old), spec, root, "new")
+    cv.expire(spark, spec, root, keep_days=60, as_of=moment("1997-01-01T00:00:00Z") + timedelta(days=60))
+    return _orders_back(cv.read_raw(spark, spec, root))
 
 
 def _event_extracts(spark, sf_dir, root: str) -> dict[str, str]:
