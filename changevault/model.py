@@ -122,7 +122,12 @@ class PartitionBy:
 
 @dataclass(frozen=True)
 class ObjectSpec:
-    """How one source object is synced, stored and merged."""
+    """How one source object is synced, stored and merged.
+
+    ``current_buckets`` stores the current-state table hashed by key into that many buckets, so
+    that a merge shuffles the incoming versions only. Pick it so that a bucket of the whole table
+    is a comfortable task, a few hundred MB.
+    """
 
     name: str
     primary_key: str = "Id"
@@ -132,6 +137,7 @@ class ObjectSpec:
     removed_field_policy: str = "tombstone"
     exclude_fields: tuple[str, ...] = ()
     deleted_field: str = "IsDeleted"
+    current_buckets: int | None = None
 
     def __post_init__(self) -> None:
         if not _PATH_SAFE.fullmatch(self.name):

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from changevault.model import ObjectSpec, pick_specs
+from changevault.model import ObjectSpec, col, pick_specs
 from changevault.operators.latest import latest_per_key
 from changevault.operators.merge import VERSION, empty_state, merge_state, versioned
-from changevault.sources.current import read_state, state_path
+from changevault.sources.current import read_state, state_path, write_state
 from changevault.sources.ledger import CURRENT, Entry, history, new_commit_id, publish
 from changevault.sources.raw import read_raw
 
@@ -52,13 +52,16 @@ def refresh_current(
     if not commits and state is not None:
         return MergeResult(spec.name, None)
     newest = latest_per_key(versioned(raw, spec), spec.primary_key, VERSION[0], VERSION[1:])
+    co_located = state is not None and known.current.buckets is not None
+    if co_located:
+        newest = newest.repartition(known.current.buckets, col(spec.primary_key))
     merged = merge_state(empty_state(newest) if state is None else state, newest, spec)
     commit_id = new_commit_id()
     path = state_path(root, spec, commit_id)
-    merged.write.parquet(path)
+    write_state(merged, spec, path, co_located and known.current.buckets == spec.current_buckets)
     publish(spark, root, Entry(
         spec.name, CURRENT, merge_id, commit_id, spark.read.parquet(path).count(),
-        covers=known.covers_after(commits),
+        covers=known.covers_after(commits), buckets=spec.current_buckets,
     ))
     return MergeResult(spec.name, commit_id, tuple(commits))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
-from changevault.model import COMMIT, ChangeVaultError, ObjectSpec
+from changevault.model import COMMIT, ChangeVaultError, ObjectSpec, col
 from changevault.operators.merge import live_rows
 from changevault.sources.ledger import History, history
 
@@ -13,12 +15,37 @@ def state_path(root: str, spec: ObjectSpec, commit_id: str) -> str:
     return f"{root}/current/{spec.name}/{COMMIT}={commit_id}"
 
 
-def read_state(spark: SparkSession, spec: ObjectSpec, root: str, known: History | None = None) -> DataFrame | None:
+def read_state(
+    spark: SparkSession, spec: ObjectSpec, root: str, known: History | None = None
+) -> DataFrame | None:
     """Newest published state with its tombstones, or None before the first merge."""
-    known = known or history(spark, root, spec.name)
-    if known.current_commit is None:
+    newest = (known or history(spark, root, spec.name)).current
+    if newest is None:
         return None
-    return spark.read.parquet(state_path(root, spec, known.current_commit))
+    path = state_path(root, spec, newest.commit_id)
+    if newest.buckets is None:
+        return spark.read.parquet(path)
+    return _read_bucketed(spark, spec, path, newest.buckets)
+
+
+def write_state(state: DataFrame, spec: ObjectSpec, path: str, clustered: bool) -> None:
+    """Write one version of the state; ``clustered`` rows are hashed into the buckets already.
+
+    Buckets need a table entry to be written and read with; it lives for the moment only and
+    does not own the files.
+    """
+    buckets = spec.current_buckets
+    if buckets is None:
+        state.write.parquet(path)
+        return
+    if not clustered:
+        state = state.repartition(buckets, col(spec.primary_key))
+    name = _entry_name()
+    (
+        state.write.format("parquet").bucketBy(buckets, spec.primary_key).sortBy(spec.primary_key)
+        .option("path", path).saveAsTable(name)
+    )
+    state.sparkSession.sql(f"DROP TABLE {name}")
 
 
 def read_current(spark: SparkSession, spec: ObjectSpec, root: str) -> DataFrame:
@@ -27,3 +54,25 @@ def read_current(spark: SparkSession, spec: ObjectSpec, root: str) -> DataFrame:
     if state is None:
         raise ChangeVaultError(f"object {spec.name}: not merged yet")
     return live_rows(state)
+
+
+def _read_bucketed(spark: SparkSession, spec: ObjectSpec, path: str, buckets: int) -> DataFrame:
+    fields = spark.read.parquet(path).schema.fields
+    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+    key, name = _quoted(spec.primary_key), _entry_name()
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    frame = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return frame
+
+
+def _entry_name() -> str:
+    return f"changevault_{uuid4().hex}"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -30,6 +30,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("n_rows", T.LongType()),
     T.StructField("min_stamp", T.TimestampType()),
     T.StructField("max_stamp", T.TimestampType()),
+    T.StructField("buckets", T.IntegerType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("object", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -52,6 +53,7 @@ class Entry:
     last_job_id: str | None = None
     min_stamp: datetime | None = None
     max_stamp: datetime | None = None
+    buckets: int | None = None
     committed_at: datetime = field(default_factory=now)
 
 
@@ -118,9 +120,10 @@ class History:
         return from_micros(max(marks)) if marks else None
 
     @property
-    def current_commit(self) -> str | None:
+    def current(self):
+        """Ledger row of the newest merge, or None."""
         merges = [e for e in self.entries if e.kind == CURRENT]
-        return max(merges, key=lambda e: (e.committed_us, e.commit_id)).commit_id if merges else None
+        return max(merges, key=lambda e: (e.committed_us, e.commit_id), default=None)
 
     @property
     def covered(self) -> set[str]:
@@ -152,7 +155,7 @@ class History:
 def history(spark: SparkSession, root: str, object_name: str) -> History:
     """Commit metadata of one object on the driver; it grows with the number of syncs, not rows."""
     rows = read_ledger(spark, root, object_name).select(
-        "kind", "sync_id", "commit_id", "replaces", "covers", "n_rows",
+        "kind", "sync_id", "commit_id", "replaces", "covers", "n_rows", "buckets",
         F.unix_micros("watermark").alias("watermark_us"),
         F.unix_micros("min_stamp").alias("min_stamp_us"),
         F.unix_micros("max_stamp").alias("max_stamp_us"),

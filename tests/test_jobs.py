@@ -20,8 +20,9 @@ from changevault.plans.current import merge_all, refresh_current
 from changevault.plans.maintain import compact, expire
 from changevault.plans.restore import restore_export, restore_preview
 from changevault.plans.sync import sync_all, sync_object, sync_violations
-from changevault.operators.latest import table_as_of
-from changevault.sources.current import read_current
+from changevault.operators.latest import latest_per_key, table_as_of
+from changevault.operators.merge import VERSION, merge_state, versioned
+from changevault.sources.current import read_current, read_state
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, history, live_commits, read_ledger
 from changevault.sources.raw import append_raw, columns_of, read_columns, read_raw, stage, stamp_rows
@@ -369,3 +370,47 @@ def test_columns_of_refuses_other_types(spark):
         ColumnDef("a", "int", True), ColumnDef("d", "date", True),
     ]
     assert date(2024, 1, 1)
+
+
+def exchanges_under(plan, marker):
+    """Exchange nodes on the path from the root to the scan that mentions ``marker``."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if marker in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    found = 0
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < depth:
+            depth = indent
+            found += "Exchange" in line
+    return found
+
+
+def test_bucketed_state_is_not_shuffled(spark, root):
+    spec = ObjectSpec("Lead", current_buckets=3)
+    plain = ObjectSpec("Plain")
+    rng = random.Random(11)
+    for sync in range(3):
+        data = [(f"k{rng.randrange(30)}", f"v{sync}-{i}", (datetime(2024, 1, 1) + timedelta(hours=rng.randrange(99), minutes=i)).isoformat(), rng.random() < 0.3) for i in range(40)]
+        for s in (spec, plain):
+            append_raw(leads(spark, *data), s, root, f"s{sync}", synced_at=datetime(2024, 5, 1 + sync, tzinfo=UTC))
+            refresh_current(spark, s, root)
+        assert rows(read_current(spark, spec, root)) == rows(read_current(spark, plain, root))
+    folder = f"{root}/current/Lead/_commit={history(spark, root, 'Lead').current.commit_id}"
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 3
+    assert [t.name for t in spark.catalog.listTables() if "changevault" in t.name] == []
+
+    state = read_state(spark, spec, root)
+    newest = latest_per_key(versioned(read_raw(spark, spec, root), spec), "Id", VERSION[0], VERSION[1:])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge_state(state, newest.repartition(3, "Id"), spec)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges_under(plan, "Bucketed: true") == 0
+    # Another bucket count takes effect with the next merge.
+    wider = ObjectSpec("Lead", current_buckets=5)
+    append_raw(leads(spark, ("new", "n", "2025-01-01", False)), wider, root, "s9")
+    refresh_current(spark, wider, root)
+    assert read_current(spark, wider, root).where("Id = 'new'").count() == 1
+    assert history(spark, root, "Lead").current.buckets == 5
