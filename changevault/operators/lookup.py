@@ -2,55 +2,47 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from changevault.model import col
 
-# A key is hot when it holds more than 1/HOT_KEYS of the rows (so fewer than HOT_KEYS are) and
-# at least HOT_ROWS rows, below which one task copes anyway.
-HOT_KEYS = 10_000
-HOT_ROWS = 200_000
+# Rows of one key that a task takes in its stride.
+HOT_ROWS = 1_000_000
 
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    key: str,
-    hot_keys: int = HOT_KEYS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` left-joined with ``lookup`` on ``df.on = lookup.key``; ``lookup.key`` is unique.
 
     A first pass over the ``on`` column alone counts keys, NULL included (partial counts, then
-    one shuffle of those). Where no key is hot the join is a plain one. Else the rows of hot
-    keys are spread over salted groups in proportion to their share, and the lookup's row is
-    repeated once per group. What is broadcast is the list of hot keys, shorter than
-    ``hot_keys`` by their definition. ``lookup`` must not share column names with ``df``.
+    one shuffle of those), and takes the most frequent ones with more than ``hot_rows`` rows.
+    Where there is none the join is a plain one. Else the rows of each hot key are spread over
+    salted groups of about ``hot_rows`` rows and the lookup's row is repeated once per group.
+
+    At most as many keys count as hot as there are shuffle partitions, which bounds what is
+    broadcast; a key beyond those has no more rows than an average partition. ``lookup`` must
+    not share column names with ``df``.
     """
     spark = df.sparkSession
-    counts = df.groupBy(col(on).alias("__hot")).count()
-    size = counts.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
-    groups = min(int(spark.conf.get("spark.sql.shuffle.partitions")), hot_keys)
-    per_group = max(math.ceil((size.total or 0) / groups), hot_rows)
-    if (size.largest or 0) <= per_group:
-        return df.join(lookup, col(on) == col(key), "left")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot_list = (
-        counts.where(F.col("count") > per_group)
-        .select("__hot", F.ceil(F.col("count") / per_group).cast("int").alias("__groups"))
+        df.groupBy(col(on).alias("__hot"))
+        .count()
+        .where(F.col("count") > hot_rows)
+        .orderBy(F.col("count").desc())
+        .limit(partitions)
+        .select("__hot", F.ceil(F.col("count") / hot_rows).cast("int").alias("__groups"))
         .collect()
     )
-    hot = spark.createDataFrame(
+    if not hot_list:
+        return df.join(lookup, col(on) == col(key), "left")
+    hot = F.broadcast(spark.createDataFrame(
         hot_list, f"__hot {df.schema[on].dataType.simpleString()}, __groups int"
-    )
-    small = F.broadcast(hot)
+    ))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in df.columns]), F.col("__groups"))
-    left = df.join(small, col(on).eqNullSafe(F.col("__hot")), "left").withColumn(
+    left = df.join(hot, col(on).eqNullSafe(F.col("__hot")), "left").withColumn(
         "__salt", F.when(F.col("__groups").isNotNull(), spread).otherwise(F.lit(0)).cast("int")
     )
-    right = lookup.join(small, col(key) == F.col("__hot"), "left").select(
+    right = lookup.join(hot, col(key) == F.col("__hot"), "left").select(
         *[col(c) for c in lookup.columns],
         F.explode(F.sequence(F.lit(0), F.coalesce("__groups", F.lit(1)) - 1)).alias("__lookup_salt"),
     )

@@ -25,6 +25,9 @@ from changevault.sources.ledger import History, history
 from changevault.sources.raw import add_columns, append_raw, ensure_table, read_commits
 
 
+_STAMP = "_stamp"
+
+
 @dataclass(frozen=True)
 class SyncResult:
     """What one sync did. ``rows`` is 0 for an empty batch and for a repeated sync id."""
@@ -198,17 +201,23 @@ def sync_violations(spark: SparkSession, spec: ObjectSpec, root: str, commit_id:
 
 
 def _typed_rows(spec: ObjectSpec, frame: DataFrame, table: Prepared) -> DataFrame:
-    """Columns asked for, in stored types; in overflow mode the rest as one JSON column."""
+    """Columns asked for, in stored types; in overflow mode the rest as one JSON column.
+
+    A watermark field that is no table column is kept beside them, to find the new watermark.
+    """
     stored = [c.name for c in table.columns]
     wanted = extract_fields([*stored, *table.source_fields], spec.watermark_field, spec.deleted_field)
     have = set(frame.columns)
     rows = pick_fields(frame, [f for f in wanted if f in have or f in set(stored)])
-    stamp = spec.watermark_field
-    if spec.overflow:
-        rows = spill_overflow(rows, [*stored, stamp])
     types = list(table.columns)
-    if stamp and stamp in rows.columns and stamp not in stored:
+    stamp = spec.watermark_field
+    apart = stamp in rows.columns and stamp not in stored
+    if apart:
         types.append(ColumnDef(stamp, "timestamp"))
+    if spec.overflow:
+        kept = rows.withColumn(_STAMP, col(stamp)) if apart else rows
+        rows = spill_overflow(kept, stored)
+        rows = rows.withColumnRenamed(_STAMP, stamp) if apart else rows
     return coerce(rows, types)
 
 

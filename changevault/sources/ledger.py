@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from changevault.session import from_micros, moment, now, read_if_exists
 
@@ -63,11 +63,10 @@ def new_commit_id() -> str:
 
 def publish(spark: SparkSession, root: str, entry: Entry) -> None:
     """Append the row; the single file appears in one step."""
-    stored = [f for f in LEDGER_SCHEMA.fields if f.name not in ("object", "kind")]
-    row = spark.range(1).coalesce(1).select(*[
-        _literal(getattr(entry, f.name), f.dataType).alias(f.name) for f in stored
-    ])
-    row.write.mode("append").parquet(f"{root}/ledger/object={entry.object}/kind={entry.kind}")
+    stored = _without(LEDGER_SCHEMA, "object", "kind")
+    row = tuple(_stored(getattr(entry, name)) for name in stored.names)
+    frame = spark.createDataFrame([row], stored).coalesce(1)
+    frame.write.mode("append").parquet(f"{root}/ledger/object={entry.object}/kind={entry.kind}")
 
 
 def read_ledger(spark: SparkSession, root: str, object_name: str | None = None) -> DataFrame:
@@ -169,13 +168,11 @@ def get_watermark(spark: SparkSession, root: str, object_name: str) -> datetime
     return history(spark, root, object_name).watermark
 
 
-def _literal(value, data_type: T.DataType) -> Column:
+def _stored(value):
     if isinstance(value, datetime):
-        value = moment(value).strftime("%Y-%m-%d %H:%M:%S.%fZ")
-    if isinstance(data_type, T.ArrayType):
-        return F.array(*[F.lit(v) for v in value]).cast(data_type)
-    return F.lit(value).cast(data_type)
+        return moment(value)
+    return list(value) if isinstance(value, (tuple, list)) else value
 
 
-def _without(schema: T.StructType, name: str) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != name])
+def _without(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name not in names])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changevault.model import ObjectSpec
@@ -26,8 +26,8 @@ def current_stream(
     never show up in it. A replayed batch finds its merge id in the ledger and does nothing.
     """
     name = name or f"current-{spec.name}"
-    stored = [f for f in LEDGER_SCHEMA.fields if f.name not in ("object", "kind")]
-    reader = spark.readStream.schema(type(LEDGER_SCHEMA)(stored))
+    stored = T.StructType([f for f in LEDGER_SCHEMA.fields if f.name not in ("object", "kind")])
+    reader = spark.readStream.schema(stored)
     if max_commits_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_commits_per_trigger)
 

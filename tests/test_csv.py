@@ -109,7 +109,7 @@ def test_spill_overflow(spark):
 
 
 def test_record_ids(spark):
-    ids = ["001C000000XyzABC", "7503S000003XXXXX", "not-a-sf-id", "has spaces in it!", "dropit;SELECT 1", "", "abc\n", None]
+    ids = ["001C000000XyzABC", "7503S000003XXXXX", "not-an-id", "has spaces in it!", "dropit;SELECT 1", "", "abc\n", None]
     df = spark.createDataFrame([(i,) for i in ids], "id string")
     assert [r.is_valid for r in valid_record_ids(df, "id").collect()] == [True, True] + [False] * 6
 

@@ -414,3 +414,16 @@ def test_bucketed_state_is_not_shuffled(spark, root):
     refresh_current(spark, wider, root)
     assert read_current(spark, wider, root).where("Id = 'new'").count() == 1
     assert history(spark, root, "Lead").current.buckets == 5
+
+
+def test_watermark_field_that_is_no_column(spark, tmp_path, root):
+    fields = catalog(spark, ("Id", "id", False), ("IsDeleted", "boolean", False))
+    for spec in (ObjectSpec("Lead"), ObjectSpec("Task", overflow=True)):
+        named = fields.withColumn("object", F.lit(spec.name))
+        result = sync_object(spark, spec, extract(tmp_path, "a", F1), named, root)
+        assert (result.rows, result.watermark) == (3, datetime(2024, 1, 3, tzinfo=UTC))
+        again = sync_object(spark, spec, extract(tmp_path, "a", F1 + "004,2024-01-04T00:00:00Z,false\n"), named, root)
+        assert (again.rows, again.watermark) == (1, datetime(2024, 1, 4, tzinfo=UTC))
+    spilled = read_raw(spark, ObjectSpec("Task"), root).where("Id = '001'").first()._overflow
+    assert spilled == '{"SystemModstamp":"2024-01-01T00:00:00.000+0000"}'
+    assert read_raw(spark, ObjectSpec("Lead"), root).where("_overflow IS NOT NULL").count() == 0
