@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changevault.model import SPARK_TYPES, ColumnDef, col
+from changevault.session import local_frame
 
 # The accepted text forms.
 INTEGER = r"\A[+-]?[0-9]+\z"
@@ -105,7 +106,7 @@ def required_violations(df: DataFrame, columns: Sequence[ColumnDef]) -> DataFram
     """``(column, n)``: how many NULLs each required column holds, where there are any."""
     required = [c.name for c in columns if c.required]
     if not required:
-        return df.sparkSession.createDataFrame([], "column string, n bigint")
+        return local_frame(df.sparkSession, [], "column string, n bigint")
     counts = df.agg(*[F.count_if(col(name).isNull()).alias(f"c{i}") for i, name in enumerate(required)])
     pairs = F.array(*[
         F.struct(F.lit(name).alias("column"), F.col(f"c{i}").alias("n"))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from changevault.session import local_frame
+
 # Source field type -> column type. Every other type becomes string.
 SOURCE_TYPES = {
     "id": "string",
@@ -158,16 +160,16 @@ def pick_specs(specs: Sequence[ObjectSpec], only: str | None = None) -> list[Obj
 
 def specs_frame(spark: SparkSession, specs: Iterable[ObjectSpec]) -> DataFrame:
     """``(object, overflow, removed_field_policy)``, one row per spec."""
-    return spark.createDataFrame(
-        [(s.name, s.overflow, s.removed_field_policy) for s in specs],
+    return local_frame(
+        spark, [(s.name, s.overflow, s.removed_field_policy) for s in specs],
         "object string, overflow boolean, removed_field_policy string",
     )
 
 
 def excludes_frame(spark: SparkSession, specs: Iterable[ObjectSpec]) -> DataFrame:
     """``(object, name)``, one row per excluded field."""
-    return spark.createDataFrame(
-        [(s.name, f) for s in specs for f in s.exclude_fields],
+    return local_frame(
+        spark, [(s.name, f) for s in specs for f in s.exclude_fields],
         "object string, name string",
     )
 

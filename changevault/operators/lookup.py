@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from changevault.model import col
+from changevault.session import local_frame
 
 # Rows of one key that a task takes in its stride.
 HOT_ROWS = 1_000_000
@@ -35,9 +36,8 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: str, key: str, hot_rows: i
     )
     if not hot_list:
         return df.join(lookup, col(on) == col(key), "left")
-    hot = F.broadcast(spark.createDataFrame(
-        hot_list, f"__hot {df.schema[on].dataType.simpleString()}, __groups int"
-    ))
+    key_type = df.schema[on].dataType.simpleString()
+    hot = F.broadcast(local_frame(spark, hot_list, f"__hot {key_type}, __groups int"))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in df.columns]), F.col("__groups"))
     left = df.join(hot, col(on).eqNullSafe(F.col("__hot")), "left").withColumn(
         "__salt", F.when(F.col("__groups").isNotNull(), spread).otherwise(F.lit(0)).cast("int")

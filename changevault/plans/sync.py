@@ -19,7 +19,7 @@ from changevault.model import (
 )
 from changevault.operators.schema import columns_from_catalog, detect_drift, without_intentional
 from changevault.operators.watermark import drop_seen, incremental, job_start_watermark
-from changevault.session import from_micros, moment, now, to_micros
+from changevault.session import from_micros, local_frame, moment, now, to_micros
 from changevault.sources.extract import pick_fields, read_extract
 from changevault.sources.ledger import History, history
 from changevault.sources.raw import add_columns, append_raw, ensure_table, read_commits
@@ -60,7 +60,8 @@ def desired_columns(catalog: DataFrame, spec: ObjectSpec) -> list[ColumnDef]:
     if "position" not in fields.columns:
         fields = fields.withColumn("position", F.monotonically_increasing_id())
     wanted = columns_from_catalog(fields, excludes_frame(catalog.sparkSession, [spec]))
-    return [ColumnDef(r.name, r.type, r.required) for r in wanted.orderBy("position").collect()]
+    found = sorted(wanted.collect(), key=lambda r: r.position)
+    return [ColumnDef(r.name, r.type, r.required) for r in found]
 
 
 def prepare_table(spark: SparkSession, spec: ObjectSpec, catalog: DataFrame, root: str) -> Prepared:
@@ -236,7 +237,7 @@ def _overlapping(known: History, spec: ObjectSpec) -> list[str]:
 
 
 def _frame(spark: SparkSession, spec: ObjectSpec, columns: Sequence[ColumnDef]) -> DataFrame:
-    return spark.createDataFrame(
-        [(spec.name, c.name, c.type, c.required) for c in columns if not is_system(c.name)],
+    return local_frame(
+        spark, [(spec.name, c.name, c.type, c.required) for c in columns if not is_system(c.name)],
         "object string, name string, type string, required boolean",
     )

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _RFC3339 = re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})")
@@ -83,6 +86,15 @@ def from_micros(micros: int | None) -> datetime | None:
     return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
+def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few metadata rows as a frame of known size, without Python workers."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    table = pa.Table.from_pylist(records, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema=schema)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Parquet under ``path`` with a given schema, or None when the path is not there yet."""
     try:

@@ -15,7 +15,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from changevault.session import from_micros, moment, now, read_if_exists
+from changevault.session import from_micros, local_frame, moment, now, read_if_exists
 
 RAW, MAINTENANCE, CURRENT = "raw", "maintenance", "current"
 
@@ -65,7 +65,7 @@ def publish(spark: SparkSession, root: str, entry: Entry) -> None:
     """Append the row; the single file appears in one step."""
     stored = _without(LEDGER_SCHEMA, "object", "kind")
     row = tuple(_stored(getattr(entry, name)) for name in stored.names)
-    frame = spark.createDataFrame([row], stored).coalesce(1)
+    frame = local_frame(spark, [row], stored)
     frame.write.mode("append").parquet(f"{root}/ledger/object={entry.object}/kind={entry.kind}")
 
 
@@ -80,7 +80,7 @@ def read_ledger(spark: SparkSession, root: str, object_name: str | None = None)
         if found is not None:
             found = found.withColumn("object", F.lit(object_name))
     if found is None:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return local_frame(spark, [], LEDGER_SCHEMA)
     return found.select(*LEDGER_SCHEMA.fieldNames())
 
 

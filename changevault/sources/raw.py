@@ -16,7 +16,7 @@ from changevault.model import (
 )
 from changevault.operators.partitions import partition_fields, with_partitions
 from changevault.session import (
-    from_micros, moment_lit, now, read_if_exists, require_utc,
+    from_micros, local_frame, moment_lit, now, read_if_exists, require_utc,
 )
 from changevault.sources.ledger import RAW, Entry, History, history, new_commit_id, publish
 
@@ -46,7 +46,8 @@ def read_columns(spark: SparkSession, spec: ObjectSpec, root: str) -> list[Colum
     stored = read_if_exists(spark, f"{root}/schema/object={spec.name}", _COLUMN_SCHEMA)
     if stored is None:
         return None
-    return [ColumnDef(r.name, r.type, r.required) for r in stored.orderBy("position").collect()] or None
+    found = sorted(stored.collect(), key=lambda r: r.position)
+    return [ColumnDef(r.name, r.type, r.required) for r in found] or None
 
 
 def add_columns(
@@ -56,7 +57,7 @@ def add_columns(
     if not columns:
         return
     rows = [(start + i, c.name, c.type, c.required) for i, c in enumerate(columns)]
-    frame = spark.createDataFrame(rows, _COLUMN_SCHEMA).coalesce(1)
+    frame = local_frame(spark, rows, _COLUMN_SCHEMA)
     frame.write.mode("append").parquet(f"{root}/schema/object={spec.name}")
 
 
@@ -103,7 +104,7 @@ def read_commits(
 ) -> DataFrame:
     schema = raw_schema(spec, columns)
     if not commits:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     base = f"{root}/raw/{spec.name}"
     reader = spark.read.schema(schema).option("basePath", base)
     return reader.parquet(*[f"{base}/{COMMIT}={c}" for c in commits])

@@ -17,7 +17,7 @@ import changevault as cv
 from changevault.functions.coerce import coerce, is_rejected
 from changevault.model import ColumnDef, ObjectSpec, PartitionBy
 from changevault.operators.watermark import with_buffer
-from changevault.session import checkpoint, fresh_dir, moment, now, use_utc
+from changevault.session import fresh_dir, local_frame, moment, now, use_utc
 from changevault.sources.raw import columns_of, stage, stamp_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -795,8 +795,8 @@ def _event_extracts(spark, sf_dir, root: str) -> dict[str, str]:
 def _event_catalog(spark, objects=("events",)) -> DataFrame:
     fields = (("event_id", "int"), ("ts", "datetime"), ("user_id", "int"), ("event_type", "picklist"),
               ("value", "double"), ("props", "textarea"), ("is_deleted", "boolean"))
-    return spark.createDataFrame(
-        [(o, i, n, t, n == "props") for o in objects for i, (n, t) in enumerate(fields)],
+    return local_frame(
+        spark, [(o, i, n, t, n == "props") for o in objects for i, (n, t) in enumerate(fields)],
         "object string, position int, name string, type string, nillable boolean",
     )
 
