@@ -175,11 +175,11 @@ def sync_all(
     tag = f"changevault-{uuid4().hex}"
 
     def run(spec: ObjectSpec) -> SyncResult:
-        spark.addTag(tag)
+        spark.sparkContext.addJobTag(tag)
         try:
             return sync_object(spark, spec, locate(spec.name), catalog, root, **options)
         finally:
-            spark.removeTag(tag)
+            spark.sparkContext.removeJobTag(tag)
 
     with ThreadPoolExecutor(max_workers=max_in_flight) as pool:
         futures = [pool.submit(inheritable_thread_target(spark)(run), s) for s in chosen]
@@ -188,8 +188,8 @@ def sync_all(
         if failed is not None:
             for future in waiting:
                 future.cancel()
-            while waiting:  # a running sync may submit another job after an interrupt
-                spark.interruptTag(tag)
+            while waiting:  # a running sync may submit another job after a cancel
+                spark.sparkContext.cancelJobsWithTag(tag)
                 waiting = wait(waiting, timeout=0.5).not_done
             raise failed.exception()
     return [f.result() for f in futures]

@@ -427,3 +427,15 @@ def test_watermark_field_that_is_no_column(spark, tmp_path, root):
     spilled = read_raw(spark, ObjectSpec("Task"), root).where("Id = '001'").first()._overflow
     assert spilled == '{"SystemModstamp":"2024-01-01T00:00:00.000+0000"}'
     assert read_raw(spark, ObjectSpec("Lead"), root).where("_overflow IS NOT NULL").count() == 0
+
+
+def test_running_sync_is_cancelled(spark, tmp_path, root):
+    """B has far more rows to write than A takes to fail."""
+    os.makedirs(tmp_path / "extract" / "B")
+    with open(tmp_path / "extract" / "B" / "page.csv", "w") as f:
+        f.write("Id,SystemModstamp,IsDeleted\n")
+        f.writelines(f"{i},2024-01-01T00:00:00Z,false\n" for i in range(2_000_000))
+    paths = {"A": extract(tmp_path, "A", F1.replace("true", "maybe")), "B": str(tmp_path / "extract" / "B")}
+    with pytest.raises(Exception, match="maybe"):
+        sync_all(spark, [ObjectSpec("A"), ObjectSpec("B")], paths, catalog(spark, objects="AB"), root)
+    assert get_watermark(spark, root, "B") is None
