@@ -493,7 +493,7 @@ def _stored_columns(spark, sf_dir) -> DataFrame:
 
 
 def _policies(spark, sf_dir) -> DataFrame:
-    """Per brand: halt where its largest part size is odd, overflow where its smallest part key is."""
+    """Per brand: halt where its highest price is odd, overflow where its smallest part key is."""
     return table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("object")).agg(
         F.when(F.max("p_retailprice").cast("bigint") % 2 == 1, "halt").otherwise("tombstone").alias("removed_field_policy"),
         (F.min("p_partkey") % 2 == 1).alias("overflow"),
