@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from changevault.llm import exact_dedup, packing
+from changevault.llm import exact_dedup, language, minhash, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +20,26 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.is_held_out("doc_id")))
+    return language.predict(docs.drop("lang"), model).select(
+        "doc.doc_id", language.is_held_out("doc.doc_id").alias("held_out"), "lang_pred", "score",
+    )
+
+
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_language_id": op5_language_id,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
 }
 

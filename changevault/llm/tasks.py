@@ -9,9 +9,10 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 import changevault
+from changevault.llm.text import slices, texts_of
 
 _shipped: set[str] = set()
 
@@ -32,3 +33,19 @@ def map_batches(df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], It
                 schema: T.StructType | str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def per_text(spark: SparkSession, start: Callable[[], Callable[[list[str]], pa.Array]], kind: T.DataType | str,
+             column: Column) -> Column:
+    """A value for each text of a column. ``start()`` runs once in each task and gives the function that takes some
+    texts (NULL as empty) and returns as many values. Spark keeps the rows' other columns to itself."""
+    ship(spark)
+
+    @F.arrow_udf(returnType=kind)
+    def values(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        function = start()
+        for array in arrays:
+            parts = [function(texts_of(array.slice(at, length))) for at, length in slices(array)]
+            yield pa.concat_arrays(parts) if parts else function([])
+
+    return values(column)

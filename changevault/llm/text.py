@@ -129,24 +129,24 @@ def shingles(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return doc, h
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``limit`` bytes of text, so that a task's arrays stay small."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    total = np.cumsum(lengths)
+def slices(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of rows of about ``limit`` bytes of text, so that a task's arrays stay small."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     at = 0
-    while at < batch.num_rows:
+    while at < len(total):
         base = total[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(total, base + limit, side="right")))
-        yield batch.slice(at, stop - at)
+        yield at, stop - at
         at = stop
 
 
-def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
-    return [t or "" for t in batch.column(text).to_pylist()]
+def texts_of(column: pa.Array) -> list[str]:
+    return [t or "" for t in column.to_pylist()]
 
 
-def text_pieces(batches: Iterable[pa.RecordBatch], text: str = "text",
-                limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_pieces(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batches in slices, each with its texts; NULL as empty."""
     for batch in batches:
-        for piece in pieces(batch, text, limit):
-            yield piece, texts_of(piece, text)
+        for at, length in slices(batch.column(text)):
+            piece = batch.slice(at, length)
+            yield piece, texts_of(piece.column(text))
