@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from changevault.llm import exact_dedup, language, minhash, packing
+from changevault.llm import exact_dedup, language, minhash, packing, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = pii.find(docs, pii.fit(docs))
+    counts = [pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return spans.select(
+        "doc.doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.where(~language.is_held_out("doc_id")))
@@ -38,6 +48,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
