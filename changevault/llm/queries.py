@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from changevault.llm import exact_dedup, language, minhash, packing, pii
+from changevault.llm import embedding_dedup, exact_dedup, language, minhash, packing, pii, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = pii.find(docs, pii.fit(docs))
@@ -30,6 +34,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.predict(docs, weights).select(
+        "doc.doc_id", language.is_held_out("doc.doc_id").alias("held_out"), "score", "predicted",
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.where(~language.is_held_out("doc_id")))
@@ -38,6 +50,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).select("doc.doc_id", "severity", "grade", "toxic")
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_copies(table(spark, sf_dir, "documents"))
 
@@ -48,8 +66,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_pii": op3_pii,
+    "op4_quality": op4_quality,
     "op5_language_id": op5_language_id,
+    "op6_toxicity": op6_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
 }
