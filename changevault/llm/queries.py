@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from changevault.llm import embedding_dedup, exact_dedup, language, minhash, packing, pii, quality, toxicity
+from changevault.llm import bpe, embedding_dedup, exact_dedup, html, language, minhash, packing, pii, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +60,20 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select("doc.page_id", "doc.url", "text")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -72,7 +82,9 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_bpe": op8_bpe,
     "op9_packing": op9_packing,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLES = {
