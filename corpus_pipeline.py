@@ -5,25 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changevault.llm import exact_dedup, packing
+from changevault.llm import exact_dedup, language, minhash, packing, pii
+from changevault.session import fresh_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told go: those without text or without a letter. The others stay as they are."""
+    model = language.fit(docs.where(~language.is_held_out("doc_id")))
+    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select("doc.*")
+
+
 def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the smallest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
+def far_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest doc_id."""
+    return minhash.drop_near_copies(docs)
+
+
+def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets give way to their kind between angle brackets; n_chars follows the text."""
+    found = pii.find(docs, pii.fit(docs)).select("doc", pii.masked(F.col("doc.text"), F.col("spans")).alias("safe"))
+    values = {"text": F.col("safe"), "n_chars": F.length("safe").cast("long")}
+    return found.select(*(values.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of what is left, in sequences of 1024 ids."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
     ("exact_dedup", unique_texts),
+    ("near_dedup", far_texts),
+    ("pii", masked),
     ("packing", packed),
 ]
 
@@ -33,8 +55,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``. Each stage's result is written to the shared folder and read again."""
-    from changevault.session import fresh_dir
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = fresh_dir(spark, f"pipeline-{name}")
