@@ -32,6 +32,7 @@ IMPLIED = {
 } | {tag: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, frozenset({"table"}))
      for tag in ("thead", "tbody", "tfoot")}
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_CUT_OFF = re.compile("</?[A-Za-z]|<[!?]")
 #: A column is widened up to this for alignment; longer cells stand whole and push what follows.
 COLUMN = 40
 
@@ -222,6 +223,8 @@ class Page(HTMLParser):
             flow.space = data[-1].isspace()
 
     def finish(self) -> str:
+        if _CUT_OFF.match(self.rawdata):
+            self.rawdata = ""  # a page that ends inside a tag
         self.close()
         while self.stack:
             self.pop()

@@ -178,20 +178,21 @@ def _train(patterns: list, rounds: int) -> Model:
     kinds = sorted({p["kind"] for p in patterns})
     kind = np.array([kinds.index(p["kind"]) for p in patterns])
     truth = 1 / (1 + np.exp(-votes.sum(axis=1)))
-    said = np.stack([(votes == v) for v in (-1, 0, 1)], axis=2)
-    hopes = np.array([[1.0, 2.0, 4.0], [4.0, 2.0, 1.0]])  # labelers are taken to be better than chance
-    table = np.empty((2, len(LABELERS), 3))
+    said = np.stack([votes == -1, votes == 1], axis=2).astype(float)  # a labeler that does not vote says nothing
+    hopes = np.array([[1.0, 4.0], [4.0, 1.0]])  # labelers are taken to be better than chance
+    table = np.empty((2, len(LABELERS), 2))
     for _ in range(rounds):
         prior = np.array([((n * truth)[kind == k].sum() + 1) / (n[kind == k].sum() + 2) for k in range(len(kinds))])
         for c, weight in enumerate((n * truth, n * (1 - truth))):
             count = np.einsum("p,plv->lv", weight, said) + hopes[c]
             table[c] = count / count.sum(axis=1, keepdims=True)
-        logs = np.einsum("plv,clv->cp", said.astype(float), np.log(table)) + np.log([prior[kind], 1 - prior[kind]])
+        logs = np.einsum("plv,clv->cp", said, np.log(table)) + np.log([prior[kind], 1 - prior[kind]])
         truth = 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -50, 50)))
-    columns = {key: i for i, key in enumerate(sorted({(f, p[f]) for p in patterns for f in FEATURES}, key=repr))}
+    known = [[(f, p[f]) for f in FEATURES if f not in LABELERS or p[f]] for p in patterns]
+    columns = {key: i for i, key in enumerate(sorted({key for keys in known for key in keys}, key=repr))}
     x = np.zeros((len(patterns), len(columns)))
-    for i, p in enumerate(patterns):
-        x[i, [columns[f, p[f]] for f in FEATURES]] = 1
+    for i, keys in enumerate(known):
+        x[i, [columns[key] for key in keys]] = 1
     share, w = n / n.sum(), np.zeros(len(columns))
     for _ in range(100):  # Newton steps on the soft labels, with a small ridge
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
@@ -201,7 +202,7 @@ def _train(patterns: list, rounds: int) -> Model:
         w -= np.clip(move, -2, 2)
         if np.abs(move).max() < 1e-6:
             break
-    reliability = {name: {v: (float(table[0, i, j]), float(table[1, i, j])) for j, v in enumerate((-1, 0, 1))}
+    reliability = {name: {v: (float(table[0, i, j]), float(table[1, i, j])) for j, v in enumerate((-1, 1))}
                    for i, name in enumerate(LABELERS)}
     return Model({key: float(w[i]) for key, i in columns.items()}, reliability)
 
