@@ -1,0 +1,108 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from helpers import SF, frame
+from tokenizers import Tokenizer
+
+from changevault.llm import bpe, packing, queries
+
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+ODD = [None, "", "  \n", "don't I'll 'S 'RE 's", "<|endoftext|>a<|startoftext|>", "the" * 400, "a" * 3000, "x" * 2000 + "y", "ΣΑΣ ὈΔΥΣΣΕΎΣ",
+       "İı½²٣", "é é Å", "你好 😀", "\x1c\x85\xa0\x00", "__a_b__ 12 345", "ß ǅ ﬁ"]
+
+
+def noise(count, seed):
+    rng, letters = random.Random(seed), "abcdefgh the ing'sÀÉßΣσİı½²٣你好😀́ \x1c\x85\xa0_-.!?0123456789\n\t"
+    parts = ["in", "th", "er", "ing", "the", "an", "on", "ly", "ß", "é"]
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(count)] + [
+        "".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(count)]
+
+
+def test_encoding_is_the_librarys():
+    own, library = bpe.Encoder(WORD), Tokenizer.from_file(WORD)
+    texts = [t or "" for t in ODD] + noise(2000, 11)
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        ids, decoded = own.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, text
+        assert decoded == library.decode(want.ids, skip_special_tokens=False), text
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 10)
+    monkeypatch.setattr(bpe, "REMEMBERED_PAIRS", 10)
+    own, library = bpe.Encoder(WORD), Tokenizer.from_file(WORD)
+    text = " ".join(noise(50, 2))
+    assert np.frombuffer(own.encode(text)[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(own.words) <= 10 and len(own.vocabulary.pairs) <= 10
+
+
+def test_encode_returns_ids_and_text(spark):
+    docs = frame(spark, [(i, t) for i, t in enumerate(ODD)], "ids long, text string")
+    library = Tokenizer.from_file(WORD)
+    for r in bpe.encode(docs, WORD).collect():
+        want = library.encode(ODD[r.doc.ids] or "", add_special_tokens=False).ids
+        assert r.ids == want and r.decoded == library.decode(want, skip_special_tokens=False)
+    assert bpe.encode(docs.limit(0), WORD).count() == 0
+
+
+def test_bpe_query(spark):
+    library = Tokenizer.from_file(WORD)
+    texts = dict(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    rows = queries.op8_bpe(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def check_pieces(rows, texts):
+    """Every id in exactly one piece, sequences gapless and full or as long as a power of two."""
+    library = Tokenizer.from_file(BYTE)
+    ids = {i: np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in texts.items()}
+    documents, sequences = {}, {}
+    for r in rows:
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes())
+        documents.setdefault(r.doc_id, []).append((r.start, r.length))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert set(documents) == set(texts)
+    for parts, total in [(p, len(ids[i])) for i, p in documents.items()] + [(p, None) for p in sequences.values()]:
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at and length > 0
+            at += length
+        assert at == total if total is not None else at <= 1024 and (at == 1024 or at & (at - 1) == 0)
+
+
+def test_packing_query(spark):
+    texts = dict(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    check_pieces(queries.op9_packing(spark, SF).collect(), texts)
+
+
+@pytest.mark.parametrize("docs_per_shard", [1, 3, 1000])
+def test_packing_of_odd_texts(spark, monkeypatch, docs_per_shard):
+    monkeypatch.setattr(packing, "SHARD_DOCS", docs_per_shard)
+    texts = dict(enumerate([*ODD, "word " * 5000, *noise(5, 4)]))
+    docs = frame(spark, list(texts.items()), "sequence_id long, text string").selectExpr("*", "'x' AS start", "1 AS doc_id")
+    pieces = packing.pack(docs.repartition(3), BYTE, id_col="sequence_id")
+    check_pieces(pieces.collect(), texts)
+    assert packing.pack(docs.limit(0), BYTE, id_col="sequence_id").count() == 0
+
+
+def test_repeated_rows_and_null_ids_are_packed_each_by_itself(spark):
+    rows = packing.pack(frame(spark, [(1, "a b"), (1, "a b"), (None, "a b")], "doc_id long, text string").coalesce(1), BYTE).collect()
+    assert sum(r.length for r in rows) == 9 and sum(r.doc_id is None for r in rows) >= 1
+
+
+def test_window_is_filled_with_lexical_neighbours():
+    rng = np.random.default_rng(3)
+    topics = [rng.integers(k * 1000, k * 1000 + 300, (8, 100)).astype("<u4") for k in range(1, 6)]
+    docs = [np.append(d, np.uint32(0)) for i in range(8) for d in (t[i] for t in topics)]  # topics take turns
+    order = [d for d, start, *_ in packing.chain(docs) if start == 0]
+    same = sum(a % 5 == b % 5 for a, b in zip(order, order[1:]))
+    assert same >= 25  # neighbours in the chain share their topic, though no two in the input do
