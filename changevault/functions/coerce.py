@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changevault.model import SPARK_TYPES, ColumnDef, col
+from changevault.model import SPARK_TYPES, ColumnDef, col, quoted
 from changevault.session import local_frame
 
 # The accepted text forms.
@@ -28,46 +28,65 @@ TRUE_TEXT = ("1", "t", "T", "TRUE", "true", "True")
 FALSE_TEXT = ("0", "f", "F", "FALSE", "false", "False")
 
 
-def coerced(text: Column, type_name: str) -> Column:
-    """The typed value; NULL for NULL, for empty text (string excepted) and for bad text."""
+def coerced_sql(text: str, type_name: str) -> str:
+    """SQL of the typed value of a text; NULL for NULL, for empty text (string excepted) and for bad text."""
     if type_name == "string":
         return text
     if type_name in ("long", "int"):
-        target = "bigint" if type_name == "long" else "int"
-        return F.when(text.rlike(INTEGER), text.try_cast(target))
+        target = "BIGINT" if type_name == "long" else "INT"
+        return f"CASE WHEN {text} RLIKE r'{INTEGER}' THEN try_cast({text} AS {target}) END"
     if type_name in ("double", "float"):
-        number = text.try_cast("double")
-        value = F.when(
-            text.rlike(DECIMAL), F.when(F.abs(number) < float("inf"), number)
-        ).when(text.rlike(SPECIAL_NUMBER), number)
-        return value.cast(type_name)
+        number = f"try_cast({text} AS DOUBLE)"
+        value = (
+            f"CASE WHEN {text} RLIKE r'{DECIMAL}' THEN CASE WHEN abs({number}) < double('Infinity') THEN {number} END "
+            f"WHEN {text} RLIKE r'{SPECIAL_NUMBER}' THEN {number} END"
+        )
+        return value if type_name == "double" else f"CAST({value} AS FLOAT)"
     if type_name == "boolean":
-        return F.when(text.isin(*TRUE_TEXT), True).when(text.isin(*FALSE_TEXT), False)
+        return f"CASE WHEN {text} IN ({_texts(TRUE_TEXT)}) THEN true WHEN {text} IN ({_texts(FALSE_TEXT)}) THEN false END"
     if type_name == "date":
-        return F.when(text.rlike(DATE), text.try_cast("date"))
+        return f"CASE WHEN {text} RLIKE r'{DATE}' THEN try_cast({text} AS DATE) END"
     if type_name == "timestamp":
-        return F.when(text.rlike(RFC3339) | text.rlike(UTC_MILLIS), text.try_cast("timestamp"))
+        return f"CASE WHEN {text} RLIKE r'{RFC3339}' OR {text} RLIKE r'{UTC_MILLIS}' THEN try_cast({text} AS TIMESTAMP_LTZ) END"
     if type_name == "binary":
-        return F.when(text != "", F.encode(text, "UTF-8"))
+        return f"CASE WHEN {text} <> '' THEN encode({text}, 'UTF-8') END"
     raise ValueError(f"unknown column type {type_name!r}")
 
 
-def is_rejected(text: Column, type_name: str) -> Column:
-    """True where non-empty text cannot be read as the type."""
+def rejected_sql(text: str, type_name: str) -> str:
+    """SQL that is true where non-empty text cannot be read as the type."""
     if type_name in ("string", "binary"):
-        return F.lit(False)
-    return F.coalesce((text != "") & coerced(text, type_name).isNull(), F.lit(False))
+        return "false"
+    return f"coalesce({text} <> '' AND ({coerced_sql(text, type_name)}) IS NULL, false)"
+
+
+def coerced(name: str, type_name: str) -> Column:
+    """The typed value of a text column."""
+    return F.expr(coerced_sql(quoted(name), type_name))
+
+
+def is_rejected(name: str, type_name: str) -> Column:
+    """True where a column's text cannot be read as the type."""
+    return F.expr(rejected_sql(quoted(name), type_name))
 
 
-def _typed(name: str, type_name: str, on_error: str) -> Column:
-    text = col(name)
-    value = coerced(text, type_name)
+def _texts(values: Sequence[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _literal(text: str) -> str:
+    """Any text as a SQL literal."""
+    return f"decode(unhex('{text.encode('utf-8').hex()}'), 'UTF-8')"
+
+
+def _typed(name: str, type_name: str, on_error: str) -> str:
+    text = quoted(name)
+    value = coerced_sql(text, type_name)
     if on_error == "fail" and type_name not in ("string", "binary"):
-        refuse = F.raise_error(
-            F.concat(F.lit(f"column {name}: cannot read '"), text, F.lit(f"' as {type_name}"))
-        ).cast(SPARK_TYPES[type_name])
-        value = F.coalesce(value, F.when(text != "", refuse))
-    return value.alias(name)
+        message = f"concat({_literal(f'column {name}: cannot read ')}, char(39), {text}, char(39), ' as {type_name}')"
+        target = SPARK_TYPES[type_name].simpleString()
+        value = f"coalesce({value}, CASE WHEN {text} <> '' THEN CAST(raise_error({message}) AS {target}) END)"
+    return f"{value} AS {text}"
 
 
 def coerce(df: DataFrame, columns: Sequence[ColumnDef], on_error: str = "fail") -> DataFrame:
@@ -80,21 +99,20 @@ def coerce(df: DataFrame, columns: Sequence[ColumnDef], on_error: str = "fail")
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
     types = {c.name: c.type for c in columns}
-    return df.select(*[
-        _typed(name, types[name], on_error) if name in types else col(name)
+    return df.selectExpr(*[
+        _typed(name, types[name], on_error) if name in types else quoted(name)
         for name in df.columns
     ])
 
 
 def coercion_rejects(df: DataFrame, columns: Sequence[ColumnDef]) -> DataFrame:
     """``(column, value, n)`` for all text that does not fit its column's type, in one pass."""
-    found = F.array_compact(F.array(*[
-        F.when(
-            is_rejected(col(c.name), c.type),
-            F.struct(F.lit(c.name).alias("column"), col(c.name).alias("value")),
-        )
+    bad = [
+        f"CASE WHEN {rejected_sql(quoted(c.name), c.type)} "
+        f"THEN struct({_literal(c.name)} AS column, {quoted(c.name)} AS value) END"
         for c in columns
-    ]))
+    ]
+    found = F.array_compact(F.expr(f"array({', '.join(bad)})"))
     return (
         df.select(F.explode(found).alias("bad"))
         .groupBy("bad.column", "bad.value")

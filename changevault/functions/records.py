@@ -7,7 +7,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from changevault.model import OVERFLOW, ColumnDef, col, is_system
+from changevault.model import OVERFLOW, ColumnDef, col, is_system, listed, quoted
+from changevault.session import as_utc
 
 RECORD_ID = r"\A[a-zA-Z0-9]+\z"
 _RECORD_ID = re.compile(r"[a-zA-Z0-9]+")
@@ -32,8 +33,9 @@ def extract_fields(columns: Iterable[str], watermark_field: str, deleted_field:
 def align(df: DataFrame, columns: Sequence[ColumnDef]) -> DataFrame:
     """Exactly the given columns in their order; absent ones become NULL of their type."""
     present = set(df.columns)
-    return df.select(*[
-        col(c.name) if c.name in present else F.lit(None).cast(c.field.dataType).alias(c.name)
+    return df.selectExpr(*[
+        quoted(c.name) if c.name in present
+        else f"CAST(NULL AS {c.field.dataType.simpleString()}) AS {quoted(c.name)}"
         for c in columns
     ])
 
@@ -48,16 +50,16 @@ def spill_overflow(df: DataFrame, mapped: Iterable[str]) -> DataFrame:
     spilled = sorted(c for c in df.columns if c not in keep and not is_system(c))
     if not spilled:
         return df.withColumn(OVERFLOW, F.lit(None).cast("string"))
-    any_value = F.coalesce(*[col(c).cast("string") for c in spilled])
-    body = F.when(any_value.isNotNull(), F.to_json(F.struct(*[col(c) for c in spilled])))
-    return df.select(*[col(c) for c in kept if c != OVERFLOW], body.alias(OVERFLOW))
+    some = " OR ".join(f"{quoted(c)} IS NOT NULL" for c in spilled)
+    body = f"CASE WHEN {some} THEN to_json(struct({listed(spilled)})) END AS {OVERFLOW}"
+    return df.selectExpr(*[quoted(c) for c in kept if c != OVERFLOW], body)
 
 
 def as_text(name: str, data_type: T.DataType) -> Column:
     """Text that :func:`changevault.functions.coerce.coerced` reads back to the same value."""
     value = col(name)
     if isinstance(data_type, T.TimestampType):
-        text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        text = F.date_format(as_utc(value), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     elif isinstance(data_type, T.TimestampNTZType):
         text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     elif isinstance(data_type, T.BinaryType):

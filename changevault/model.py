@@ -72,6 +72,7 @@ SYSTEM_FIELDS = (
 # Newest version first: later sync wins a tie on the stamp, then a stored row hash decides.
 RAW_TIEBREAK = (SYNCED_AT, ROW_HASH)
 
+# What a field catalog may hold; object, name, type and nillable are needed. ``reference_to`` names the parent object.
 CATALOG_SCHEMA = T.StructType([
     T.StructField("object", T.StringType()),
     T.StructField("name", T.StringType()),
@@ -80,6 +81,7 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("precision", T.IntegerType()),
     T.StructField("scale", T.IntegerType()),
     T.StructField("nillable", T.BooleanType()),
+    T.StructField("reference_to", T.StringType()),
 ])
 
 _PATH_SAFE = re.compile(r"[A-Za-z0-9_]+")
@@ -158,14 +160,6 @@ def pick_specs(specs: Sequence[ObjectSpec], only: str | None = None) -> list[Obj
     return chosen
 
 
-def specs_frame(spark: SparkSession, specs: Iterable[ObjectSpec]) -> DataFrame:
-    """``(object, overflow, removed_field_policy)``, one row per spec."""
-    return local_frame(
-        spark, [(s.name, s.overflow, s.removed_field_policy) for s in specs],
-        "object string, overflow boolean, removed_field_policy string",
-    )
-
-
 def excludes_frame(spark: SparkSession, specs: Iterable[ObjectSpec]) -> DataFrame:
     """``(object, name)``, one row per excluded field."""
     return local_frame(
@@ -179,9 +173,19 @@ def is_system(name: str) -> bool:
     return name.startswith("_")
 
 
+def quoted(name: str) -> str:
+    """The name as SQL reads it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
-    """Column by exact name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(quoted(name))
+
+
+def listed(names: Iterable[str]) -> str:
+    """Names as a list in SQL. Wide tables are handled in SQL text: one call for all columns, not some for each."""
+    return ", ".join(map(quoted, names))
 
 
 def check_case_collisions(names: Iterable[str]) -> None:

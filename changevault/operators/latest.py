@@ -69,8 +69,9 @@ def since(df: DataFrame, spec: ObjectSpec, at: str | datetime) -> DataFrame:
 def _stamp_partitions(df: DataFrame, spec: ObjectSpec, bound: Column) -> list[tuple[str, Column]]:
     """Partition columns derived from the stamp, each with the value the bound falls in."""
     present = set(df.columns)
+    data_type = df.schema[spec.watermark_field].dataType
     derived = [
-        partition_column(part, bound)
+        partition_column(part, bound, data_type)
         for part in spec.partition_by
         if part.field == spec.watermark_field and part.transform in TRANSFORMS
     ]
@@ -120,4 +121,9 @@ def last_good_state(
 def _one_record(raw: DataFrame, spec: ObjectSpec, record_id: str | int) -> DataFrame:
     if not is_valid_record_id(str(record_id)):
         raise ValueError(f"{record_id!r} is not a valid record id")
-    return raw.where(col(spec.primary_key) == F.lit(record_id))
+    return raw.where(is_record(raw, spec, record_id))
+
+
+def is_record(raw: DataFrame, spec: ObjectSpec, record_id: str | int) -> Column:
+    """The key equals an id given as text or number; the id takes the key's type, not the other way round."""
+    return col(spec.primary_key) == F.lit(record_id).try_cast(raw.schema[spec.primary_key].dataType)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.model import ChangeVaultError, ObjectSpec, col
-from changevault.operators.lookup import lookup_join
-from changevault.session import checkpoint
+from changevault.operators.lookup import HOT_BYTES, hot_keys, lookup_join
+from changevault.session import as_utc, checkpoint
 
 CANONICAL_ID = "canonical_id"
 
@@ -14,14 +14,16 @@ CANONICAL_ID = "canonical_id"
 def canonical_ids(raw: DataFrame, spec: ObjectSpec, known: DataFrame | None = None) -> DataFrame:
     """``(key, canonical_id)``, one row per key ever seen.
 
-    Keys in ``known`` keep their id. A new key's id is a hash of object, key and its first
-    stamp, so that running again gives the same id.
+    Keys in ``known`` keep their id, whatever arrives later or is dropped. A new key's id is a hash of
+    object, key and its first stamp so far, in UTC. To keep ids for good, store them:
+    :func:`changevault.sources.canonical.register_ids`.
     """
     key = spec.primary_key
     first = raw.groupBy(col(key)).agg(F.min(col(spec.watermark_field)).alias("__first"))
-    made = F.sha2(
-        F.concat_ws(":", F.lit(spec.name), col(key).cast("string"), F.col("__first").cast("string")), 256
-    )
+    stamp = F.col("__first")
+    if isinstance(raw.schema[spec.watermark_field].dataType, T.TimestampType):
+        stamp = as_utc(stamp)
+    made = F.sha2(F.concat_ws(":", F.lit(spec.name), col(key).cast("string"), stamp.cast("string")), 256)
     if known is None:
         return first.select(col(key), made.alias(CANONICAL_ID))
     kept = known.select(col(key), F.col(CANONICAL_ID).alias("__known"))
@@ -30,10 +32,18 @@ def canonical_ids(raw: DataFrame, spec: ObjectSpec, known: DataFrame | None = No
     )
 
 
-def assign_canonical_id(raw: DataFrame, spec: ObjectSpec, known: DataFrame | None = None) -> DataFrame:
+def assign_canonical_id(
+    raw: DataFrame, spec: ObjectSpec, known: DataFrame | None = None, hot_bytes: int = HOT_BYTES
+) -> DataFrame:
     """Every row with the canonical id of its key."""
     ids = canonical_ids(raw, spec, known).withColumnRenamed(spec.primary_key, "__id_key")
-    return lookup_join(raw, ids, spec.primary_key, "__id_key").drop("__id_key")
+    return lookup_join(raw, ids, spec.primary_key, "__id_key", hot_bytes).drop("__id_key")
+
+
+def reference_edges(catalog: DataFrame) -> DataFrame:
+    """``(object, field, parent)``: the reference fields of a field catalog, by its ``reference_to``."""
+    told = F.col("reference_to").isNotNull() & (F.col("type") == "reference")
+    return catalog.where(told).select("object", F.col("name").alias("field"), F.col("reference_to").alias("parent"))
 
 
 def rewrite_parent_refs(
@@ -43,6 +53,7 @@ def rewrite_parent_refs(
     parent_object: str,
     parent_key: str = "Id",
     canonical: str = CANONICAL_ID,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Child rows with the reference replaced by the parent's canonical id.
 
@@ -51,7 +62,7 @@ def rewrite_parent_refs(
     """
     target = f"{ref}:{parent_object}:{canonical}"
     ids = parent.select(col(parent_key).alias("__parent_key"), col(canonical).alias("__parent_id"))
-    joined = lookup_join(child, ids, ref, "__parent_key")
+    joined = lookup_join(child, ids, ref, "__parent_key", hot_bytes)
     return joined.select(
         *[col(c) for c in child.columns if c != ref], F.col("__parent_id").alias(target)
     )
@@ -60,8 +71,8 @@ def rewrite_parent_refs(
 def restore_levels(edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
     """``(object, level)``: 0 without parents, else one more than the highest parent.
 
-    ``edges`` is ``(object, parent)``. Each round settles all objects whose parents are settled
-    and drops their edges, so there are as many rounds as levels. An object referring to itself
+    ``edges`` is ``(object, parent)``. Each round closes the edges to what the round before settled and
+    settles the objects left without an open one, so there are as many rounds as levels. An object referring to itself
     is no ordering constraint. Objects on or behind a cycle never settle: an error, or rows with
     a NULL level for ``on_cycle='null'``.
     """
@@ -73,33 +84,30 @@ def restore_levels(edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
         .where(F.col("object").isNotNull())
         .distinct()
     )
-    levels = checkpoint(
+    settled = checkpoint(
         nodes.join(open_edges.select("object").distinct(), "object", "left_anti")
         .withColumn("level", F.lit(0))
     )
+    levels, level = settled, 0
+    hot = hot_keys(open_edges, "parent")  # of all edges, so of those still open too
     while True:
-        settled = levels.select(F.col("object").alias("__parent"), F.col("level").alias("__level"))
-        state = (
-            lookup_join(open_edges, settled, "parent", "__parent")
-            .groupBy("object")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.count("__level").alias("known"),
-                F.max("__level").alias("highest"),
-            )
-        )
-        ready = checkpoint(
-            state.where(F.col("n") == F.col("known"))
-            .select("object", (F.col("highest") + 1).alias("level"))
-        )
-        if ready.isEmpty():
+        level += 1
+        # edges of what was just settled close; an object without open edges is settled in turn
+        marks = settled.select(F.col("object").alias("__parent"), F.lit(True).alias("__closed"))
+        marked = checkpoint(lookup_join(open_edges, marks, "parent", "__parent", hot=hot).drop("__parent"))
+        counted = marked.groupBy("object").agg(F.count_if(F.col("__closed").isNull()).alias("open"))
+        settled = checkpoint(counted.where("open = 0").select("object", F.lit(level).alias("level")))
+        open_edges = marked.where("__closed IS NULL").drop("__closed")
+        if settled.isEmpty():
             break
-        levels = levels.unionByName(ready)
-        open_edges = checkpoint(open_edges.join(ready.select("object"), "object", "left_anti"))
+        levels = levels.unionByName(settled)
     stuck = open_edges.select("object").distinct()
     if on_cycle == "null":
         return levels.unionByName(stuck.withColumn("level", F.lit(None).cast("int")))
-    named = stuck.take(5)
-    if named:
-        raise ChangeVaultError("references form a cycle, at or before " + ", ".join(str(r.object) for r in named))
+    some = stuck.orderBy("object").take(5)
+    if some:
+        raise ChangeVaultError(
+            f"references form a cycle: {stuck.count()} objects are on or behind one, among them "
+            + ", ".join(str(r.object) for r in some) + "; on_cycle='null' returns them all"
+        )
     return levels

@@ -2,47 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.model import col
 from changevault.session import local_frame
 
-# Rows of one key that a task takes in its stride.
-HOT_ROWS = 1_000_000
+#: Bytes of one key that a task takes in its stride.
+HOT_BYTES = 256 << 20
+# Rough size of a value whose length its type does not tell.
+_LONG_VALUE = 64
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``df`` left-joined with ``lookup`` on ``df.on = lookup.key``; ``lookup.key`` is unique.
+def row_bytes(schema: T.StructType) -> int:
+    """About how many bytes a row of these types takes."""
+    fixed = {T.BooleanType: 8, T.IntegerType: 8, T.LongType: 8, T.DoubleType: 8, T.FloatType: 8, T.DateType: 8,
+             T.TimestampType: 8, T.TimestampNTZType: 8}
+    return 16 + sum(fixed.get(type(f.dataType), _LONG_VALUE) for f in schema.fields)
+
 
-    A first pass over the ``on`` column alone counts keys, NULL included (partial counts, then
-    one shuffle of those), and takes the most frequent ones with more than ``hot_rows`` rows.
-    Where there is none the join is a plain one. Else the rows of each hot key are spread over
-    salted groups of about ``hot_rows`` rows and the lookup's row is repeated once per group.
+def hot_keys(df: DataFrame, on: str, hot_bytes: int = HOT_BYTES) -> list[tuple]:
+    """``(key, groups)`` of keys with more than ``hot_bytes`` of rows, NULL included, most frequent first.
 
-    At most as many keys count as hot as there are shuffle partitions, which bounds what is
-    broadcast; a key beyond those has no more rows than an average partition. ``lookup`` must
-    not share column names with ``df``.
+    One pass over the ``on`` column alone (partial counts, then one shuffle of those). At most as
+    many keys count as hot as there are shuffle partitions, which bounds what is broadcast; a key
+    beyond those has no more rows than an average partition.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot_list = (
+    rows = max(1, hot_bytes // row_bytes(df.schema))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = (
         df.groupBy(col(on).alias("__hot"))
         .count()
-        .where(F.col("count") > hot_rows)
+        .where(F.col("count") > rows)
         .orderBy(F.col("count").desc())
         .limit(partitions)
-        .select("__hot", F.ceil(F.col("count") / hot_rows).cast("int").alias("__groups"))
-        .collect()
+        .select("__hot", F.ceil(F.col("count") / rows).cast("int").alias("__groups"))
     )
-    if not hot_list:
+    return [tuple(r) for r in found.collect()]
+
+
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, on: str, key: str, hot_bytes: int = HOT_BYTES, hot: list[tuple] | None = None
+) -> DataFrame:
+    """``df`` left-joined with ``lookup`` on ``df.on = lookup.key``; ``lookup.key`` is unique.
+
+    Where no key is hot (:func:`hot_keys`, which callers that join in rounds count once and pass as
+    ``hot``), the join is a plain one. Else the rows of each hot key are spread over salted groups of
+    about ``hot_bytes`` and the lookup's row is repeated once per group. ``lookup`` must not share
+    column names with ``df``.
+    """
+    spark = df.sparkSession
+    if hot is None:
+        hot = hot_keys(df, on, hot_bytes)
+    if not hot:
         return df.join(lookup, col(on) == col(key), "left")
     key_type = df.schema[on].dataType.simpleString()
-    hot = F.broadcast(local_frame(spark, hot_list, f"__hot {key_type}, __groups int"))
+    listed = F.broadcast(local_frame(spark, hot, f"__hot {key_type}, __groups int"))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in df.columns]), F.col("__groups"))
-    left = df.join(hot, col(on).eqNullSafe(F.col("__hot")), "left").withColumn(
+    left = df.join(listed, col(on).eqNullSafe(F.col("__hot")), "left").withColumn(
         "__salt", F.when(F.col("__groups").isNotNull(), spread).otherwise(F.lit(0)).cast("int")
     )
-    right = lookup.join(hot, col(key) == F.col("__hot"), "left").select(
+    right = lookup.join(listed, col(key) == F.col("__hot"), "left").select(
         *[col(c) for c in lookup.columns],
         F.explode(F.sequence(F.lit(0), F.coalesce("__groups", F.lit(1)) - 1)).alias("__lookup_salt"),
     )

@@ -6,12 +6,15 @@ reduction to one row per key happens before, in :func:`latest_per_key`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from changevault.model import ROW_HASH, SYNCED_AT, ObjectSpec, col, is_system
+from changevault.model import ROW_HASH, SYNCED_AT, ObjectSpec, col, is_system, quoted
 
 IS_LIVE = "_is_live"
 VERSION = ("_ver_stamp", "_ver_synced", "_ver_hash")
+_KEY = "__key"
 
 
 def deleted_flag(df: DataFrame, name: str) -> Column:
@@ -45,14 +48,12 @@ def merge_current(current: DataFrame, latest: DataFrame, key: str, deleted: str)
     inserted. A NULL flag or an unmatched deletion does nothing; keys only the target has stay.
     Columns come from ``latest``, then those only ``current`` has.
     """
-    joined = _full_outer(current, latest, key, deleted)
-    in_t = F.col("__t").isNotNull()
+    columns = latest.columns + [c for c in current.columns if c not in latest.columns]
+    joined = _full_outer(current, latest, key, deleted, {"__all": columns})
     apply = F.coalesce(~F.col("__del"), F.lit(False))
     remove = F.coalesce(F.col("__del"), F.lit(False))
-    columns = latest.columns + [c for c in current.columns if c not in latest.columns]
-    return joined.where(apply | (in_t & ~remove)).select(*[
-        _pick(c, apply, current, latest).alias(c) for c in columns
-    ])
+    kept = joined.where(apply | (F.col("__t").isNotNull() & ~remove))
+    return _chosen(kept, current, latest, {"__all": (apply, columns)})
 
 
 def empty_state(df: DataFrame) -> DataFrame:
@@ -68,23 +69,24 @@ def merge_state(state: DataFrame, latest: DataFrame, spec: ObjectSpec) -> DataFr
     record back. :func:`live_rows` is what :func:`merge_current` would hold.
     """
     latest = _with_version(latest)
-    joined = _full_outer(state, latest, spec.primary_key, spec.deleted_field)
-    in_s, in_t = F.col("__s").isNotNull(), F.col("__t").isNotNull()
-    newer = in_s & (~in_t | (_struct("__s_", VERSION) >= _struct("__t_", VERSION)))
-    apply = newer & F.coalesce(~F.col("__del"), F.lit(False))
-    remove = newer & F.coalesce(F.col("__del"), F.lit(False))
-    live = F.when(apply, True).when(remove, False).otherwise(
-        F.coalesce(F.col(f"__t_{IS_LIVE}"), F.lit(False))
-    )
     data = [c for c in latest.columns if c not in VERSION]
     data += [c for c in state.columns if c not in data and c not in VERSION and c != IS_LIVE]
-    return joined.select(
-        *[
-            (F.col("__k") if c == spec.primary_key else _pick(c, apply | remove, state, latest)).alias(c)
-            for c in data
-        ],
-        *[_pick(c, newer, state, latest).alias(c) for c in VERSION],
-        live.alias(IS_LIVE),
+    parts = {"__data": [c for c in data if c != spec.primary_key], "__ver": list(VERSION)}
+    joined = _full_outer(state, latest, spec.primary_key, spec.deleted_field, parts)
+    in_s, in_t = F.col("__s").isNotNull(), F.col("__t").isNotNull()
+    newer = in_s & (~in_t | (F.col("__s.__ver") >= F.col("__t.__ver")))
+    judged = joined.withColumn("__newer", newer).withColumn(
+        "__apply", F.col("__newer") & F.coalesce(~F.col("__del"), F.lit(False))
+    ).withColumn("__remove", F.col("__newer") & F.coalesce(F.col("__del"), F.lit(False)))
+    live = F.when(F.col("__apply"), True).when(F.col("__remove"), False).otherwise(
+        F.coalesce(F.col(f"__t.{IS_LIVE}"), F.lit(False))
+    )
+    judged = judged.withColumn("__live", live).withColumnRenamed("__k", _KEY)
+    chosen = _chosen(judged, state, latest, {
+        "__data": (F.col("__apply") | F.col("__remove"), parts["__data"]), "__ver": (F.col("__newer"), list(VERSION)),
+    }, [_KEY, "__live"])
+    return chosen.withColumnRenamed(_KEY, spec.primary_key).selectExpr(
+        *map(quoted, data), *VERSION, f"__live AS {IS_LIVE}"
     )
 
 
@@ -96,11 +98,9 @@ def live_rows(state: DataFrame) -> DataFrame:
 def versioned(df: DataFrame, spec: ObjectSpec) -> DataFrame:
     """Raw rows reduced to their data columns plus the version that orders them."""
     data = [c for c in df.columns if not is_system(c) or c == "_overflow"]
-    return df.select(
-        *[col(c) for c in data],
-        col(spec.watermark_field).cast("timestamp").alias(VERSION[0]),
-        col(SYNCED_AT).alias(VERSION[1]),
-        col(ROW_HASH).alias(VERSION[2]),
+    return df.selectExpr(
+        *map(quoted, data), f"CAST({quoted(spec.watermark_field)} AS TIMESTAMP_LTZ) AS {VERSION[0]}",
+        f"{SYNCED_AT} AS {VERSION[1]}", f"{ROW_HASH} AS {VERSION[2]}",
     )
 
 
@@ -110,27 +110,44 @@ def _with_version(df: DataFrame) -> DataFrame:
     return df
 
 
-def _struct(prefix: str, names: tuple[str, ...]) -> Column:
-    return F.struct(*[F.col(prefix + n).alias(n) for n in names])
-
+def _full_outer(target: DataFrame, source: DataFrame, key: str, deleted: str, parts: dict[str, list[str]]) -> DataFrame:
+    """``(__k, __t, __s, __del)``: each side's row as one struct, NULL where it has none.
 
-def _full_outer(target: DataFrame, source: DataFrame, key: str, deleted: str) -> DataFrame:
-    t = target.select(
-        col(key).alias("__k"), F.lit(True).alias("__t"), *[col(c).alias(f"__t_{c}") for c in target.columns]
-    )
-    s = source.select(
-        col(key).alias("__k"),
-        F.lit(True).alias("__s"),
-        deleted_flag(source, deleted).alias("__del"),
-        *[col(c).alias(f"__s_{c}") for c in source.columns],
+    The columns in ``parts`` are grouped into structs of the same fields on both sides, so that a
+    merge chooses once between two structs instead of once for each column.
+    """
+    types = {f.name: f.dataType.simpleString() for df in (source, target) for f in df.schema.fields}
+
+    def side(df: DataFrame, extra: list[str]) -> str:
+        present = set(df.columns)
+        groups = [
+            "struct(" + ", ".join(
+                quoted(c) if c in present else f"CAST(NULL AS {types[c]}) AS {quoted(c)}" for c in columns
+            ) + f") AS {name}"
+            for name, columns in parts.items() if columns
+        ]
+        return f"struct({', '.join(groups + [quoted(c) for c in extra if c in present])})"
+
+    t = target.selectExpr(f"{quoted(key)} AS __k", f"{side(target, [IS_LIVE])} AS __t")
+    s = source.withColumn("__del", deleted_flag(source, deleted)).selectExpr(
+        f"{quoted(key)} AS __k", f"{side(source, [])} AS __s", "__del"
     )
     return t.join(s, "__k", "full_outer")
 
 
-def _pick(name: str, from_source: Column, target: DataFrame, source: DataFrame) -> Column:
-    """Source value where ``from_source`` holds, else the target's."""
-    if name not in source.columns:
-        return col(f"__t_{name}")
-    if name not in target.columns:
-        return F.when(from_source, col(f"__s_{name}"))
-    return F.when(from_source, col(f"__s_{name}")).otherwise(col(f"__t_{name}"))
+def _chosen(
+    joined: DataFrame, target: DataFrame, source: DataFrame, parts: dict[str, tuple[Column, list[str]]],
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The source's struct where its condition holds, else the target's, expanded; columns that only the
+    target has come from the target."""
+    parts = {name: part for name, part in parts.items() if part[1]}
+    picked = joined.select(*keep, "__t", *[
+        F.when(condition, F.col(f"__s.{name}")).otherwise(F.col(f"__t.{name}")).alias(name)
+        for name, (condition, _) in parts.items()
+    ])
+    here = set(source.columns)
+    return picked.selectExpr(*keep, *[
+        f"{name if c in here else f'__t.{name}'}.{quoted(c)} AS {quoted(c)}"
+        for name, (_, columns) in parts.items() for c in columns
+    ])

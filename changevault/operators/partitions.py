@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from changevault.model import PartitionBy, col
+from changevault.session import as_utc
 
 TRANSFORMS = ("day", "hour", "month", "year")
 
 
-def partition_column(part: PartitionBy, value: Column) -> tuple[str, Column]:
-    """Name and value of the partition column for one partition field."""
+def partition_column(
+    part: PartitionBy, value: Column, data_type: T.DataType | None = None
+) -> tuple[str, Column]:
+    """Name and value of the partition column for one partition field, in UTC in any session."""
+    if isinstance(data_type, T.TimestampType) and part.transform in TRANSFORMS:
+        value = as_utc(value)
     if part.transform == "day":
         derived = F.to_date(value)
     elif part.transform == "hour":
@@ -30,7 +35,7 @@ def with_partitions(df: DataFrame, partition_by: Sequence[PartitionBy]) -> tuple
     present = set(df.columns)
     for part in partition_by:
         if part.field in present:
-            name, value = partition_column(part, col(part.field))
+            name, value = partition_column(part, col(part.field), df.schema[part.field].dataType)
             df = df.withColumn(name, value)
             names.append(name)
     return df, names

@@ -72,7 +72,10 @@ def type_changes(drift: DataFrame) -> DataFrame:
 
 
 def removed_policy(drift: DataFrame, policies: DataFrame) -> DataFrame:
-    """``(object, name, action)`` per removed field: halt where the policy says so, else tombstone."""
+    """``(object, name, action)`` per removed field: halt where the policy says so, else tombstone.
+
+    The rows are field metadata, few for each object; the join relies on adaptive execution for skew.
+    """
     policy = policies.select("object", "removed_field_policy")
     return (
         drift.where(F.col("change") == "removed")
@@ -91,12 +94,12 @@ def apply_removed_policy(drift: DataFrame, policies: DataFrame) -> DataFrame:
     halted = (
         decided.where(F.col("action") == "halt")
         .groupBy("object")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first"))
-        .take(1)
+        .agg(F.sort_array(F.collect_list("name")).alias("names"))
+        .collect()
     )
     if halted:
-        row = halted[0]
-        raise DriftHalted(f"object {row.object}: {row.n} column(s) removed at the source, first {row.first!r}")
+        told = "; ".join(f"object {r.object}: {', '.join(r.names)}" for r in sorted(halted, key=lambda r: r.object))
+        raise DriftHalted(f"columns removed at the source: {told}")
     return decided
 
 
@@ -114,12 +117,13 @@ def evolve(current: DataFrame, drift: DataFrame, policies: DataFrame | None = No
 
 
 def dry_run(current: DataFrame, desired: DataFrame) -> DataFrame:
-    """One report row per object: column counts, changes by kind, drift flag, status.
+    """One report row per object: column counts, changes by kind with their names, drift flag, status.
 
     Status is ``create`` (no stored table), ``missing`` (no source metadata), ``drift`` or
-    ``same``. Intentionally left-out fields count as removed here, as nothing is written. The
-    names behind the counts are the rows of :func:`detect_drift`.
+    ``same``. Intentionally left-out fields count as removed here, as nothing is written. Names
+    are sorted; their types are the rows of :func:`detect_drift`.
     """
+    names = {"new": "new_columns", "removed": "removed_columns", "type_change": "changed_columns"}
     counts = (
         _compared(current, desired)
         .groupBy("object")
@@ -129,6 +133,10 @@ def dry_run(current: DataFrame, desired: DataFrame) -> DataFrame:
             F.count_if(F.col("change") == "new").alias("n_new"),
             F.count_if(F.col("change") == "removed").alias("n_removed"),
             F.count_if(F.col("change") == "type_change").alias("n_type_change"),
+            *[
+                F.sort_array(F.collect_list(F.when(F.col("change") == kind, F.col("name")))).alias(column)
+                for kind, column in names.items()
+            ],
         )
     )
     status = (

@@ -8,9 +8,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changevault.model import WATERMARK_BUFFER_MINUTES, ObjectSpec, col
-from changevault.operators.latest import latest_per_key
+from changevault.operators.latest import latest_per_key, since as since_moment
 from changevault.session import moment, moment_lit
 
+_ROW = "__row"
+
 
 def incremental(df: DataFrame, spec: ObjectSpec, watermark: str | datetime | None) -> DataFrame:
     """Rows stamped strictly after the watermark; without field or watermark, all rows.
@@ -64,16 +66,17 @@ def drop_seen(
 ) -> DataFrame:
     """Batch rows whose (key, stamp) is not among ``seen``, each (key, stamp) once.
 
-    ``since`` bounds the part of ``seen`` that can overlap (watermark less the buffer). Both
-    sides are reduced to one row per (key, stamp) before they meet, and share that shuffle.
-    Rows without a stamp are all kept.
+    ``since`` bounds the part of ``seen`` that can overlap (watermark less the buffer), partitions
+    included. Both sides are reduced to one row per (key, stamp) before they meet, and share that
+    shuffle. Rows without a stamp are all kept: a number of their own tells them apart, so that
+    the batch is read once.
     """
     on = [spec.primary_key, spec.watermark_field]
     stamp = col(spec.watermark_field)
     if since is not None:
+        seen = since_moment(seen, spec, since)
         seen = seen.where(stamp > moment_lit(since, seen.schema[spec.watermark_field].dataType))
-    fresh = latest_per_key(batch.where(stamp.isNotNull()), on, spec.watermark_field, tiebreak)
+    own = F.when(stamp.isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    fresh = latest_per_key(batch.withColumn(_ROW, own), [*on, _ROW], spec.watermark_field, tiebreak)
     known = seen.where(stamp.isNotNull()).select(*[col(c) for c in on]).distinct()
-    return fresh.join(known, on, "left_anti").select(*[col(c) for c in batch.columns]).unionByName(
-        batch.where(stamp.isNull())
-    )
+    return fresh.drop(_ROW).join(known, on, "left_anti").select(*[col(c) for c in batch.columns])

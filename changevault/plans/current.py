@@ -12,7 +12,7 @@ from changevault.model import ObjectSpec, col, pick_specs
 from changevault.operators.latest import latest_per_key
 from changevault.operators.merge import VERSION, empty_state, merge_state, versioned
 from changevault.sources.current import read_state, state_path, write_state
-from changevault.sources.ledger import CURRENT, Entry, history, new_commit_id, publish
+from changevault.sources.ledger import CURRENT, Entry, history, is_published, new_commit_id, publish
 from changevault.sources.raw import read_raw
 
 log = logging.getLogger(__name__)
@@ -38,15 +38,17 @@ def refresh_current(
     """Bring ``<object>_current`` up to date and publish it as a new version.
 
     Only commits no earlier merge covered are read; the state's stored versions make that equal
-    to merging over everything, which ``full`` does. A ``merge_id`` already published is skipped.
+    to merging over everything, which ``full`` does. Where maintenance has replaced a commit that
+    waited, its replacement is read: rows merged before change nothing. A ``merge_id`` already
+    published is skipped. Each merge writes the whole state anew, so merge what waits at once.
     """
-    known = history(spark, root, spec.name)
-    if merge_id is not None and merge_id in known.merges_done:
+    if merge_id is not None and is_published(spark, root, spec.name, CURRENT, merge_id):
         return MergeResult(spec.name, None)
+    known = history(spark, root, spec.name)
     if commits is None:
         commits = known.live if full else known.pending
     else:
-        commits = list(commits) if set(commits) <= set(known.live) else known.live
+        commits = known.waiting(commits)
     raw = read_raw(spark, spec, root, commits=commits)
     state = read_state(spark, spec, root, known)
     if not commits and state is not None:
@@ -61,7 +63,7 @@ def refresh_current(
     write_state(merged, spec, path, co_located and known.current.buckets == spec.current_buckets)
     publish(spark, root, Entry(
         spec.name, CURRENT, merge_id, commit_id, spark.read.parquet(path).count(),
-        covers=known.covers_after(commits), buckets=spec.current_buckets,
+        covers=commits, buckets=spec.current_buckets,
     ))
     return MergeResult(spec.name, commit_id, tuple(commits))
 

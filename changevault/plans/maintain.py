@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from changevault.model import COMMIT, RETENTION_DAYS, ObjectSpec
+from changevault.model import COMMIT, RETENTION_DAYS, ObjectSpec, col
 from changevault.operators.latest import since, table_as_of
-from changevault.session import EPOCH, moment, now, to_micros
-from changevault.sources.ledger import MAINTENANCE, Entry, History, history, publish
-from changevault.sources.raw import read_columns, read_commits, stage
+from changevault.session import from_micros, moment, now, to_micros
+from changevault.sources.ledger import MAINTENANCE, Entry, history, publish
+from changevault.sources.raw import Staged, read_columns, read_commits, stage, stage_split
 
 
 @dataclass(frozen=True)
@@ -20,9 +21,17 @@ class MaintenanceResult:
 
     object: str
     replaced: tuple[str, ...]
-    commit_id: str | None = None
+    commits: tuple[str, ...] = ()
     rows: int = 0
 
+    @property
+    def commit_id(self) -> str | None:
+        return self.commits[0] if self.commits else None
+
+
+# Sync ids of maintenance commits begin with these.
+PACKED, BASELINE, KEPT = "compact-", "expire-baseline-", "expire-"
+
 
 def compact(
     spark: SparkSession,
@@ -35,16 +44,17 @@ def compact(
     """Pack the commits published on one day into one; rows and their sync ids stay the same.
 
     The default day is today less ``lookback_days``. File sizes follow the session's
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. A day that an earlier run packed is left alone.
     """
     day = day or (now() - timedelta(days=lookback_days)).date()
     known = history(spark, root, spec.name)
-    chosen = [c for c in known.live if _published_on(known, c) == day]
-    if dry_run or len(chosen) < 2:
-        return MaintenanceResult(spec.name, tuple(chosen) if dry_run else ())
+    chosen = [c for c in known.commits if _published_on(c) == day]
+    packed = len(chosen) == 1 and chosen[0].sync_id.startswith(PACKED)
+    if dry_run or not chosen or packed:
+        return MaintenanceResult(spec.name, () if packed else tuple(c.commit_id for c in chosen))
     columns = read_columns(spark, spec, root)
-    rows = read_commits(spark, spec, root, columns, chosen)
-    return _replace(spark, spec, root, columns, rows, chosen, "compact")
+    rows = _rows(spark, spec, root, columns, chosen)
+    return _replace(spark, spec, root, chosen, [(PACKED, stage(rows, spec, root, columns))])
 
 
 def expire(
@@ -57,17 +67,24 @@ def expire(
     """Drop versions older than the retention window, but never a key's only past.
 
     The newest version of each key before the cutoff stays, so that every moment inside the
-    window can still be restored. Only commits reaching back beyond the cutoff are rewritten.
+    window can still be restored. These rows are a commit of their own, the baseline. It is read
+    again only with commits that newly reach back beyond the cutoff. What these hold inside the window is
+    written as commits that span 1, 2, 4, ... days from the cutoff on, so a daily run rewrites the
+    days next to its cutoff often and later ones seldom.
     """
     cutoff = (moment(as_of) if as_of else now()) - timedelta(days=keep_days)
     known = history(spark, root, spec.name)
-    oldest = {e.commit_id: e.min_stamp_us for e in known.entries}
-    chosen = [c for c in known.live if oldest[c] is not None and oldest[c] < to_micros(cutoff)]
-    if not chosen:
+    old = [c for c in known.commits if c.min_stamp_us is not None and c.min_stamp_us < to_micros(cutoff)]
+    crossing = [c for c in old if not c.sync_id.startswith(BASELINE)]
+    if not crossing:
         return MaintenanceResult(spec.name, ())
     columns = read_columns(spark, spec, root)
-    rows = retained(read_commits(spark, spec, root, columns, chosen), spec, cutoff)
-    return _replace(spark, spec, root, columns, rows, chosen, "expire")
+    rows = _rows(spark, spec, root, columns, old)
+    baseline = stage(table_as_of(rows, spec, cutoff), spec, root, columns)
+    days = (F.unix_micros(col(spec.watermark_field).cast("timestamp")) - to_micros(cutoff)) / 86_400_000_000
+    span = F.floor(F.log2(days + 1)).cast("int")
+    kept = stage_split(since(rows, spec, cutoff), spec, root, columns, span)
+    return _replace(spark, spec, root, old, [(BASELINE, baseline), *((KEPT, s) for s in kept)])
 
 
 def retained(raw: DataFrame, spec: ObjectSpec, cutoff: str | datetime, tiebreak=None) -> DataFrame:
@@ -75,16 +92,25 @@ def retained(raw: DataFrame, spec: ObjectSpec, cutoff: str | datetime, tiebreak=
     return since(raw, spec, cutoff).unionByName(table_as_of(raw, spec, cutoff, tiebreak))
 
 
-def _published_on(known: History, commit_id: str) -> date:
-    micros = next(e.committed_us for e in known.entries if e.commit_id == commit_id)
-    return (EPOCH + timedelta(microseconds=micros)).astimezone(timezone.utc).date()
+def _published_on(commit: Row) -> date:
+    return from_micros(commit.committed_us).astimezone(timezone.utc).date()
+
+
+def _rows(spark, spec, root, columns, chosen: Sequence[Row]) -> DataFrame:
+    rows = read_commits(spark, spec, root, columns, [c.commit_id for c in chosen])
+    return rows.drop(COMMIT)
 
 
-def _replace(spark, spec, root, columns, rows: DataFrame, chosen: list[str], job: str) -> MaintenanceResult:
-    parts = [c for c in rows.columns if c.startswith("_p_")]
-    staged = stage(rows.drop(COMMIT, *parts), spec, root, columns)
-    publish(spark, root, Entry(
-        spec.name, MAINTENANCE, f"{job}-{staged.commit_id}", staged.commit_id, staged.n_rows,
-        replaces=chosen, min_stamp=staged.min_stamp, max_stamp=staged.max_stamp,
-    ))
-    return MaintenanceResult(spec.name, tuple(chosen), staged.commit_id, staged.n_rows)
+def _replace(spark, spec, root, chosen: Sequence[Row], made: list[tuple[str, Staged]]) -> MaintenanceResult:
+    """Publish the new commits in one step; they wait for a merge if any of what they replace does."""
+    merged = not any(c.pending for c in chosen)
+    replaced = tuple(c.commit_id for c in chosen)
+    publish(spark, root, *[
+        Entry(
+            spec.name, MAINTENANCE, f"{job}{s.commit_id}", s.commit_id, s.n_rows, replaces=replaced,
+            covers=[s.commit_id] if merged else [], min_stamp=s.min_stamp, max_stamp=s.max_stamp,
+        )
+        for job, s in made
+    ])
+    commits = tuple(s.commit_id for _, s in made if s.n_rows)
+    return MaintenanceResult(spec.name, replaced, commits, sum(s.n_rows for _, s in made))

@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changevault.functions.records import stringify
-from changevault.model import RESTORE_BULK_SIZE, NothingToRestore, ObjectSpec, col, is_system
-from changevault.operators.latest import before, last_good_state
+from changevault.model import RESTORE_BULK_SIZE, ChangeVaultError, NothingToRestore, ObjectSpec, col, is_system
+from changevault.operators.latest import before, is_record, last_good_state
+from changevault.operators.lineage import reference_edges, restore_levels, rewrite_parent_refs
+from changevault.operators.lookup import lookup_join
+from changevault.session import local_frame
+from changevault.sources.canonical import read_ids, register_ids
+from changevault.sources.raw import read_raw
 from changevault.sources.restore_csv import write_restore_csv
 
 
@@ -42,7 +49,57 @@ def restore_export(
     rows = last_good_state(raw, spec, at, record_id)
     versions = before(raw, spec, at)
     if record_id is not None and record_id != "":
-        versions = versions.where(col(spec.primary_key) == F.lit(record_id))
+        versions = versions.where(is_record(raw, spec, record_id))
     if versions.isEmpty():
         raise NothingToRestore(f"object {spec.name}: no records found before {at}")
     write_restore_csv(rows.drop(*exclude), path, bulk_size)
+
+
+@dataclass(frozen=True)
+class RelatedPages:
+    """Where one object's payload lies; pages of a lower level go first."""
+
+    object: str
+    level: int
+    path: str
+
+
+def restore_related(
+    spark: SparkSession,
+    specs: Sequence[ObjectSpec],
+    catalog: DataFrame,
+    root: str,
+    at: str | datetime,
+    path: str,
+    bulk_size: int = RESTORE_BULK_SIZE,
+) -> list[RelatedPages]:
+    """Write the past state of several related objects, parents before children, one folder each.
+
+    ``catalog`` names the references (``reference_to``). Every record carries its canonical id, and
+    a reference to one of ``specs`` is written as that parent's canonical id; other references stay.
+    Ids missing so far are stored first. Objects whose references form a cycle are an error that names all of them.
+    """
+    by_name = {s.name: s for s in specs}
+    named = local_frame(spark, [(n,) for n in by_name], "object string")
+    links = [r for r in reference_edges(catalog).collect() if r.object in by_name and r.parent in by_name]
+    edges = local_frame(spark, [(r.object, r.parent) for r in links], "object string, parent string")
+    own = named.select("object", F.col("object").alias("parent"))
+    levels = {r.object: r.level for r in restore_levels(edges.unionByName(own), on_cycle="null").collect()}
+    stuck = sorted(n for n, level in levels.items() if level is None)
+    if stuck:
+        raise ChangeVaultError(f"references form a cycle: {', '.join(stuck)} are on or behind one")
+    for spec in specs:
+        register_ids(spark, spec, root)
+    pages = []
+    for name in sorted(by_name, key=lambda n: (levels[n], n)):
+        spec = by_name[name]
+        rows = last_good_state(read_raw(spark, spec, root), spec, at)
+        ids = read_ids(spark, spec, root).withColumnRenamed(spec.primary_key, "__id_key")
+        rows = lookup_join(rows, ids, spec.primary_key, "__id_key").drop("__id_key")
+        for link in (r for r in links if r.object == name and r.parent != name):
+            parent = by_name[link.parent]
+            rows = rewrite_parent_refs(rows, read_ids(spark, parent, root), link.field, link.parent, parent.primary_key)
+        target = f"{path}/{levels[name]:02d}-{name}"
+        write_restore_csv(rows, target, bulk_size)
+        pages.append(RelatedPages(name, levels[name], target))
+    return pages

@@ -21,7 +21,7 @@ from changevault.operators.schema import columns_from_catalog, detect_drift, wit
 from changevault.operators.watermark import drop_seen, incremental, job_start_watermark
 from changevault.session import from_micros, local_frame, moment, now, to_micros
 from changevault.sources.extract import pick_fields, read_extract
-from changevault.sources.ledger import History, history
+from changevault.sources.ledger import RAW, History, get_watermark, history, is_published
 from changevault.sources.raw import add_columns, append_raw, ensure_table, read_commits
 
 
@@ -112,9 +112,10 @@ def sync_frame(
         raise ValueError("strategy must be 'batch_max' or 'job_start'")
     sync_id = sync_id or uuid4().hex
     started = moment(job_start) if job_start else now()
+    if is_published(spark, root, spec.name, RAW, sync_id):
+        last = get_watermark(spark, root, spec.name)
+        return SyncResult(spec.name, sync_id, watermark=last, skipped=True)
     known = history(spark, root, spec.name)
-    if sync_id in known.synced:
-        return SyncResult(spec.name, sync_id, watermark=known.watermark, skipped=True)
 
     table = prepare_table(spark, spec, catalog, root)
     rows = _typed_rows(spec, frame, table)
@@ -128,7 +129,7 @@ def sync_frame(
     if watermark is None and spec.watermark_field not in {c.name for c in table.columns}:
         watermark = _watermark_of(rows, spec)
     entry = append_raw(
-        rows, spec, root, sync_id, started, watermark, table.columns, job_id,
+        _without_stray_stamp(rows, spec, table), spec, root, sync_id, started, watermark, table.columns, job_id,
         max_records_per_file, known,
     )
     drift = dict(
@@ -137,7 +138,7 @@ def sync_frame(
     if entry is None:
         return SyncResult(spec.name, sync_id, watermark=known.watermark, **drift)
     return SyncResult(
-        spec.name, sync_id, entry.n_rows, entry.commit_id, entry.watermark, **drift
+        spec.name, sync_id, entry.n_rows, entry.commit_id if entry.n_rows else None, entry.watermark, **drift
     )
 
 
@@ -222,6 +223,12 @@ def _typed_rows(spec: ObjectSpec, frame: DataFrame, table: Prepared) -> DataFram
     return coerce(rows, types)
 
 
+def _without_stray_stamp(rows: DataFrame, spec: ObjectSpec, table: Prepared) -> DataFrame:
+    """A watermark field that is no table column has served its purpose once the watermark is known."""
+    stored = {c.name for c in table.columns}
+    return rows if spec.watermark_field in stored else rows.drop(spec.watermark_field)
+
+
 def _watermark_of(rows: DataFrame, spec: ObjectSpec) -> datetime | None:
     """Newest stamp of a batch whose watermark field is no table column."""
     if not spec.watermark_field or spec.watermark_field not in rows.columns:
@@ -232,8 +239,7 @@ def _watermark_of(rows: DataFrame, spec: ObjectSpec) -> datetime | None:
 def _overlapping(known: History, spec: ObjectSpec) -> list[str]:
     """Live commits that hold stamps after the watermark."""
     bound = to_micros(known.watermark)
-    newest = {e.commit_id: e.max_stamp_us for e in known.entries}
-    return [c for c in known.live if newest[c] is None or newest[c] > bound]
+    return [c.commit_id for c in known.commits if c.max_stamp_us is None or c.max_stamp_us > bound]
 
 
 def _frame(spark: SparkSession, spec: ObjectSpec, columns: Sequence[ColumnDef]) -> DataFrame:

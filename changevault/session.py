@@ -32,11 +32,13 @@ def require_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) is a local folder made and set.
+    Where none is named, a local folder is made and set in local mode; elsewhere that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return base
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     base = tempfile.mkdtemp(prefix="changevault-")
     spark.sparkContext.setCheckpointDir(base)
     return base
@@ -47,6 +49,11 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stream_id(spark: SparkSession) -> str:
+    """Inside a trigger: the identity of the running stream, which its checkpoint folder keeps."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, which survives the loss of executors."""
     spark = df.sparkSession
@@ -73,11 +80,17 @@ def moment_lit(value: str | datetime, data_type: T.DataType | None = None) -> Co
     """Literal for a moment, typed like the column it is compared with."""
     at = moment(value)
     text = at.strftime("%Y-%m-%d %H:%M:%S.%f")
-    if isinstance(data_type, T.TimestampNTZType):
-        return F.lit(text).cast("timestamp_ntz")
+    if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
+        return F.lit(text).cast("timestamp_ntz")  # a date is compared as its midnight in UTC
     return F.lit(text + "Z").cast("timestamp")
 
 
+def as_utc(value: Column) -> Column:
+    """A TIMESTAMP as TIMESTAMP_NTZ in UTC, whatever the session's zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch)
+
+
 def to_micros(value: datetime) -> int:
     return (moment(value) - EPOCH) // timedelta(microseconds=1)
 

@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changevault.model import COMMIT, ChangeVaultError, ObjectSpec, col
+from changevault.model import COMMIT, ChangeVaultError, ObjectSpec, col, quoted
 from changevault.operators.merge import live_rows
 from changevault.sources.ledger import History, history
 
@@ -41,11 +41,13 @@ def write_state(state: DataFrame, spec: ObjectSpec, path: str, clustered: bool)
     if not clustered:
         state = state.repartition(buckets, col(spec.primary_key))
     name = _entry_name()
-    (
-        state.write.format("parquet").bucketBy(buckets, spec.primary_key).sortBy(spec.primary_key)
-        .option("path", path).saveAsTable(name)
-    )
-    state.sparkSession.sql(f"DROP TABLE {name}")
+    try:
+        (
+            state.write.format("parquet").bucketBy(buckets, spec.primary_key).sortBy(spec.primary_key)
+            .option("path", path).saveAsTable(name)
+        )
+    finally:
+        state.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def read_current(spark: SparkSession, spec: ObjectSpec, root: str) -> DataFrame:
@@ -58,21 +60,18 @@ def read_current(spark: SparkSession, spec: ObjectSpec, root: str) -> DataFrame:
 
 def _read_bucketed(spark: SparkSession, spec: ObjectSpec, path: str, buckets: int) -> DataFrame:
     fields = spark.read.parquet(path).schema.fields
-    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
-    key, name = _quoted(spec.primary_key), _entry_name()
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+    key, name = quoted(spec.primary_key), _entry_name()
     location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet "
         f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'"
     )
-    frame = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return frame
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def _entry_name() -> str:
     return f"changevault_{uuid4().hex}"
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

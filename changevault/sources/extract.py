@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from changevault.model import col
+from changevault.model import quoted
 
 # The header is checked against the columns read, never matched by position, and a row of
 # another width fails the job.
@@ -36,7 +37,7 @@ def read_extract(
     ``fields`` picks columns by header name; a field no page has becomes NULL. Quoted line
     breaks need ``multi_line``, which makes each page one task; extracts known to have none can
     be split further by turning it off. Pages whose headers differ are an error, unless
-    ``mixed_headers`` spends a pass over the text to group pages by header.
+    ``mixed_headers`` groups pages by their first line. That reads all text once more.
     """
     paths = [path] if isinstance(path, str) else list(path)
     groups = _pages_by_header(spark, paths) if mixed_headers else [paths]
@@ -51,25 +52,19 @@ def read_extract(
 def pick_fields(frame: DataFrame, fields: Sequence[str]) -> DataFrame:
     """The named columns as text, absent ones as NULL."""
     present = set(frame.columns)
-    return frame.select(*[
-        col(f) if f in present else F.lit(None).cast("string").alias(f) for f in fields
+    return frame.selectExpr(*[
+        quoted(f) if f in present else f"CAST(NULL AS STRING) AS {quoted(f)}" for f in fields
     ])
 
 
 def cells(frame: DataFrame) -> DataFrame:
     """Spark reads empty cells as NULL: make them empty text, and quoted CR LF a plain LF."""
-    return frame.select(*[
-        F.replace(F.coalesce(col(c), F.lit("")), F.lit("\r\n"), F.lit("\n")).alias(c)
+    return frame.selectExpr(*[
+        f"replace(coalesce({quoted(c)}, ''), char(13) || char(10), char(10)) AS {quoted(c)}"
         for c in frame.columns
     ])
 
 
-def header_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Text columns in the header order of the pages under ``path``, for streaming reads."""
-    names = spark.read.options(**CSV_OPTIONS, multiLine=True).csv(path).columns
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
 def _read(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> DataFrame:
     return cells(spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(list(paths)))
 
@@ -85,5 +80,5 @@ def _pages_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str
     headers = lines.where("start = 0").groupBy("page").agg(F.min_by("value", "at").alias("header"))
     groups: dict[str, list[str]] = {}
     for row in headers.toLocalIterator():
-        groups.setdefault(row.header, []).append(row.page)
+        groups.setdefault(row.header, []).append(unquote(row.page))
     return [sorted(groups[h]) for h in sorted(groups)]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from changevault.session import from_micros, local_frame, moment, now, read_if_exists
 
@@ -39,7 +39,7 @@ LEDGER_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class Entry:
-    """One ledger row. ``replaces`` hides older commits, ``covers`` lists merged ones."""
+    """One ledger row. ``replaces`` hides older commits; ``covers`` lists commits whose rows the current state holds."""
 
     object: str
     kind: str
@@ -61,12 +61,12 @@ def new_commit_id() -> str:
     return uuid.uuid4().hex
 
 
-def publish(spark: SparkSession, root: str, entry: Entry) -> None:
-    """Append the row; the single file appears in one step."""
+def publish(spark: SparkSession, root: str, *entries: Entry) -> None:
+    """Append the rows, of one object and kind; their single file appears in one step."""
     stored = _without(LEDGER_SCHEMA, "object", "kind")
-    row = tuple(_stored(getattr(entry, name)) for name in stored.names)
-    frame = local_frame(spark, [row], stored)
-    frame.write.mode("append").parquet(f"{root}/ledger/object={entry.object}/kind={entry.kind}")
+    rows = [tuple(_stored(getattr(e, name)) for name in stored.names) for e in entries]
+    frame = local_frame(spark, rows, stored).coalesce(1)
+    frame.write.mode("append").parquet(f"{root}/ledger/object={entries[0].object}/kind={entries[0].kind}")
 
 
 def read_ledger(spark: SparkSession, root: str, object_name: str | None = None) -> DataFrame:
@@ -93,79 +93,69 @@ def live_commits(ledger: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class History:
-    """What the ledger says about one object, read in one job."""
+    """What the ledger says about one object's visible state.
 
-    entries: tuple
+    ``commits`` are the rows of live commits that hold data, each with ``pending``: no merge has
+    covered it. ``current`` is the row of the newest merge, or None.
+    """
 
-    @property
-    def live(self) -> list[str]:
-        gone = {c for e in self.entries for c in e.replaces or ()}
-        return [
-            e.commit_id for e in self.entries
-            if e.kind in (RAW, MAINTENANCE) and e.commit_id not in gone and e.n_rows > 0
-        ]
-
-    @property
-    def synced(self) -> set[str]:
-        return {e.sync_id for e in self.entries if e.kind == RAW}
-
-    @property
-    def merges_done(self) -> set[str]:
-        return {e.sync_id for e in self.entries if e.kind == CURRENT and e.sync_id}
-
-    @property
-    def watermark(self) -> datetime | None:
-        marks = [e.watermark_us for e in self.entries if e.kind == RAW and e.watermark_us is not None]
-        return from_micros(max(marks)) if marks else None
-
-    @property
-    def current(self):
-        """Ledger row of the newest merge, or None."""
-        merges = [e for e in self.entries if e.kind == CURRENT]
-        return max(merges, key=lambda e: (e.committed_us, e.commit_id), default=None)
+    commits: tuple
+    watermark: datetime | None
+    current: Row | None
 
     @property
-    def covered(self) -> set[str]:
-        return {c for e in self.entries if e.kind == CURRENT for c in e.covers or ()}
+    def live(self) -> list[str]:
+        return [c.commit_id for c in self.commits]
 
     @property
     def pending(self) -> list[str]:
-        """Raw commits no merge has covered. One that maintenance replaced means: all live ones."""
-        covered = self.covered
-        waiting = [
-            e.commit_id for e in self.entries
-            if e.kind == RAW and e.commit_id not in covered and e.n_rows > 0
-        ]
-        live = self.live
-        return waiting if set(waiting) <= set(live) else live
+        return [c.commit_id for c in self.commits if c.pending]
 
-    def covers_after(self, merged: Sequence[str]) -> list[str]:
-        """Commits newly covered once ``merged`` are in: they and what they replaced."""
-        parents = {e.commit_id: list(e.replaces or ()) for e in self.entries}
-        reached, todo = set(), list(merged)
-        while todo:
-            commit = todo.pop()
-            if commit not in reached:
-                reached.add(commit)
-                todo.extend(parents.get(commit, ()))
-        return sorted(reached - self.covered)
+    def waiting(self, commits: Sequence[str]) -> list[str]:
+        """Of these commits the live ones; for any that maintenance replaced, what waits in its place."""
+        wanted, live = set(commits), set(self.live)
+        replaced = not wanted <= live
+        return [
+            c.commit_id for c in self.commits
+            if c.commit_id in wanted or (replaced and c.pending and c.kind == MAINTENANCE)
+        ]
 
 
 def history(spark: SparkSession, root: str, object_name: str) -> History:
-    """Commit metadata of one object on the driver; it grows with the number of syncs, not rows."""
-    rows = read_ledger(spark, root, object_name).select(
-        "kind", "sync_id", "commit_id", "replaces", "covers", "n_rows", "buckets",
-        F.unix_micros("watermark").alias("watermark_us"),
+    """Live commits, watermark and newest merge of one object.
+
+    The ledger is reduced in Spark. What reaches the driver is a row for each live commit, whose
+    folders it must name to read them; compaction keeps these few.
+    """
+    ledger = read_ledger(spark, root, object_name)
+    covered = ledger.select(F.explode("covers").alias("commit_id")).distinct().withColumn("__covered", F.lit(True))
+    live = live_commits(ledger).where("n_rows > 0").join(covered, "commit_id", "left").select(
+        "kind", "commit_id", "sync_id",
         F.unix_micros("min_stamp").alias("min_stamp_us"),
         F.unix_micros("max_stamp").alias("max_stamp_us"),
         F.unix_micros("committed_at").alias("committed_us"),
+        F.col("__covered").isNull().alias("pending"),
     )
-    return History(tuple(rows.collect()))
+    merge = F.when(F.col("kind") == CURRENT, F.struct("commit_id", "buckets"))
+    order = F.when(F.col("kind") == CURRENT, F.struct("committed_at", "commit_id"))
+    state = ledger.agg(
+        F.unix_micros(F.max(F.when(F.col("kind") == RAW, F.col("watermark")))).alias("watermark_us"),
+        F.max_by(merge, order).alias("current"),
+    ).first()
+    commits = sorted(live.collect(), key=lambda c: (c.committed_us, c.commit_id))
+    return History(tuple(commits), from_micros(state.watermark_us), state.current)
+
+
+def is_published(spark: SparkSession, root: str, object_name: str, kind: str, sync_id: str) -> bool:
+    """Whether a sync or merge of this id is in the ledger."""
+    rows = read_ledger(spark, root, object_name).where(F.col("kind") == kind)
+    return not rows.where(F.col("sync_id") == sync_id).isEmpty()
 
 
 def get_watermark(spark: SparkSession, root: str, object_name: str) -> datetime | None:
     """Last committed watermark, or None when the object was never synced."""
-    return history(spark, root, object_name).watermark
+    rows = read_ledger(spark, root, object_name).where(F.col("kind") == RAW)
+    return from_micros(rows.agg(F.unix_micros(F.max("watermark"))).first()[0])
 
 
 def _stored(value):

@@ -6,19 +6,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import (
+    Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T,
+)
 
-from changevault.functions.records import align
+from changevault.functions.records import align, spill_overflow
 from changevault.model import (
     COMMIT, DEFAULT_BATCH_ROWS, OVERFLOW, ROW_HASH, SYNC_ID, SYNCED_AT, SYSTEM_FIELDS,
     ChangeVaultError, ColumnDef, ObjectSpec, RequiredValueMissing, check_case_collisions, col,
-    is_system,
+    is_system, listed, quoted,
 )
 from changevault.operators.partitions import partition_fields, with_partitions
 from changevault.session import (
     from_micros, local_frame, moment_lit, now, read_if_exists, require_utc,
 )
-from changevault.sources.ledger import RAW, Entry, History, history, new_commit_id, publish
+from changevault.sources.ledger import (
+    RAW, Entry, History, get_watermark, history, is_published, new_commit_id, publish,
+)
 
 _COLUMN_SCHEMA = T.StructType([
     T.StructField("position", T.IntegerType()),
@@ -123,7 +127,7 @@ def stamp_rows(
         "*",
         F.lit(sync_id).alias(SYNC_ID),
         moment_lit(synced_at).alias(SYNCED_AT),
-        F.xxhash64(*[col(c) for c in body.columns]).alias(ROW_HASH),
+        F.expr(f"xxhash64({listed(body.columns)})").alias(ROW_HASH),
     )
 
 
@@ -136,46 +140,94 @@ def stage(
 ) -> Staged:
     """Write rows under a fresh commit id, then read key and stamp back to describe them.
 
-    Partitioned tables are rebalanced on the partition columns first: each partition ends up in
-    few files of the session's advisory size, and a partition holding most of the batch is
+    Rows are rebalanced first, on the partition columns if there are any: each partition ends up
+    in few files of the session's advisory size, and a partition holding most of the batch is
     split over several tasks. Rows are sorted by key within a file, so that a lookup by id
     skips most row groups.
     """
+    rows, parts = _to_store(df, spec, columns)
+    commit_id = new_commit_id()
+    _laid_out(rows, spec, parts, max_records_per_file).parquet(f"{root}/raw/{spec.name}/{COMMIT}={commit_id}")
+    written = read_commits(df.sparkSession, spec, root, columns, [commit_id])
+    return _staged(spec, commit_id, written.agg(*_description(spec, columns)).first().asDict())
+
+
+def stage_split(
+    df: DataFrame, spec: ObjectSpec, root: str, columns: Sequence[ColumnDef], label: Column
+) -> list[Staged]:
+    """Write rows in one job as one commit for each value of ``label``, of which there are few."""
+    found = [r[0] for r in df.select(label).distinct().collect()]
+    if not found:
+        return []
+    ids = {value: new_commit_id() for value in found}
+    rows, parts = _to_store(df.withColumn(COMMIT, _lookup(label, ids)), spec, columns, COMMIT)
+    _laid_out(rows, spec, [COMMIT, *parts], None).mode("append").parquet(f"{root}/raw/{spec.name}")
+    written = read_commits(df.sparkSession, spec, root, columns, list(ids.values()))
+    described = written.groupBy(COMMIT).agg(*_description(spec, columns)).collect()
+    return [_staged(spec, r[COMMIT], r.asDict()) for r in described]
+
+
+def _lookup(label: Column, values: dict) -> Column:
+    chosen = F.lit(None).cast("string")
+    for key, value in values.items():
+        chosen = F.when(label.eqNullSafe(F.lit(key)), value).otherwise(chosen)
+    return chosen
+
+
+def _to_store(df: DataFrame, spec: ObjectSpec, columns: Sequence[ColumnDef], *extra: str) -> tuple[DataFrame, list[str]]:
     require_utc(df.sparkSession)
     stored = [f.name for f in raw_schema(spec, columns).fields if f.name != COMMIT]
     rows, parts = with_partitions(df, spec.partition_by)
-    rows = rows.select(*[col(c) for c in stored])
-    if parts:
-        rows = rows.hint("rebalance", *[col(p) for p in parts])
-    order = [*parts, spec.primary_key] if spec.primary_key in stored else parts
-    rows = rows.sortWithinPartitions(*[col(c) for c in order])
-    commit_id = new_commit_id()
+    return rows.selectExpr(*map(quoted, (*stored, *extra))), parts
+
+
+def _laid_out(rows: DataFrame, spec: ObjectSpec, parts: Sequence[str], max_records_per_file: int | None) -> DataFrameWriter:
+    rows = rows.hint("rebalance", *[col(p) for p in parts])
+    order = [*parts, spec.primary_key] if spec.primary_key in rows.columns else list(parts)
+    rows = rows.sortWithinPartitions(*[col(c) for c in order]) if order else rows
     writer = rows.write.partitionBy(*parts) if parts else rows.write
     if max_records_per_file is not None:
         cap = max_records_per_file if max_records_per_file > 0 else DEFAULT_BATCH_ROWS
         writer = writer.option("maxRecordsPerFile", cap)
-    writer.parquet(f"{root}/raw/{spec.name}/{COMMIT}={commit_id}")
-    return _describe(df.sparkSession, spec, root, columns, commit_id)
+    return writer
 
 
-def _describe(
-    spark: SparkSession, spec: ObjectSpec, root: str, columns: Sequence[ColumnDef], commit_id: str
-) -> Staged:
-    written = read_commits(spark, spec, root, columns, [commit_id])
+def _description(spec: ObjectSpec, columns: Sequence[ColumnDef]) -> list[Column]:
     names = {c.name: c.type for c in columns}
-    stamp: Column = F.lit(None).cast("timestamp")
+    stamp = F.lit(None).cast("timestamp")
     if names.get(spec.watermark_field) in ("timestamp", "date"):
         stamp = col(spec.watermark_field).cast("timestamp")
-    no_key = F.count_if(col(spec.primary_key).isNull()) if spec.primary_key in names else F.lit(0)
-    found = written.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.unix_micros(F.min(stamp)).alias("lo"),
-        F.unix_micros(F.max(stamp)).alias("hi"),
-        no_key.alias("no_key"),
-    ).first()
-    if found.no_key:
-        raise RequiredValueMissing(f"object {spec.name}: {found.no_key} row(s) without {spec.primary_key}")
-    return Staged(commit_id, found.n, from_micros(found.lo), from_micros(found.hi))
+    no_key = F.count_if(col(spec.primary_key).isNull()) if spec.primary_key in names else F.count_if(F.lit(False))
+    return [
+        F.count(F.lit(1)).alias("n"), F.min(F.unix_micros(stamp)).alias("lo"),
+        F.max(F.unix_micros(stamp)).alias("hi"), no_key.alias("no_key"),
+    ]
+
+
+def _staged(spec: ObjectSpec, commit_id: str, found: dict) -> Staged:
+    if found["no_key"]:
+        raise RequiredValueMissing(f"object {spec.name}: {found['no_key']} row(s) without {spec.primary_key}")
+    return Staged(commit_id, found["n"], from_micros(found["lo"]), from_micros(found["hi"]))
+
+
+def _checked(df: DataFrame, spec: ObjectSpec, columns: Sequence[ColumnDef]) -> DataFrame:
+    """The frame if the table can hold it: no unknown column, unless they may overflow, and no other type."""
+    known = {c.name: c.field.dataType for c in columns}
+    unknown = [n for n in df.columns if n not in known and not is_system(n)]
+    if unknown and not spec.overflow:
+        raise ChangeVaultError(f"object {spec.name}: the table has no column {', '.join(unknown)}")
+    wrong = [
+        f"{f.name} is {f.dataType.simpleString()}, not {known[f.name].simpleString()}"
+        for f in df.schema.fields if f.name in known and f.dataType not in (known[f.name], T.NullType())
+    ]
+    if wrong:
+        raise ChangeVaultError(f"object {spec.name}: {'; '.join(wrong)}")
+    stamp = known.get(spec.watermark_field)
+    if stamp is not None and not isinstance(stamp, (T.TimestampType, T.DateType)):
+        raise ChangeVaultError(
+            f"object {spec.name}: watermark field {spec.watermark_field} is {stamp.simpleString()}, which gives no watermark"
+        )
+    return spill_overflow(df, known) if unknown else df
 
 
 def append_raw(
@@ -190,22 +242,26 @@ def append_raw(
     max_records_per_file: int | None = None,
     known: History | None = None,
 ) -> Entry | None:
-    """Append a typed batch and publish it; None when it is empty or was published before.
+    """Append a typed batch and publish it; None when it was published before.
 
-    ``watermark`` defaults to the newest stamp written and never goes below the stored one. Any
-    failure leaves the table and the watermark as they were.
+    ``watermark`` defaults to the newest stamp written and never goes below the stored one. An
+    empty batch is published, as a row without data, only when it brings a ``watermark`` of its own;
+    else it gives None too. Unknown columns are an error, or overflow where the object allows it;
+    so is a column of another type. Any failure leaves the table and the watermark as they were.
+    ``known`` is given by callers that have looked the sync id up.
     """
     spark = df.sparkSession
     synced_at = synced_at or now()
     if columns is None:
         columns = ensure_table(spark, spec, root, columns_of(df))
-    known = known or history(spark, root, spec.name)
-    if sync_id in known.synced:
+    df = _checked(df, spec, columns)
+    if known is None and is_published(spark, root, spec.name, RAW, sync_id):
         return None
+    last = known.watermark if known else get_watermark(spark, root, spec.name)
     staged = stage(stamp_rows(df, columns, sync_id, synced_at), spec, root, columns, max_records_per_file)
-    if staged.n_rows == 0:
+    if staged.n_rows == 0 and watermark is None:
         return None
-    marks = [m for m in (watermark or staged.max_stamp, known.watermark) if m is not None]
+    marks = [m for m in (watermark or staged.max_stamp, last) if m is not None]
     entry = Entry(
         spec.name, RAW, sync_id, staged.commit_id, staged.n_rows,
         watermark=max(marks) if marks else None,

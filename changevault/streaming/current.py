@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changevault.model import ObjectSpec
 from changevault.plans.current import refresh_current
+from changevault.session import stream_id
 from changevault.sources.ledger import LEDGER_SCHEMA, RAW
 
 
@@ -23,7 +24,9 @@ def current_stream(
     """Follow the object's ledger and merge the commits it names.
 
     The stream carries ledger rows, not data: unpublished attempts and maintenance rewrites
-    never show up in it. A replayed batch finds its merge id in the ledger and does nothing.
+    never show up in it. A replayed batch finds its merge id in the ledger and does nothing; the id
+    holds the stream's own identity, so a new checkpoint folder starts over. Each trigger merges all
+    commits that wait, in one rewrite of the state.
     """
     name = name or f"current-{spec.name}"
     stored = T.StructType([f for f in LEDGER_SCHEMA.fields if f.name not in ("object", "kind")])
@@ -33,9 +36,9 @@ def current_stream(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         commits = [r.commit_id for r in batch.select("commit_id").distinct().collect()]
-        refresh_current(
-            batch.sparkSession, spec, root, commits=commits, merge_id=f"{name}-{batch_id}"
-        )
+        session = batch.sparkSession
+        merge_id = f"{name}-{stream_id(session)}-{batch_id}"
+        refresh_current(session, spec, root, commits=commits, merge_id=merge_id)
 
     writer = (
         reader.parquet(f"{root}/ledger/object={spec.name}/kind={RAW}")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import changevault as cv
 from changevault.functions.coerce import coerce, is_rejected
-from changevault.model import ColumnDef, ObjectSpec, PartitionBy
+from changevault.model import CATALOG_SCHEMA, ColumnDef, ObjectSpec, PartitionBy
 from changevault.operators.watermark import with_buffer
 from changevault.session import fresh_dir, local_frame, moment, now, use_utc
 from changevault.sources.raw import columns_of, stage, stamp_rows
@@ -96,10 +96,9 @@ def record_history(spark, sf_dir):
 
 
 @query("restore_preview", f"""
-SELECT CAST(json_object(
-    'event_id', CAST(event_id AS VARCHAR), 'event_type', event_type, 'props', props,
-    'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'user_id', CAST(user_id AS VARCHAR)
-  ) AS VARCHAR) AS record_json
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, CAST(user_id AS VARCHAR) AS user_id, value,
+  'event_id,event_type,props,ts,user_id,value' AS keys
 FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST) AS rn
   FROM (
@@ -109,8 +108,15 @@ FROM (
 ) WHERE rn = 1
 """)
 def restore_preview(spark, sf_dir):
+    """The preview's JSON, its number read back: engines print doubles differently."""
     versions = cv.latest_per_key(table(spark, sf_dir, "events"), ["user_id", "ts"], "event_id")
-    return cv.restore_preview(versions.drop("value"), EVENTS, AT)
+    preview = cv.restore_preview(versions, EVENTS, AT)
+    cells = F.from_json("record_json", "map<string, string>")
+    return preview.select(
+        *[cells[c].alias(c) for c in ("event_id", "event_type", "props", "ts", "user_id")],
+        cells["value"].cast("double").alias("value"),
+        F.concat_ws(",", F.json_object_keys("record_json")).alias("keys"),
+    )
 
 
 # ---- merge ----------------------------------------------------------------------------------
@@ -328,20 +334,20 @@ def csv_round_trip(spark, sf_dir):
 
 
 @query("csv_mixed_headers", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer
 """)
 def csv_mixed_headers(spark, sf_dir):
     """Pages with different column orders in one extract; cells land by header name."""
     path = fresh_dir(spark, "customer")
     customer = table(spark, sf_dir, "customer").withColumn("c_custkey", F.col("c_custkey").cast("string"))
     building = F.col("c_mktsegment") == "BUILDING"
-    names = ["c_name", "c_custkey", "c_mktsegment"]
+    names = ["c_name", "c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"]
     writer = {"header": True, "escape": '"'}
     customer.where(building).select(*names).write.options(**writer).csv(f"{path}/a")
     customer.where(~building).select(*names[::-1]).write.options(**writer).csv(f"{path}/b")
-    return cv.read_extract(
-        spark, [f"{path}/a", f"{path}/b"], ["c_custkey", "c_name", "c_mktsegment"], mixed_headers=True
-    )
+    back = cv.read_extract(spark, [f"{path}/a", f"{path}/b"], sorted(names), mixed_headers=True)
+    return back.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
 # ---- coercion -------------------------------------------------------------------------------
@@ -367,7 +373,7 @@ def _coerce_query(
         id_col = F.col(key)
         mixed = F.when(id_col % 7 == 0, "").when(id_col % 11 == 0, bad).otherwise(F.expr(text))
         frame = table(spark, sf_dir, source).select(id_col.alias("id"), mixed.alias("value"))
-        checked = frame.withColumn("rejected", is_rejected(F.col("value"), type_name))
+        checked = frame.withColumn("rejected", is_rejected("value", type_name))
         typed = coerce(checked, [ColumnDef("value", type_name)], on_error="null")
         return typed.withColumn("value", read(F.col("value")))
 
@@ -406,7 +412,8 @@ def _messy_orders(spark, sf_dir) -> DataFrame:
     key = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
         F.when(key % 5 == 0, F.concat(F.col("o_orderstatus"), F.lit("?"))).otherwise(key.cast("string")).alias("o_orderkey"),
-        F.when(key % 3 == 0, F.col("o_orderpriority")).when(key % 4 == 0, "").otherwise("12.5").alias("o_totalprice"),
+        F.when(key % 3 == 0, F.col("o_orderpriority")).when(key % 4 == 0, "")
+        .otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
         F.when(key % 2 == 0, F.date_format("o_orderdate", "yyyy")).when(key % 13 == 0, None)
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
     )
@@ -589,26 +596,33 @@ def evolve_schema(spark, sf_dir):
 SELECT object, count(old_type) AS current_columns, count(new_type) AS desired_columns,
   count(*) FILTER (change = 'new') AS n_new, count(*) FILTER (change = 'removed') AS n_removed,
   count(*) FILTER (change = 'type_change') AS n_type_change,
+  CAST(to_json(coalesce(list(name ORDER BY name) FILTER (change = 'new'), [])) AS VARCHAR) AS new_columns,
+  CAST(to_json(coalesce(list(name ORDER BY name) FILTER (change = 'removed'), [])) AS VARCHAR) AS removed_columns,
+  CAST(to_json(coalesce(list(name ORDER BY name) FILTER (change = 'type_change'), [])) AS VARCHAR) AS changed_columns,
   count(old_type) > 0 AND count(new_type) > 0 AND count(change) > 0 AS drift_detected,
   CASE WHEN count(old_type) = 0 THEN 'create' WHEN count(new_type) = 0 THEN 'missing'
     WHEN count(change) > 0 THEN 'drift' ELSE 'same' END AS status
 FROM compared GROUP BY object
 """)
 def dry_run_report(spark, sf_dir):
-    return cv.dry_run(_stored_columns(spark, sf_dir), _desired(spark, sf_dir))
+    report = cv.dry_run(_stored_columns(spark, sf_dir), _desired(spark, sf_dir))
+    return report.withColumns({c: F.to_json(c) for c in ("new_columns", "removed_columns", "changed_columns")})
 
 
 # ---- records --------------------------------------------------------------------------------
 
 
 @query("spill_overflow", """
-SELECT event_id, user_id, ts,
-  CAST(json_object('event_type', event_type, 'props', props) AS VARCHAR) AS _overflow
-FROM events
+SELECT event_id, user_id, ts, event_type, props, value, 'event_type,props,value' AS keys FROM events
 """)
 def spill_overflow(spark, sf_dir):
-    events = table(spark, sf_dir, "events").drop("value")
-    return cv.spill_overflow(events, ["event_id", "user_id", "ts"])
+    """What was spilled, read back from the JSON: engines print doubles differently."""
+    spilled = cv.spill_overflow(table(spark, sf_dir, "events"), ["event_id", "user_id", "ts"])
+    cells = F.from_json("_overflow", "event_type string, props string, value double")
+    return spilled.select(
+        "event_id", "user_id", "ts", cells.alias("cells"),
+        F.concat_ws(",", F.json_object_keys("_overflow")).alias("keys"),
+    ).select("event_id", "user_id", "ts", "cells.*", "keys")
 
 
 @query("align_schema", """
@@ -637,18 +651,19 @@ def valid_record_ids(spark, sf_dir):
 
 
 @query("stringify", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal,
   CASE WHEN c_nationkey % 4 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey,
   CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS c_mktsegment
 FROM customer
 """)
 def stringify(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    return cv.stringify(customer.select(
-        "c_custkey", "c_name",
+    text = cv.stringify(customer.select(
+        "c_custkey", "c_name", "c_acctbal",
         F.when(F.col("c_nationkey") % 4 != 0, F.col("c_nationkey")).alias("c_nationkey"),
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
     ))
+    return text.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
 @query("job_status", """
@@ -671,14 +686,15 @@ def job_status(spark, sf_dir):
 
 @query("restore_export", f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props,
-  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, CAST(user_id AS VARCHAR) AS user_id
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, CAST(user_id AS VARCHAR) AS user_id, value
 FROM (SELECT *, {_RANKED} AS rn FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00') WHERE rn = 1
 """)
 def restore_export(spark, sf_dir):
     path = fresh_dir(spark, "restore")
     versions = cv.latest_per_key(table(spark, sf_dir, "events"), ["user_id", "ts"], "event_id")
-    cv.restore_export(versions, EVENTS, AT, path, exclude=["value"])
-    return cv.read_extract(spark, path)
+    cv.restore_export(versions, EVENTS, AT, path)
+    back = cv.read_extract(spark, path)
+    return back.withColumn("value", F.col("value").cast("double"))
 
 
 # ---- relations ------------------------------------------------------------------------------
@@ -727,29 +743,107 @@ def restore_levels(spark, sf_dir):
 
 
 @query("canonical_id", """
-WITH first AS (SELECT user_id, min(ts) AS first_ts FROM events GROUP BY user_id)
-SELECT event_id, ts, user_id, CASE WHEN user_id % 2 = 0 THEN 'known-' || user_id
-  ELSE sha256('events:' || user_id || ':' || CAST(first_ts AS VARCHAR)) END AS canonical_id
+WITH first AS (
+  SELECT user_id, coalesce(min(ts) FILTER (ts >= TIMESTAMP '2024-01-11 00:00:00'), min(ts)) AS first_ts
+  FROM events GROUP BY user_id
+)
+SELECT event_id, ts, user_id, event_type, value, props, event_type = 'error' AS is_deleted,
+  sha256('events:' || user_id || ':' || CAST(first_ts AS VARCHAR)) AS canonical_id
 FROM events JOIN first USING (user_id)
 """)
 def canonical_id(spark, sf_dir):
-    """Even users have an id from before; the others get one from their first version."""
-    events = table(spark, sf_dir, "events")
-    user = F.col("user_id")
-    known = events.where(user % 2 == 0).select(
-        "user_id", F.concat(F.lit("known-"), user.cast("string")).alias("canonical_id")
-    ).distinct()
-    return cv.assign_canonical_id(events.select("event_id", "ts", "user_id"), EVENTS, known)
+    """Ids are given after a first sync; a second sync brings older versions, which change none."""
+    root = fresh_dir(spark, "canonical")
+    log = change_log(spark, sf_dir).withColumn("ts", utc("ts"))
+    early = F.col("ts") < F.lit("2024-01-11 00:00:00Z").cast("timestamp")
+    for sync_id, part in (("late", ~early), ("early", early)):
+        cv.append_raw(log.where(part), EVENTS_BY_DAY, root, sync_id)
+        cv.register_ids(spark, EVENTS_BY_DAY, root)
+    ids = cv.read_ids(spark, EVENTS_BY_DAY, root)
+    raw = _events_back(cv.read_raw(spark, EVENTS_BY_DAY, root))
+    return cv.assign_canonical_id(raw, EVENTS_BY_DAY, ids)
+
+
+_RELATED = {
+    "region": ("r_regionkey", {}), "nation": ("n_nationkey", {"n_regionkey": "region"}),
+    "customer": ("c_custkey", {"c_nationkey": "nation"}), "orders": ("o_orderkey", {"o_custkey": "customer"}),
+}
+
+
+@query("restore_related", """
+WITH ids AS (
+  SELECT 'region' AS object, r_regionkey AS k, sha256('region:' || r_regionkey || ':2024-01-01 00:00:00') AS id FROM region
+  UNION ALL SELECT 'nation', n_nationkey, sha256('nation:' || n_nationkey || ':2024-01-01 00:00:00') FROM nation
+  UNION ALL SELECT 'customer', c_custkey, sha256('customer:' || c_custkey || ':2024-01-01 00:00:00') FROM customer
+  UNION ALL SELECT 'orders', o_orderkey, sha256('orders:' || o_orderkey || ':2024-01-01 00:00:00') FROM orders
+)
+SELECT 'region' AS object, 0 AS level, CAST(r_regionkey AS VARCHAR) AS record_key, i.id AS canonical_id,
+  CAST(NULL AS VARCHAR) AS parent_id, r_name AS name, CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS kind,
+  CAST(NULL AS VARCHAR) AS priority, CAST(NULL AS TIMESTAMP) AS day
+FROM region JOIN ids i ON i.object = 'region' AND i.k = r_regionkey
+UNION ALL
+SELECT 'nation', 1, CAST(n_nationkey AS VARCHAR), i.id, p.id, n_name, NULL, NULL, NULL, NULL
+FROM nation JOIN ids i ON i.object = 'nation' AND i.k = n_nationkey LEFT JOIN ids p ON p.object = 'region' AND p.k = n_regionkey
+UNION ALL
+SELECT 'customer', 2, CAST(c_custkey AS VARCHAR), i.id, p.id, c_name, c_acctbal, c_mktsegment, NULL, NULL
+FROM customer JOIN ids i ON i.object = 'customer' AND i.k = c_custkey LEFT JOIN ids p ON p.object = 'nation' AND p.k = c_nationkey
+UNION ALL
+SELECT 'orders', 3, CAST(o_orderkey AS VARCHAR), i.id, p.id, NULL, o_totalprice, o_orderstatus, o_orderpriority, o_orderdate
+FROM orders JOIN ids i ON i.object = 'orders' AND i.k = o_orderkey LEFT JOIN ids p ON p.object = 'customer' AND p.k = o_custkey
+""")
+def restore_related(spark, sf_dir):
+    """Four related objects written in restore order, and all pages read back."""
+    root = fresh_dir(spark, "related")
+    specs = [ObjectSpec(name, key, "stamp") for name, (key, _) in _RELATED.items()]
+    fields = []
+    for spec in specs:
+        rows = table(spark, sf_dir, spec.name)
+        stamped = rows.select(*[utc(c) if t == "timestamp_ntz" else F.col(c) for c, t in rows.dtypes]).withColumn(
+            "stamp", F.lit("2024-01-01 00:00:00Z").cast("timestamp"))
+        cv.append_raw(stamped, spec, root, "first")
+        parents = _RELATED[spec.name][1]
+        fields += [(spec.name, c, "reference" if c in parents else "string", None, None, None, True, parents.get(c))
+                   for c in stamped.columns]
+    pages = cv.restore_related(spark, specs, local_frame(spark, fields, CATALOG_SCHEMA), root, AT, f"{root}/out")
+    names = {"region": ("r_name", None, None, None, None), "nation": ("n_name", None, None, None, None),
+             "customer": ("c_name", "c_acctbal", "c_mktsegment", None, None),
+             "orders": (None, "o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate")}
+
+    def cell(name: str | None, kind: str = "string") -> Column:
+        return F.lit(None).cast(kind) if name is None else F.nullif(F.col(f"`{name}`"), F.lit("")).cast(kind)
+
+    def one(page) -> DataFrame:
+        key, parents = _RELATED[page.object]
+        name, amount, kind, priority, day = names[page.object]
+        ref = next((f"{field}:{parent}:canonical_id" for field, parent in parents.items()), None)
+        day = F.lit(None).cast("timestamp_ntz") if day is None else F.rtrim(F.col(day), F.lit("Z")).cast("timestamp_ntz")
+        return cv.read_extract(spark, page.path).select(
+            F.lit(page.object).alias("object"), F.lit(page.level).alias("level"), F.col(key).alias("record_key"), "canonical_id",
+            cell(ref).alias("parent_id"), cell(name).alias("name"), cell(amount, "double").alias("amount"),
+            cell(kind).alias("kind"), cell(priority).alias("priority"), day.alias("day"))
+
+    return reduce(DataFrame.unionByName, map(one, pages))
 
 
 # ---- jobs -----------------------------------------------------------------------------------
 
 
-@query("compact", _ORDERS_SQL)
+@query("compact", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+  CAST(1 AS BIGINT) AS n_files, CAST(1 AS BIGINT) AS n_commits FROM orders
+""")
 def compact(spark, sf_dir):
+    """All rows, each with the number of files and commits of its partition after compaction."""
     root = _orders_vault(spark, sf_dir)
     cv.compact(spark, ORDERS, root, day=now().date())
-    return _orders_back(cv.read_raw(spark, ORDERS, root))
+    raw = cv.read_raw(spark, ORDERS, root)
+    part = "_p_o_orderdate_year"
+    stored = raw.select(part, "_commit", F.col("_metadata.file_path").alias("file")).groupBy(F.col(part).alias("year")).agg(
+        F.countDistinct("file").alias("n_files"), F.countDistinct("_commit").alias("n_commits")
+    )
+    return raw.join(stored, F.col(part).eqNullSafe(F.col("year"))).select(
+        *[ntz(c) if c == "o_orderdate" else F.col(c) for c in _ORDER_COLUMNS], "n_files", "n_commits"
+    )
 
 
 CUSTOMER_ORDERS = ObjectSpec(
@@ -822,9 +916,8 @@ def sync_object(spark, sf_dir):
 
 
 @query("sync_all", """
-SELECT 'clicks' AS object, event_id, user_id, ts FROM events WHERE event_type = 'click'
-UNION ALL
-SELECT 'others' AS object, event_id, user_id, ts FROM events WHERE event_type <> 'click'
+SELECT CASE WHEN event_type = 'click' THEN 'clicks' ELSE 'others' END AS object,
+  event_id, ts, user_id, event_type, value, props, event_type = 'error' AS is_deleted FROM events
 """)
 def sync_all(spark, sf_dir):
     """Two objects synced side by side."""
@@ -837,8 +930,7 @@ def sync_all(spark, sf_dir):
     catalog = _event_catalog(spark, [s.name for s in specs])
     cv.sync_all(spark, specs, lambda name: f"{root}/extract/{name}", catalog, root)
     return reduce(DataFrame.unionByName, [
-        cv.read_raw(spark, s, root).select(F.lit(s.name).alias("object"), "event_id", "user_id", ntz("ts"))
-        for s in specs
+        _events_back(cv.read_raw(spark, s, root)).withColumn("object", F.lit(s.name)) for s in specs
     ])
 
 
@@ -862,25 +954,41 @@ def _synced_versions(spark, sf_dir, root: str, merge_between: bool) -> None:
     for sync_id, part in (("late", ~early), ("early", early)):
         cv.append_raw(versions.where(part), EVENTS_BY_DAY, root, sync_id)
         if merge_between:
+            cv.compact(spark, EVENTS_BY_DAY, root, day=now().date())
             cv.merge_all(spark, [EVENTS_BY_DAY], root)
 
 
 @query("merge_all", _ONE_PER_STAMP)
 def merge_all(spark, sf_dir):
-    """Merged after each of two syncs, of which the second brings the older rows."""
+    """Merged after each of two syncs, of which the second brings the older rows; compacted before each merge."""
     root = fresh_dir(spark, "merge")
     _synced_versions(spark, sf_dir, root, merge_between=True)
     return _events_back(cv.read_current(spark, EVENTS_BY_DAY, root))
 
 
-@query("sync_stream", _EVENT_ROWS)
+@query("sync_stream", """
+SELECT event_id, ts, user_id, event_type, value,
+  CASE WHEN ts >= TIMESTAMP '2024-01-06 00:00:00' THEN props END AS props, event_type = 'error' AS is_deleted
+FROM events
+""")
 def sync_stream(spark, sf_dir):
+    """Two landing folders, each with a checkpoint of its own; the first gets pages of two headers in two runs."""
     root = fresh_dir(spark, "sync-stream")
     log = change_log(spark, sf_dir).withColumn("ts", utc("ts"))
-    cv.write_restore_csv(log, f"{root}/landing")
-    cv.sync_stream(
-        spark, EVENTS_BY_DAY, f"{root}/landing", _event_catalog(spark), root, f"{root}/checkpoint"
-    ).awaitTermination()
+    day = F.to_date("ts")
+    fields = _event_catalog(spark)
+    known = {"catalog": fields.where("name <> 'props'")}
+
+    def run(part: DataFrame, landing: str, page: str) -> None:
+        cv.write_restore_csv(part, f"{root}/{landing}/{page}")
+        cv.sync_stream(
+            spark, EVENTS_BY_DAY, f"{root}/{landing}", lambda: known["catalog"], root, f"{root}/checkpoint-{landing}"
+        ).awaitTermination()
+
+    run(log.where(day < "2024-01-06").drop("props"), "one", "a")
+    known["catalog"] = fields
+    run(log.where(day.between("2024-01-06", "2024-01-15")), "one", "b")
+    run(log.where(day > "2024-01-15"), "two", "a")
     return _events_back(cv.read_raw(spark, EVENTS_BY_DAY, root))
 
 

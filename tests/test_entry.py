@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -28,7 +29,7 @@ def plain(value):
     return None if value is None or value != value else str(value)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     got = entry_point.queries()[name](spark, SF)
     cursor = duck.execute(entry_point.oracle_sql()[name])

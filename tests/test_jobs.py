@@ -341,7 +341,7 @@ def test_streams_equal_batch(spark, tmp_path, root):
     assert rows(read_raw(spark, LEAD, root).select(columns)) == rows(read_raw(spark, LEAD, batch_root).select(columns))
     assert rows(read_current(spark, LEAD, root)) == rows(read_current(spark, LEAD, batch_root))
     assert rows(read_current(spark, LEAD, root).select("Id")) == [("003",), ("004",)]
-    assert sorted(e.sync_id for e in history(spark, root, "Lead").entries if e.kind == "raw") == ["sync-Lead-0", "sync-Lead-1"]
+    assert read_ledger(spark, root).where("kind = 'raw' AND sync_id LIKE 'sync-Lead-%'").count() == 2
 
 
 def test_hot_day_is_split_over_files(spark, root):

@@ -7,7 +7,7 @@ from changevault.model import ChangeVaultError, ObjectSpec
 from changevault.operators.lineage import (
     assign_canonical_id, canonical_ids, restore_levels, rewrite_parent_refs,
 )
-from changevault.operators.lookup import lookup_join
+from changevault.operators.lookup import lookup_join, row_bytes
 
 
 @pytest.mark.parametrize("hot_rows", [1, 10**9])
@@ -18,7 +18,7 @@ def test_lookup_join_equals_plain_join(spark, hot_rows):
     left = spark.createDataFrame([(i // 3, r) for i, r in enumerate(refs)], "id int, ref string").repartition(6)
     lookup = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 40, 2)], "k string, v string")
     want = left.join(lookup, left.ref == lookup.k, "left")
-    got = lookup_join(left, lookup, "ref", "k", hot_rows=hot_rows)
+    got = lookup_join(left, lookup, "ref", "k", hot_bytes=hot_rows * row_bytes(left.schema))
     assert got.columns == ["id", "ref", "k", "v"]
     assert rows(got) == rows(want)
 
@@ -29,7 +29,7 @@ def test_hot_keys_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = lookup_join(left, lookup, "ref", "k", hot_rows=100)
+        got = lookup_join(left, lookup, "ref", "k", hot_bytes=100 * row_bytes(left.schema))
         hot_per_task = got.where("ref = -1").rdd.glom().map(len).collect()
         assert sum(hot_per_task) == 1334 and max(hot_per_task) < 1334
         assert got.where("v != ref * 2 OR v IS NULL").count() == 0

@@ -96,10 +96,10 @@ def test_dry_run(spark):
     desired = desired.union(columns(spark, ("Id", "string"), object_name="Same"))
     desired = desired.union(columns(spark, ("Id", "string"), object_name="Create"))
     assert rows(dry_run(current, desired)) == [
-        ("Create", 0, 1, 1, 0, 0, False, "create"),
-        ("Lead", 3, 3, 1, 1, 1, True, "drift"),
-        ("Missing", 1, 0, 0, 1, 0, False, "missing"),
-        ("Same", 1, 1, 0, 0, 0, False, "same"),
+        ("Create", 0, 1, 1, 0, 0, ["Id"], [], [], False, "create"),
+        ("Lead", 3, 3, 1, 1, 1, ["Fresh"], ["Gone"], ["N"], True, "drift"),
+        ("Missing", 1, 0, 0, 1, 0, [], ["Id"], [], False, "missing"),
+        ("Same", 1, 1, 0, 0, 0, [], [], [], False, "same"),
     ]
 
 
