@@ -22,7 +22,7 @@ HEADLINE = (
     "merge_actions", "overlap_dedupe", "coerce_timestamp", "coerce_double", "coercion_rejects",
     "detect_drift", "dry_run_report", "spill_overflow", "parent_refs", "canonical_id",
     "restore_export", "csv_round_trip", "raw_round_trip", "sync_object", "merge_all", "compact",
-    "expire",
+    "expire", "restore_related", "wide_object",
 )
 
 

@@ -966,6 +966,32 @@ def merge_all(spark, sf_dir):
     return _events_back(cv.read_current(spark, EVENTS_BY_DAY, root))
 
 
+# A wide object: the supplier's four columns in 99 variants each.
+_WIDE = [c for i in range(99) for c in (
+    (f"s_suppkey + {i}", f"key_{i}", "int"), (f"s_acctbal * {i + 1}", f"amount_{i}", "double"),
+    (f"s_name || '-{i}'", f"name_{i}", "string"), (f"s_nationkey % 25 = {i % 25}", f"flag_{i}", "boolean"),
+)]
+_WIDE_SQL = ", ".join(f"{expression} AS {name}" for expression, name, _ in _WIDE)
+
+
+@query("wide_object", f"SELECT s_suppkey AS id, {_WIDE_SQL} FROM supplier")
+def wide_object(spark, sf_dir):
+    """399 fields synced from CSV pages, merged twice, and read as current state."""
+    root = fresh_dir(spark, "wide")
+    spec = ObjectSpec("wide", "id", "stamp", deleted_field="deleted")
+    fields = [("id", "int"), ("stamp", "datetime"), ("deleted", "boolean"), *((n, t) for _, n, t in _WIDE)]
+    catalog = local_frame(spark, [("wide", i, n, t, True) for i, (n, t) in enumerate(fields)],
+                          "object string, position int, name string, type string, nillable boolean")
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS id", "CAST('2024-01-01 00:00:00Z' AS TIMESTAMP) AS stamp", "false AS deleted",
+        *[f"{expression} AS {name}" for expression, name, _ in _WIDE])
+    for half in (0, 1):
+        cv.write_restore_csv(rows.where(F.col("id") % 2 == half), f"{root}/extract/{half}")
+        cv.sync_object(spark, spec, f"{root}/extract/{half}", catalog, root, sync_id=f"s{half}", filter_watermark=False)
+        cv.refresh_current(spark, spec, root)
+    return cv.read_current(spark, spec, root).drop("stamp", "deleted", "_overflow")
+
+
 @query("sync_stream", """
 SELECT event_id, ts, user_id, event_type, value,
   CASE WHEN ts >= TIMESTAMP '2024-01-06 00:00:00' THEN props END AS props, event_type = 'error' AS is_deleted

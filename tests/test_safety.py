@@ -13,9 +13,10 @@ from changevault.operators.latest import record_as_of, table_as_of
 from changevault.operators.lineage import canonical_ids
 from changevault.plans.current import merge_all, refresh_current
 from changevault.plans.maintain import compact, expire
-from changevault.plans.restore import restore_preview
-from changevault.plans.sync import sync_object
+from changevault.plans.restore import restore_preview, restore_related
+from changevault.plans.sync import sync_all, sync_object
 from changevault.session import now
+from changevault.sources.canonical import read_ids, record_key, register_ids
 from changevault.sources.current import read_current
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, history
@@ -199,3 +200,54 @@ def test_merge_reads_only_what_waits_after_compaction(spark, root):
     refresh_current(spark, LEAD, root)
     assert rows(read_current(spark, LEAD, root).select("Id")) == [(str(i),) for i in range(1, 6)]
     assert refresh_current(spark, LEAD, root).commit_id is None
+
+
+def test_batches_limit_the_rows_of_a_file(spark, tmp_path, root):
+    import pyarrow.parquet as pq
+
+    spec = ObjectSpec("Lead")
+    done = sync_object(spark, spec, extract(tmp_path, "a", F1), catalog(spark), root, max_records_per_file=2)
+    folder = f"{root}/raw/Lead/_commit={done.commit_id}"
+    assert sorted(pq.ParquetFile(f"{folder}/{f}").metadata.num_rows for f in files(root, done.commit_id)) == [1, 2]
+
+
+def test_one_object_of_several_is_synced_alone(spark, tmp_path, root):
+    specs = [LEAD, ObjectSpec("Case")]
+    paths = {"Lead": extract(tmp_path, "a", F1), "Case": str(tmp_path / "nowhere")}
+    done = sync_all(spark, specs, paths, catalog(spark, objects=("Lead", "Case")), root, only="Lead")
+    assert [r.object for r in done] == ["Lead"] and not os.path.exists(f"{root}/raw/Case")
+    with pytest.raises(ValueError, match="Contact"):
+        sync_all(spark, specs, paths, catalog(spark), root, only="Contact")
+
+
+def test_ids_survive_late_versions_and_retention(spark, root):
+    append_raw(versions(spark, ("1", "2024-01-10 00:00:00", "b"), ("1", "2024-01-20 00:00:00", "c")), LEAD, root, "s1")
+    register_ids(spark, LEAD, root)
+    first = rows(read_ids(spark, LEAD, root))
+    append_raw(versions(spark, ("1", "2024-01-01 00:00:00", "a"), ("2", "2024-01-02 00:00:00", "x")), LEAD, root, "s2")
+    register_ids(spark, LEAD, root)
+    expire(spark, LEAD, root, keep_days=0, as_of="2024-01-15T00:00:00Z")
+    register_ids(spark, LEAD, root)
+    ids = read_ids(spark, LEAD, root)
+    assert ids.count() == 2 and first[0] in rows(ids)
+    assert record_key(ids, LEAD, first[0][1]) == "1"
+    with pytest.raises(ChangeVaultError, match="canonical id"):
+        record_key(ids, LEAD, "nothing")
+
+
+def test_related_objects_are_written_parents_first(spark, tmp_path, root):
+    account, contact = ObjectSpec("Account"), ObjectSpec("Contact")
+    make = lambda text: spark.sql(f"SELECT *, timestamp'2024-01-01 00:00:00' AS SystemModstamp FROM VALUES {text}")
+    append_raw(make("('a1', 'Acme') AS t(Id, Name)"), account, root, "s")
+    append_raw(make("('c1', 'a1'), ('c2', 'gone') AS t(Id, AccountId)"), contact, root, "s")
+    fields = spark.createDataFrame(
+        [("Contact", "AccountId", "reference", "Account"), ("Contact", "OwnerId", "reference", "User"), ("Account", "Name", "string", None)],
+        "object string, name string, type string, reference_to string")
+    pages = restore_related(spark, [contact, account], fields, root, "2025-01-01T00:00:00Z", str(tmp_path / "out"))
+    assert [(p.object, p.level) for p in pages] == [("Account", 0), ("Contact", 1)]
+    parent = read_extract(spark, pages[0].path).first().canonical_id
+    child = read_extract(spark, pages[1].path)
+    assert rows(child.select("Id", "AccountId:Account:canonical_id")) == [("c1", parent), ("c2", "")]
+    loop = fields.union(spark.createDataFrame([("Account", "MainId", "reference", "Contact")], fields.schema))
+    with pytest.raises(ChangeVaultError, match="Account, Contact"):
+        restore_related(spark, [contact, account], loop, root, "2025-01-01T00:00:00Z", str(tmp_path / "loop"))
