@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.llm.components import connected_components
 from changevault.llm.minhash import near
-from changevault.llm.tasks import map_batches
+from changevault.llm.tasks import cells, map_batches
 from changevault.session import checkpoint
 
 COSINE = 0.95
@@ -123,30 +123,15 @@ def _search(p: Plan):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions = p.directions()
 
-        def search(cell: tuple, halves: list[list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
-            key, low, high = cell
-            own = [_Block(p, np.concatenate([n for n, _ in h]), np.concatenate([v for _, v in h]), directions)
-                   for h in halves if h]
+        def block(half: list[pa.RecordBatch]) -> _Block:
+            rows = pa.Table.from_batches(half).combine_chunks()
+            return _Block(p, rows.column("node").to_numpy(), _matrix(pa.concat_arrays(rows.column("vector").chunks)), directions)
+
+        for (key, low, high), halves in cells(batches):
+            own = [block(half) for half in halves if half]
             if len(own) == 2 or low == high:
                 for a, b in _links(p, key >> 32, own[0], own[-1], low == high):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        cell, halves = None, [[], []]
-        for batch in batches:
-            key, low, high, half, node = (batch.column(c).to_numpy() for c in ("key", "low", "high", "half", "node"))
-            vector = _matrix(batch.column("vector"))
-            change = np.flatnonzero((np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0) | (np.diff(half) != 0)) + 1
-            for s, e in zip([0, *change], [*change, len(key)]):
-                if s == e:
-                    continue
-                now = (int(key[s]), int(low[s]), int(high[s]))
-                if now != cell:
-                    if cell is not None:
-                        yield from search(cell, halves)
-                    cell, halves = now, [[], []]
-                halves[half[s]].append((node[s:e], vector[s:e]))
-        if cell is not None:
-            yield from search(cell, halves)
     return run
 
 

@@ -4,13 +4,14 @@ coordinate kept, bands of coordinates joined, and every candidate checked on its
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from changevault.llm.components import connected_components
-from changevault.llm.tasks import map_batches
+from changevault.llm.tasks import cells, map_batches
 from changevault.llm.text import mix, salted, shingles, text_pieces
 from changevault.session import checkpoint
 
@@ -20,6 +21,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
 #: Lists of documents up to this length are broadcast, longer ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: A part of a bucket has about so many texts and elements at most.
+PART_TEXTS, PART_ELEMENTS = 2048, 2_000_000
 
 
 def regions(doc: np.ndarray, shingle: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -133,10 +136,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     or go. Other columns are not read. An empty frame gives an empty frame. Texts are told apart by 64-bit hashes.
 
     Candidates share a band. Every member of a band's bucket is first compared with the bucket's least member, so a
-    bucket of any size gives one pair for each member. Only where members of a bucket are still in different classes
-    after that are these compared across classes, and of these only pairs whose distances to the least member differ by
-    no more than linked texts can (the Jaccard distance is a metric). So every pair that shares a band is compared, is
-    already in one class, or cannot be linked.
+    bucket of any size gives one pair for each member. Where members of a bucket are still in different classes after
+    that, they are compared across classes too, in blocks inside tasks. So every pair that shares a band is compared or is
+    already in one class.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -159,10 +161,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = compared.where(F.col("similarity") >= threshold).select("a", "b")
     classes = connected_components(links)
 
-    further = checkpoint(_across(members, compared, classes, threshold).join(
-        compared.select("a", "b"), ["a", "b"], "left_anti"))
-    if not further.isEmpty():
-        found = similarities(further, elements).where(F.col("similarity") >= threshold).select("a", "b")
+    found = checkpoint(_across(members, classes, elements, threshold))
+    if not found.isEmpty():
         classes = connected_components(links.unionByName(found))
     named = nodes.drop("keys").join(classes, nodes["node"] == classes["id"], "left").select(
         "node", "least_id", F.coalesce("component", "node").alias("component"))
@@ -172,22 +172,88 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias("doc_id"), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
-def _across(members: DataFrame, compared: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket in different classes that the first comparison does not settle."""
-    distance = compared.select(F.col("a").alias("node"), F.col("b").alias("centre"), (1 - F.col("similarity")).alias("far"))
-    own = members.where("node <> centre").join(distance, ["node", "centre"]).join(
-        classes, F.col("node") == F.col("id"), "left").select(
-        "key", "node", "far", F.coalesce("component", "node").alias("component"))
-    mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = own.join(mixed.select("key"), "key")
+def _across(members: DataFrame, classes: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different classes so far.
 
-    def side(name: str) -> list[Column]:
-        return ["key", F.col("node").alias(name), F.col("far").alias(f"far_{name}"), F.col("component").alias(f"in_{name}")]
+    Pairs are not made as rows: the members of a bucket, if need be in parts, meet in tasks that compare their element sets
+    there and return only what is linked. A bucket of p parts is dealt out as its pairs of parts.
+    """
+    own = members.join(classes, F.col("node") == F.col("id"), "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    open_ = own.join(mixed.select("key"), "key").join(elements, "node")
+    sizes = open_.groupBy("key").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / PART_TEXTS), F.ceil(F.sum(F.size("elements")) / PART_ELEMENTS)).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
+    dealt = open_.join(sizes, "key").select(
+        "key", "node", "component", "elements", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.struct(
+            F.least(part, other).alias("low"), F.greatest(part, other).alias("high"), F.when(part <= other, 0).otherwise(1).alias("half")))
+        ).alias("cell")).select("key", "cell.*", "node", "component", "elements")
+    order = ["key", "low", "high", "half"]
+    return map_batches(dealt.repartition("key", "low", "high").sortWithinPartitions(*order), _compare(threshold),
+                       "a long, b long").distinct()
+
+
+class _Part(NamedTuple):
+    node: np.ndarray
+    component: np.ndarray
+    size: np.ndarray
+    doc: np.ndarray
+    element: np.ndarray
+
+
+def _part(batches: list[pa.RecordBatch]) -> _Part:
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    lists = pa.concat_arrays(rows.column("elements").chunks)
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return _Part(rows.column("node").to_numpy(), rows.column("component").to_numpy(), size,
+                 np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy())
+
+
+def _shared(a: _Part, b: _Part, width: int = 4096) -> np.ndarray:
+    """Numbers of common elements of every pair: products of 0/1 matrices, some columns at a time."""
+    both = np.intersect1d(a.element, b.element)
+    out = np.zeros((len(a.node), len(b.node)), np.float32)
+    places = []
+    for part in (a, b):
+        at = np.minimum(np.searchsorted(both, part.element), max(len(both) - 1, 0))
+        known = both[at] == part.element if len(both) else np.zeros(len(at), bool)
+        order = np.argsort(at[known], kind="stable")
+        places.append((at[known][order], part.doc[known][order]))
+    for low in range(0, len(both), width):
+        x, y = (np.zeros((len(part.node), min(width, len(both) - low)), np.float32) for part in (a, b))
+        for matrix, (at, doc) in zip((x, y), places):
+            here = slice(*np.searchsorted(at, [low, low + matrix.shape[1]]))
+            matrix[doc[here], at[here] - low] = 1
+        out += x @ y.T
+    return out
+
+
+def _rows_of(part: _Part, start: int, stop: int) -> _Part:
+    here = (part.doc >= start) & (part.doc < stop)
+    return _Part(part.node[start:stop], part.component[start:stop], part.size[start:stop], part.doc[here] - start, part.element[here])
+
+
+def _compare(threshold: float, tile: int = 512):
+    def links(a: _Part, b: _Part) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(a.node), tile):
+            for j in range(0, len(b.node), tile):
+                x, y = _rows_of(a, i, i + tile), _rows_of(b, j, j + tile)
+                apart = x.component[:, None] != y.component[None, :]
+                if apart.any():
+                    shared = _shared(x, y).astype(np.float64)
+                    near_ = apart & (shared / (x.size[:, None] + y.size[None, :] - shared) >= threshold)
+                    u, v = np.nonzero(near_ & (x.node[:, None] > y.node[None, :])) if a is b else np.nonzero(near_)
+                    yield pa.RecordBatch.from_arrays([pa.array(x.node[u]), pa.array(y.node[v])], ["a", "b"])
 
-    return open_.select(*side("a")).join(open_.select(*side("b")), "key").where(
-        (F.col("a") > F.col("b")) & (F.col("in_a") != F.col("in_b"))
-        & (F.abs(F.col("far_a") - F.col("far_b")) <= 1 - threshold + 1e-9)
-    ).select("a", "b").distinct()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), halves in cells(batches):
+            if low == high:
+                own = _part(halves[0])
+                yield from links(own, own)
+            elif halves[0] and halves[1]:
+                yield from links(_part(halves[0]), _part(halves[1]))
+    return run
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

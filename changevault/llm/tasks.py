@@ -8,6 +8,7 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -35,6 +36,25 @@ def map_batches(df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], It
     return df.mapInArrow(function, schema)
 
 
+def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], list[list[pa.RecordBatch]]]]:
+    """From rows sorted by key, low, high and half: each (key, low, high) with the rows of its two halves."""
+    cell, halves = None, [[], []]
+    for batch in batches:
+        marks = np.stack([batch.column(c).to_numpy() for c in ("key", "low", "high", "half")], axis=1)
+        edges = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+        for start, stop in zip([0, *edges], [*edges, len(marks)]):
+            if start == stop:
+                continue
+            key, low, high, half = map(int, marks[start])
+            if (key, low, high) != cell:
+                if cell is not None:
+                    yield cell, halves
+                cell, halves = (key, low, high), [[], []]
+            halves[half].append(batch.slice(start, stop - start))
+    if cell is not None:
+        yield cell, halves
+
+
 def per_text(spark: SparkSession, start: Callable[[], Callable[[list[str]], pa.Array]], kind: T.DataType | str,
              column: Column) -> Column:
     """A value for each text of a column. ``start()`` runs once in each task and gives the function that takes some

@@ -84,3 +84,18 @@ def test_components_of_long_chains_and_hubs(spark):
 def test_query_agrees_with_all_pairs(spark):
     texts = dict(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     assert classes(queries.op7_minhash_dedup(spark, SF)) == plain(texts)
+
+
+def test_chains_of_copies_are_found_across_classes_of_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART_TEXTS", 3)  # buckets in parts
+    rng = random.Random(9)
+    lexicon = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(500)]
+    texts = {}
+    for chain in range(6):
+        words_ = [rng.choice(lexicon) for _ in range(100)]
+        for _ in range(12):
+            texts[len(texts)] = " ".join(words_)
+            for _ in range(2):
+                words_[rng.randrange(100)] = rng.choice(lexicon)
+    docs = frame(spark, list(texts.items()), "doc_id long, text string").repartition(3)
+    assert classes(minhash.near_copies(docs)) == plain(texts)
