@@ -21,7 +21,7 @@ FIT_WORDS, FIT_NGRAMS = 60_000, 40_000
 LONGEST = 5
 UNDETERMINED = "und"
 #: Words that are unseen are remembered up to this number, then forgotten.
-_MEMORY = 200_000
+_MEMORY = 100_000
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
 
