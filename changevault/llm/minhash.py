@@ -140,7 +140,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that, they are compared across classes too, in blocks inside tasks. So every pair that shares a band is compared or is
     already in one class.
     """
-    spark = docs.sparkSession
+    return _classed(docs, id_col, text_col, threshold, weighted, bands, rows, words).select("doc_id", "class_id", "kept")
+
+
+def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float = SIMILARITY, weighted: bool = False,
+             bands: int = BANDS, rows: int = ROWS, words: int = SHINGLE_WORDS) -> DataFrame:
+    """What :func:`near_copies` returns, with ``node``, the hash of the row's text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn("node", F.xxhash64("text"))
     signed = checkpoint(map_batches(source, _signatures(weighted, bands, rows, words),
@@ -169,7 +174,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = named.groupBy("component").agg(F.min("least_id").alias("class_id"))
     class_of = named.join(names, "component").select("node", "class_id")
     return signed.select("id", "node").join(class_of, "node").select(
-        F.col("id").alias("doc_id"), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+        F.col("id").alias("doc_id"), "class_id", "node", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def _across(members: DataFrame, classes: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
@@ -257,7 +262,10 @@ def _compare(threshold: float, tile: int = 512):
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay."""
-    gone = near_copies(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = checkpoint(gone)
-    return docs.join(near(gone), F.col(id_col).cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that stay. Rows are told apart by identifier and text, so of two texts under one identifier
+    only the one that has to go goes."""
+    gone = checkpoint(_classed(docs, id_col, text_col).where("NOT kept").select(
+        F.col("doc_id").alias("__gone"), F.col("node").alias("__node")).distinct())
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone")) & (
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__node"))
+    return docs.join(near(gone), same, "left_anti")

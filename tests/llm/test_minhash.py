@@ -49,6 +49,12 @@ def test_odd_texts(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 6, 7, 9, 11, 11]
 
 
+def test_another_text_under_the_same_id_stays(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "something else that is on its own")]
+    kept = minhash.drop_near_copies(frame(spark, rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept) == ["a b c d e f g", "something else that is on its own"]
+
+
 def test_coordinates_agree_as_often_as_sets_do():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 1 << 62, 1000).astype(np.uint64)
