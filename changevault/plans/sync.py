@@ -21,7 +21,7 @@ from changevault.operators.schema import columns_from_catalog, detect_drift, wit
 from changevault.operators.watermark import drop_seen, incremental, job_start_watermark
 from changevault.session import from_micros, local_frame, moment, now, to_micros
 from changevault.sources.extract import pick_fields, read_extract
-from changevault.sources.ledger import RAW, History, get_watermark, history, is_published
+from changevault.sources.ledger import History, history, sync_state
 from changevault.sources.raw import add_columns, append_raw, ensure_table, read_commits
 
 
@@ -112,8 +112,8 @@ def sync_frame(
         raise ValueError("strategy must be 'batch_max' or 'job_start'")
     sync_id = sync_id or uuid4().hex
     started = moment(job_start) if job_start else now()
-    if is_published(spark, root, spec.name, RAW, sync_id):
-        last = get_watermark(spark, root, spec.name)
+    done, last = sync_state(spark, root, spec.name, sync_id)
+    if done:
         return SyncResult(spec.name, sync_id, watermark=last, skipped=True)
     known = history(spark, root, spec.name)
 

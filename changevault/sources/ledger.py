@@ -152,6 +152,15 @@ def is_published(spark: SparkSession, root: str, object_name: str, kind: str, sy
     return not rows.where(F.col("sync_id") == sync_id).isEmpty()
 
 
+def sync_state(
+    spark: SparkSession, root: str, object_name: str, sync_id: str
+) -> tuple[bool, datetime | None]:
+    """Whether a sync of this id is published, and the last committed watermark, in one job."""
+    rows = read_ledger(spark, root, object_name).where(F.col("kind") == RAW)
+    found = rows.agg(F.bool_or(F.col("sync_id") == sync_id).alias("done"), F.unix_micros(F.max("watermark")).alias("at")).first()
+    return bool(found.done), from_micros(found.at)
+
+
 def get_watermark(spark: SparkSession, root: str, object_name: str) -> datetime | None:
     """Last committed watermark, or None when the object was never synced."""
     rows = read_ledger(spark, root, object_name).where(F.col("kind") == RAW)

@@ -21,7 +21,7 @@ from changevault.session import (
     from_micros, local_frame, moment_lit, now, read_if_exists, require_utc,
 )
 from changevault.sources.ledger import (
-    RAW, Entry, History, get_watermark, history, is_published, new_commit_id, publish,
+    RAW, Entry, History, history, new_commit_id, publish, sync_state,
 )
 
 _COLUMN_SCHEMA = T.StructType([
@@ -255,9 +255,9 @@ def append_raw(
     if columns is None:
         columns = ensure_table(spark, spec, root, columns_of(df))
     df = _checked(df, spec, columns)
-    if known is None and is_published(spark, root, spec.name, RAW, sync_id):
+    done, last = (False, known.watermark) if known else sync_state(spark, root, spec.name, sync_id)
+    if done:
         return None
-    last = known.watermark if known else get_watermark(spark, root, spec.name)
     staged = stage(stamp_rows(df, columns, sync_id, synced_at), spec, root, columns, max_records_per_file)
     if staged.n_rows == 0 and watermark is None:
         return None
