@@ -106,3 +106,27 @@ def test_window_is_filled_with_lexical_neighbours():
     order = [d for d, start, *_ in packing.chain(docs) if start == 0]
     same = sum(a % 5 == b % 5 for a, b in zip(order, order[1:]))
     assert same >= 25  # neighbours in the chain share their topic, though no two in the input do
+
+
+def topic_texts():
+    """60 documents of six topics without shared words; topics take turns."""
+    letters, rng = "bcdfgh", random.Random(8)
+    words = {t: [t + "".join(rng.choice("aeiou" + t) for _ in range(5)) for _ in range(60)] for t in letters}
+    return [(i, " ".join(rng.choice(words[letters[i % 6]]) for _ in range(60))) for i in range(60)]
+
+
+def test_neighbours_come_from_all_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 20)
+    docs = frame(spark, topic_texts(), "doc_id long, text string")
+    some, other = (sorted(map(tuple, packing.pack(docs.repartition(n), BYTE).collect())) for n in (20, 1))
+    assert some == other  # however the input is partitioned
+    placed = [r[0] for r in sorted(some, key=lambda r: (r[5], r[6])) if r[1] == 0]
+    assert len(placed) == 60 and sum(a % 6 == b % 6 for a, b in zip(placed, placed[1:])) >= 40
+
+
+def test_all_terms_of_a_document_and_the_statistics_of_the_corpus_count():
+    rng = np.random.default_rng(4)
+    docs = [np.append(rng.permutation(400)[:200 + i].astype("<u4") + 1, np.uint32(0)) for i in range(70)]
+    stats = packing._stats(np.full(500, 3), 1000, 50.0)
+    want = [sum(stats.idf[t] * 2.2 / (1 + 1.2 * (0.25 + 0.75 * len(d) / 50)) for t in set(d[:-1]) & set(docs[0][:-1])) for d in docs]
+    np.testing.assert_allclose(packing.Index(docs, stats).scores(0), want, rtol=1e-4)
