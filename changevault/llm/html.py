@@ -31,6 +31,8 @@ IMPLIED = {
     "option": ({"option"}, frozenset({"select", "datalist"})), "body": ({"head"}, frozenset({"html"})),
 } | {tag: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, frozenset({"table"}))
      for tag in ("thead", "tbody", "tfoot")}
+#: What may stand in a head; any other start tag, or text, ends it.
+_IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript template noframes html".split())
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _CUT_OFF = re.compile("</?[A-Za-z]|<[!?]")
 #: A column is widened up to this for alignment; longer cells stand whole and push what follows.
@@ -88,7 +90,13 @@ class Page(HTMLParser):
 
     # the tree
 
+    def end_head(self) -> None:
+        if self.stack and self.stack[-1][0] == "head":
+            self.pop()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in _IN_HEAD:
+            self.end_head()
         if tag in _P_ENDS and self.open_count.get("p"):
             self.end_to({"p"}, _CELL)
         if tag in IMPLIED:
@@ -205,6 +213,8 @@ class Page(HTMLParser):
         flow.parts.append(text)
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.end_head()
         if self.hidden:
             return
         flow = self.flows[-1]

@@ -65,3 +65,13 @@ def test_query_keeps_all_words_that_are_seen(spark):
         want = "".join(entities.unescape(seen).split())
         got = re.sub(r"\s|^- |\|", "", "\n".join(re.sub(r"^\s*(?:-|\d+\.) ", "", x) for x in rows[page.page_id].split("\n")))
         assert sorted(want.replace("|", "")) == sorted(got) or abs(len(want) - len(got)) <= 0.02 * len(want) + 20
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<head><title>T</title><p>Hello", "Hello"),
+    ("<html><head><meta charset=utf-8><link href=x>\n<style>a{}</style>\n<script>b</script>text<p>more", "text\n\nmore"),
+    ("<head><title>T</title><noscript><p>no</noscript><template><p>no</template><b>x</b></head>y", "xy"),
+    ("<head><title>T</title></head><body>x", "x"),
+])
+def test_head_ends_where_it_must(page, text):
+    assert html.render(page) == text
