@@ -110,6 +110,25 @@ class Page(HTMLParser):
         if tag in VOID:
             self.pop()
 
+    def in_foreign(self) -> bool:
+        """Whether SVG or MathML is being read, where CDATA sections and slashes that close count."""
+        if not (self.open_count.get("svg") or self.open_count.get("math")):
+            return False
+        for name, _ in reversed(self.stack):
+            if name in ("svg", "math", "foreignobject", "annotation-xml"):
+                return name in ("svg", "math")
+        return False
+
+    def parse_html_declaration(self, i: int) -> int:
+        """``<![`` starts a comment up to the next ``>``, but a CDATA section in SVG and MathML."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        if not (self.rawdata.startswith("<![CDATA[", i) and self.in_foreign()):
+            return self.parse_bogus_comment(i)
+        end = self.rawdata.find("]]>", i)
+        self.handle_data(self.rawdata[i + 9:end if end >= 0 else len(self.rawdata)])
+        return end + 3 if end >= 0 else len(self.rawdata)
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing on elements that may have content
 

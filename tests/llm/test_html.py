@@ -75,3 +75,11 @@ def test_query_keeps_all_words_that_are_seen(spark):
 ])
 def test_head_ends_where_it_must(page, text):
     assert html.render(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p>a<![x[y]]>b", "ab"), ("<p>a<![ y]>b", "ab"), ("a<![CDATA[ b > text", "a text"), ("a<![CDATA[b]]>c", "ac"),
+    ("a<![if !IE]>b<![endif]>c", "abc"), ("a<![", "a"), ("<svg><![CDATA[ > ]]></svg>z", "z"),
+])
+def test_marked_sections_are_comments(page, text):
+    assert html.render(page) == text
