@@ -13,8 +13,8 @@ from changevault.llm.tasks import per_text
 
 # How elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title script style template noscript iframe object audio video canvas svg math datalist "
-                   "noframes textarea select".split())
+UNSEEN = frozenset("head title script style template noscript iframe object audio video canvas datalist "
+                   "noframes select metadata annotation annotation-xml defs desc".split())
 #: Blank lines around (2) or a new line (1).
 BLOCKS = {tag: 2 for tag in "p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset".split()} | {
     tag: 1 for tag in "html body div section article main header footer nav aside address form li dt dd tr caption "
@@ -131,6 +131,8 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing on elements that may have content
+        if tag not in VOID and (tag in ("svg", "math") or self.in_foreign()):
+            self.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -169,7 +171,7 @@ class Page(HTMLParser):
         self.stack.append((tag, hides))
         self.open_count[tag] = self.open_count.get(tag, 0) + 1
         self.hidden += hides
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             self.pre += 1
         if tag == "table":
             self.tables.append(_Table())
@@ -204,7 +206,7 @@ class Page(HTMLParser):
         self.open_count[tag] -= 1
         seen = not self.hidden
         self.hidden -= hides
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             self.pre -= 1
         if tag in ("ul", "ol", "menu", "dir"):
             self.lists.pop()
@@ -234,7 +236,7 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if data.strip():
             self.end_head()
-        if self.hidden:
+        if self.hidden or self.open_count.get("svg") and not (self.open_count.get("text") or self.open_count.get("foreignobject")):
             return
         flow = self.flows[-1]
         if self.pre:

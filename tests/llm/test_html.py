@@ -83,3 +83,13 @@ def test_head_ends_where_it_must(page, text):
 ])
 def test_marked_sections_are_comments(page, text):
     assert html.render(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "x=2"),
+    ("<svg><title>no</title><defs><text>no</text></defs><path/> no <text>yes</text></svg>z", "yesz"),
+    ("<svg><defs/><text>a</text></svg><svg/>b", "ab"),
+    ("<textarea>a  b\nc</textarea>", "a  b\nc"),
+])
+def test_formulas_drawn_text_and_prefilled_text_are_seen(page, text):
+    assert html.render(page) == text
