@@ -1,6 +1,6 @@
 """Near copies among embeddings by counting collisions in many one-dimensional projections.
 
-Vectors are laid out by sorted projections: the sides of ``K`` of them name a block, and ``L`` such layouts hold every
+Candidates come from sign bits, not from sorted projections: the sides of ``K`` projections name a block, and ``L`` such layouts hold every
 close pair in one block almost surely. Inside a block each vector asks how often another lies within a window centred
 on it, over ``M`` further projections. Pairs whose count passes a calibrated number are verified by their cosine.
 """
