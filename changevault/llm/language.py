@@ -9,16 +9,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changevault.llm.tasks import per_text
 from changevault.llm.text import Words, words
 
-#: The model is fitted on about so many labelled documents, chosen by a hash of their identifier.
+#: The model is fitted on about so many labelled documents, as many of each language, chosen by a hash of their identifier.
 FIT_DOCS = 8_000
-#: The most frequent words, and n-grams of words, that the model keeps.
+#: The most frequent words, and n-grams of words, that the model keeps, as many of each language.
 FIT_WORDS, FIT_NGRAMS = 60_000, 40_000
 LONGEST = 5
+#: Long words are cut into n-grams by pieces, so many of which start in each.
+_PIECE = 36
 UNDETERMINED = "und"
 #: Words that are unseen are remembered up to this number, then forgotten.
 _MEMORY = 100_000
@@ -57,23 +59,32 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_doc
         id_col: str = "doc_id") -> Model:
     """A model from the labelled rows of ``docs``; rows without language or text teach nothing.
 
-    Spark counts the words of a sample of ``fit_docs`` documents by language; the ``FIT_WORDS`` most frequent words
-    and the ``FIT_NGRAMS`` most frequent n-grams, so at most so many rows for each language, come to the driver.
+    Each language has an equal part of ``fit_docs``, ``FIT_WORDS`` and ``FIT_NGRAMS``, and one with fewer documents is taken
+    whole. Spark counts the words of these documents by language; the most frequent words and n-grams of each language, so
+    at most so many rows for each language, come to the driver.
     """
-    labelled = sample(docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()), id_col, fit_docs)
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = dict(map(tuple, labelled.groupBy(F.col(lang_col)).count().collect()))
+    part = max(len(rows), 1)
+    if rows:
+        drawn = F.create_map(*(F.lit(x) for name, n in rows.items() for x in (
+            name, int(min(1.0, max(fit_docs // part, 1) / n) * 1_000_000))))
+        labelled = labelled.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < drawn[F.col(lang_col)])
     counts = labelled.select(F.col(lang_col).alias("lang"), F.explode(
         F.split(F.lower(text_col), r"[^\p{L}\p{M}\p{N}]+")).alias("word")
     ).where("word <> ''").groupBy("word", "lang").agg(F.count(F.lit(1)).alias("n"))
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length(padded))), lambda size: F.transform(
-        F.sequence(F.lit(1), F.length(padded) - size + 1), lambda at: F.substring(padded, at, size))))
+    pieces = F.transform(F.sequence(F.lit(1), F.length(padded), F.lit(_PIECE)), lambda at: F.substring(padded, at, F.lit(_PIECE + LONGEST - 1)))
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("piece"))), lambda size: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(_PIECE), F.length("piece") - size + 1)), lambda at: F.substring("piece", at, size))))
 
     def most(table: DataFrame, key: str, top: int) -> list:
-        by_key = table.groupBy(key).agg(F.sum("n").alias("total")).orderBy(F.desc("total"), key).limit(top)
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), key))
+        by_key = table.withColumn("place", place).where(F.col("place") <= max(top // part, 1)).select(key).distinct()
         return table.join(by_key, key).select(key, "lang", "n").collect()
 
     known = most(counts, "word", FIT_WORDS)
-    parts = most(counts.where(F.length("word") <= 40).select("lang", "n", F.explode(grams).alias("gram"))
+    parts = most(counts.select("lang", "n", F.explode(pieces).alias("piece")).select("lang", "n", F.explode(grams).alias("gram"))
                  .groupBy("gram", "lang").agg(F.sum("n").alias("n")), "gram", FIT_NGRAMS)
     languages = sorted({r[1] for r in known})
     table = _log_table(known, languages)

@@ -102,3 +102,10 @@ def test_thresholds_are_ordered_and_severity_grows(spark):
     probe = frame(spark, [(i, "bad " * i + "plain text here") for i in range(4)], "doc_id long, text string")
     severity = [r.severity for r in toxicity.predict(probe, model).collect()]
     assert severity == sorted(severity) and severity[3] > severity[0]
+
+
+def test_rare_languages_and_long_words_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "FIT_WORDS", 20)
+    rows = [(i, f"the cat number{i} sat on mat{i}", "en") for i in range(400)] + [(1001, "le chat", "fr"), (1002, "語" * 100, "zz")]
+    model = language.fit(frame(spark, rows, "doc_id long, text string, lang string"), fit_docs=30)
+    assert model.languages == ["en", "fr", "zz"] and "語" * 5 in model.ngrams
