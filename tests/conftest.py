@@ -31,8 +31,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def root(tmp_path):
     return str(tmp_path / "vault")
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

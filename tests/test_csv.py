@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import rows
+from support import rows
 
 from changevault.functions.records import align, job_status, spill_overflow, stringify, valid_record_ids
 from changevault.model import ColumnDef

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from changevault.model import ObjectSpec, PartitionBy

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from support import rows
 
 from changevault.model import ChangeVaultError, ObjectSpec
 from changevault.operators.lineage import (

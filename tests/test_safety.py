@@ -4,7 +4,7 @@ import contextlib
 import os
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 from test_jobs import FIELDS, F1, LEAD, catalog, extract
 

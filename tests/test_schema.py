@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 
 from changevault.functions.records import extract_fields
 from changevault.model import COMPOUND_TYPES, SOURCE_TYPES, ChangeVaultError, DriftHalted, check_case_collisions
