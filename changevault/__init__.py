@@ -17,7 +17,8 @@ from changevault.operators.latest import (
     before, last_good_state, latest_per_key, record_as_of, record_history, table_as_of,
 )
 from changevault.operators.lineage import (
-    assign_canonical_id, canonical_ids, reference_edges, restore_levels, rewrite_parent_refs,
+    assign_canonical_id, canonical_ids, reference_edges, restore_levels, restore_plan, rewrite_parent_refs,
+    rewrite_refs_to_any,
 )
 from changevault.operators.merge import merge_actions, merge_current
 from changevault.operators.partitions import with_partitions
@@ -28,13 +29,12 @@ from changevault.operators.schema import (
 from changevault.operators.watermark import (
     batch_watermark, drop_seen, incremental, job_start_watermark, watermarks,
 )
-from changevault.plans.current import merge_all, refresh_current
+from changevault.plans.current import merge_all, read_current, refresh_current
 from changevault.plans.maintain import compact, expire, retained
 from changevault.plans.restore import restore_export, restore_preview, restore_related
 from changevault.plans.sync import sync_all, sync_frame, sync_object
 from changevault.session import use_utc
 from changevault.sources.canonical import read_ids, record_key, register_ids
-from changevault.sources.current import read_current
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, live_commits, read_ledger
 from changevault.sources.raw import append_raw, read_raw

@@ -72,7 +72,8 @@ SYSTEM_FIELDS = (
 # Newest version first: later sync wins a tie on the stamp, then a stored row hash decides.
 RAW_TIEBREAK = (SYNCED_AT, ROW_HASH)
 
-# What a field catalog may hold; object, name, type and nillable are needed. ``reference_to`` names the parent object.
+# What a field catalog may hold; object, name, type and nillable are needed. ``reference_to`` lists the objects whose
+# records a reference may name; a frame may also hold the name of the only one as text.
 CATALOG_SCHEMA = T.StructType([
     T.StructField("object", T.StringType()),
     T.StructField("name", T.StringType()),
@@ -81,7 +82,7 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("precision", T.IntegerType()),
     T.StructField("scale", T.IntegerType()),
     T.StructField("nillable", T.BooleanType()),
-    T.StructField("reference_to", T.StringType()),
+    T.StructField("reference_to", T.ArrayType(T.StringType())),
 ])
 
 _PATH_SAFE = re.compile(r"[A-Za-z0-9_]+")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.model import ChangeVaultError, ObjectSpec, col
@@ -41,9 +44,15 @@ def assign_canonical_id(
 
 
 def reference_edges(catalog: DataFrame) -> DataFrame:
-    """``(object, field, parent)``: the reference fields of a field catalog, by its ``reference_to``."""
-    told = F.col("reference_to").isNotNull() & (F.col("type") == "reference")
-    return catalog.where(told).select("object", F.col("name").alias("field"), F.col("reference_to").alias("parent"))
+    """``(object, field, parent, place)``: the reference fields of a field catalog, a row for each object a field may name.
+
+    ``reference_to`` is the list of these objects, or the name of the only one; ``place`` is the position in the list.
+    """
+    several = isinstance(catalog.schema["reference_to"].dataType, T.ArrayType)
+    parents = F.col("reference_to") if several else F.array("reference_to")
+    fields = catalog.where(F.col("type") == "reference")
+    named = fields.select("object", F.col("name").alias("field"), F.posexplode(parents).alias("place", "parent"))
+    return named.where("parent IS NOT NULL").select("object", "field", "parent", "place")
 
 
 def rewrite_parent_refs(
@@ -68,19 +77,91 @@ def rewrite_parent_refs(
     )
 
 
+def rewrite_refs_to_any(
+    child: DataFrame, ref: str, parents: Mapping[str, DataFrame], canonical: str = CANONICAL_ID, hot_bytes: int = HOT_BYTES
+) -> DataFrame:
+    """Child rows with a reference that may name records of several objects replaced by one column for each object.
+
+    ``parents`` gives each object's ``(key, canonical id)``, unique by key. Column ``ref:object:field`` holds the
+    parent's canonical id where it is of that object and NULL elsewhere, so at most one of them is filled; a key that
+    two objects bear counts for the object named first. All parents are looked up in one join on the key, in the
+    type of the reference.
+    """
+    kind = child.schema[ref].dataType
+    known = [
+        ids.select(col(ids.columns[0]).try_cast(kind).alias("__parent_key"), F.lit(place).alias("__place"),
+                   col(ids.columns[1]).alias("__parent_id"))
+        for place, ids in enumerate(parents.values())
+    ]
+    lookup = reduce(DataFrame.unionByName, known).where("__parent_key IS NOT NULL")
+    if len(known) > 1:
+        lookup = lookup.groupBy("__parent_key").agg(
+            F.min("__place").alias("__place"), F.min_by("__parent_id", "__place").alias("__parent_id"))
+    joined = lookup_join(child, lookup, ref, "__parent_key", hot_bytes)
+    return joined.select(*[col(c) for c in child.columns if c != ref], *[
+        F.when(F.col("__place") == place, F.col("__parent_id")).alias(f"{ref}:{name}:{canonical}")
+        for place, name in enumerate(parents)
+    ])
+
+
 def restore_levels(edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
     """``(object, level)``: 0 without parents, else one more than the highest parent.
 
-    ``edges`` is ``(object, parent)``. Each round closes the edges to what the round before settled and
-    settles the objects left without an open one, so there are as many rounds as levels. An object referring to itself
+    ``edges`` is ``(object, parent)``; rows without an object or parent are no edges. An object referring to itself
     is no ordering constraint. Objects on or behind a cycle never settle: an error, or rows with
-    a NULL level for ``on_cycle='null'``.
+    a NULL level for ``on_cycle='null'``; :func:`restore_plan` orders these too.
     """
-    open_edges = checkpoint(
-        edges.select("object", "parent").where(F.col("object") != F.col("parent")).distinct()
-    )
+    levels, open_edges = _peeled(edges)
+    stuck = open_edges.select("object").distinct()
+    if on_cycle == "null":
+        return levels.unionByName(stuck.withColumn("level", F.lit(None).cast("int")))
+    some = stuck.orderBy("object").take(5)
+    if some:
+        raise ChangeVaultError(
+            f"references form a cycle: {stuck.count()} objects are on or behind one, among them "
+            + ", ".join(str(r.object) for r in some) + "; on_cycle='null' returns them all"
+        )
+    return levels
+
+
+FREE, CORE, BEHIND = "free", "core", "behind"
+
+
+def restore_plan(edges: DataFrame) -> DataFrame:
+    """``(object, place, level)`` for every object, cycles included.
+
+    ``free`` objects settle as in :func:`restore_levels`. What is left is peeled from the other end: an object that
+    no unsettled one refers to is ``behind`` a cycle. What neither end gives up is the ``core``: cycles, and what lies
+    on the way from one to another. Core objects share the level after the last free one; they go without their
+    references to each other first, which are filled afterwards, at the level that follows. Objects behind have
+    levels from there on, parents first.
+    """
+    free, left = _peeled(edges)
+    settled = free.select("object", F.lit(FREE).alias("place"), "level")
+    if left.isEmpty():
+        return settled
+    _, between = _peeled(left.select(F.col("parent").alias("object"), F.col("object").alias("parent")))
+    core = checkpoint(between.select("object").distinct())
+    outside = left.join(core, "object", "left_anti")
+    own = outside.select("object", F.col("object").alias("parent"))
+    apart = outside.join(core.select(F.col("object").alias("parent")), "parent", "left_anti").select("object", "parent")
+    behind, _ = _peeled(apart.unionByName(own))
+    highest = free.agg(F.max("level")).first()[0]
+    level = 0 if highest is None else highest + 1
+    return settled.unionByName(core.select("object", F.lit(CORE).alias("place"), F.lit(level).alias("level"))).unionByName(
+        behind.select("object", F.lit(BEHIND).alias("place"), (F.col("level") + level + 1).alias("level")))
+
+
+def _peeled(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Levels of the objects that settle, and the edges left open.
+
+    Each round closes the edges to what the round before settled and settles the objects left without an open one, so
+    there are as many rounds as levels.
+    """
+    told = edges.select("object", "parent")
+    open_edges = checkpoint(told.where(F.col("object") != F.col("parent")).distinct())
     nodes = (
-        edges.select("object").unionByName(edges.select(F.col("parent").alias("object")))
+        told.select("object").unionByName(told.select(F.col("parent").alias("object")))
         .where(F.col("object").isNotNull())
         .distinct()
     )
@@ -99,15 +180,5 @@ def restore_levels(edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
         settled = checkpoint(counted.where("open = 0").select("object", F.lit(level).alias("level")))
         open_edges = marked.where("__closed IS NULL").drop("__closed")
         if settled.isEmpty():
-            break
+            return levels, open_edges
         levels = levels.unionByName(settled)
-    stuck = open_edges.select("object").distinct()
-    if on_cycle == "null":
-        return levels.unionByName(stuck.withColumn("level", F.lit(None).cast("int")))
-    some = stuck.orderBy("object").take(5)
-    if some:
-        raise ChangeVaultError(
-            f"references form a cycle: {stuck.count()} objects are on or behind one, among them "
-            + ", ".join(str(r.object) for r in some) + "; on_cycle='null' returns them all"
-        )
-    return levels

@@ -9,7 +9,6 @@ from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -110,9 +109,7 @@ def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.Stru
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Parquet under ``path`` with a given schema, or None when the path is not there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.schema(schema).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from changevault.model import ChangeVaultError, ObjectSpec, col
 from changevault.operators.lineage import CANONICAL_ID, canonical_ids
 from changevault.session import local_frame, read_if_exists
+from changevault.sources.ledger import IDS, Entry, history, new_commit_id, publish
 from changevault.sources.raw import read_columns, read_raw
 
 
@@ -24,16 +25,23 @@ def read_ids(spark: SparkSession, spec: ObjectSpec, root: str) -> DataFrame:
     return local_frame(spark, [], schema) if stored is None else stored
 
 
-def register_ids(spark: SparkSession, spec: ObjectSpec, root: str) -> None:
-    """Give every key of the history that has none yet its id, and store it.
+def register_ids(spark: SparkSession, spec: ObjectSpec, root: str) -> tuple[str, ...]:
+    """Give every key of the history that has none yet its id, and store it; the commits read for that.
 
-    Ids are only ever added, so neither a late older version nor retention changes one. One run at a
+    Ids are only ever added, so neither a late older version nor retention changes one. The ledger tells which
+    commits an earlier run has read, or what maintenance made of them, and only the others are read. A run that
+    stores ids and then fails before its ledger row reads the same commits once more and adds nothing. One run at a
     time for an object, like its other jobs.
     """
-    known = read_ids(spark, spec, root)
-    fresh = read_raw(spark, spec, root).join(known.select(col(spec.primary_key)), spec.primary_key, "left_anti")
-    made = canonical_ids(fresh, spec).where(col(spec.primary_key).isNotNull())
-    made.write.mode("append").parquet(f"{root}/canonical/object={spec.name}")
+    known, fresh = read_ids(spark, spec, root), tuple(history(spark, root, spec.name).unregistered)
+    if not fresh:
+        return ()
+    raw = read_raw(spark, spec, root, commits=fresh).select(col(spec.primary_key), col(spec.watermark_field))
+    made = canonical_ids(raw, spec).where(col(spec.primary_key).isNotNull())
+    missing = made.join(known.select(col(spec.primary_key)), spec.primary_key, "left_anti")
+    missing.write.mode("append").parquet(f"{root}/canonical/object={spec.name}")
+    publish(spark, root, Entry(spec.name, IDS, None, new_commit_id(), 0, covers=fresh))
+    return fresh
 
 
 def record_key(ids: DataFrame, spec: ObjectSpec, canonical_id: str) -> object:

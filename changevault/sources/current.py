@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from changevault.model import COMMIT, ChangeVaultError, ObjectSpec, col, quoted
-from changevault.operators.merge import live_rows
+from changevault.model import COMMIT, ObjectSpec, col, quoted
 from changevault.sources.ledger import History, history
 
 
@@ -28,18 +27,20 @@ def read_state(
     return _read_bucketed(spark, spec, path, newest.buckets)
 
 
-def write_state(state: DataFrame, spec: ObjectSpec, path: str, clustered: bool) -> None:
-    """Write one version of the state; ``clustered`` rows are hashed into the buckets already.
+def write_state(state: DataFrame, spec: ObjectSpec, path: str, clustered: bool) -> int:
+    """Write one version of the state and tell its number of rows; ``clustered`` rows are hashed into the buckets already.
 
     Buckets need a table entry to be written and read with; it lives for the moment only and
     does not own the files.
     """
-    buckets = spec.current_buckets
+    buckets, seen = spec.current_buckets, Observation()
+    if buckets is not None and not clustered:
+        state = state.repartition(buckets, col(spec.primary_key))
+    # observed where rows are written, behind the last shuffle: a task's rows count once, however often it is tried
+    state = state.observe(seen, F.count(F.lit(1)).alias("n"))
     if buckets is None:
         state.write.parquet(path)
-        return
-    if not clustered:
-        state = state.repartition(buckets, col(spec.primary_key))
+        return seen.get["n"]
     name = _entry_name()
     try:
         (
@@ -48,14 +49,7 @@ def write_state(state: DataFrame, spec: ObjectSpec, path: str, clustered: bool)
         )
     finally:
         state.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def read_current(spark: SparkSession, spec: ObjectSpec, root: str) -> DataFrame:
-    """Live records as of the last merge."""
-    state = read_state(spark, spec, root)
-    if state is None:
-        raise ChangeVaultError(f"object {spec.name}: not merged yet")
-    return live_rows(state)
+    return seen.get["n"]
 
 
 def _read_bucketed(spark: SparkSession, spec: ObjectSpec, path: str, buckets: int) -> DataFrame:

@@ -3,7 +3,7 @@
 Data is written under a fresh commit id first. A row in the ledger then publishes it, so a
 failed attempt is never seen and rows and watermark advance together. Rows live in one folder
 per object and kind, each of which has one writer at a time: the sync (``raw``), the merge
-(``current``) or one maintenance job (``maintenance``).
+(``current``), one maintenance job (``maintenance``) or the registry of canonical ids (``ids``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from changevault.session import from_micros, local_frame, moment, now, read_if_exists
 
-RAW, MAINTENANCE, CURRENT = "raw", "maintenance", "current"
+RAW, MAINTENANCE, CURRENT, IDS = "raw", "maintenance", "current", "ids"
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("sync_id", T.StringType()),
@@ -31,6 +31,8 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("min_stamp", T.TimestampType()),
     T.StructField("max_stamp", T.TimestampType()),
     T.StructField("buckets", T.IntegerType()),
+    T.StructField("rejects_id", T.StringType()),
+    T.StructField("n_rejects", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("object", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -39,7 +41,9 @@ LEDGER_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class Entry:
-    """One ledger row. ``replaces`` hides older commits; ``covers`` lists commits whose rows the current state holds."""
+    """One ledger row. ``replaces`` hides older commits; ``covers`` lists commits whose rows the current state holds,
+    or in rows of kind ``ids`` commits whose keys the registry holds. ``rejects_id`` names the folder of the rows
+    that a sync set aside."""
 
     object: str
     kind: str
@@ -54,6 +58,8 @@ class Entry:
     min_stamp: datetime | None = None
     max_stamp: datetime | None = None
     buckets: int | None = None
+    rejects_id: str | None = None
+    n_rejects: int = 0
     committed_at: datetime = field(default_factory=now)
 
 
@@ -96,7 +102,8 @@ class History:
     """What the ledger says about one object's visible state.
 
     ``commits`` are the rows of live commits that hold data, each with ``pending``: no merge has
-    covered it. ``current`` is the row of the newest merge, or None.
+    covered it, and ``registered``: the registry of canonical ids holds its keys. ``current`` is the row
+    of the newest merge, or None.
     """
 
     commits: tuple
@@ -111,6 +118,10 @@ class History:
     def pending(self) -> list[str]:
         return [c.commit_id for c in self.commits if c.pending]
 
+    @property
+    def unregistered(self) -> list[str]:
+        return [c.commit_id for c in self.commits if not c.registered]
+
     def waiting(self, commits: Sequence[str]) -> list[str]:
         """Of these commits the live ones; for any that maintenance replaced, what waits in its place."""
         wanted, live = set(commits), set(self.live)
@@ -128,13 +139,16 @@ def history(spark: SparkSession, root: str, object_name: str) -> History:
     folders it must name to read them; compaction keeps these few.
     """
     ledger = read_ledger(spark, root, object_name)
-    covered = ledger.select(F.explode("covers").alias("commit_id")).distinct().withColumn("__covered", F.lit(True))
+    by_ids = F.col("kind") == IDS
+    covered = ledger.select(by_ids.alias("ids"), F.explode("covers").alias("commit_id")).groupBy("commit_id").agg(
+        F.bool_or(~F.col("ids")).alias("__merged"), F.bool_or("ids").alias("__registered"))
     live = live_commits(ledger).where("n_rows > 0").join(covered, "commit_id", "left").select(
-        "kind", "commit_id", "sync_id",
+        "kind", "commit_id", "sync_id", "n_rows",
         F.unix_micros("min_stamp").alias("min_stamp_us"),
         F.unix_micros("max_stamp").alias("max_stamp_us"),
         F.unix_micros("committed_at").alias("committed_us"),
-        F.col("__covered").isNull().alias("pending"),
+        (~F.coalesce("__merged", F.lit(False))).alias("pending"),
+        F.coalesce("__registered", F.lit(False)).alias("registered"),
     )
     merge = F.when(F.col("kind") == CURRENT, F.struct("commit_id", "buckets"))
     order = F.when(F.col("kind") == CURRENT, F.struct("committed_at", "commit_id"))

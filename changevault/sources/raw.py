@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import (
-    Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T,
+    Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F, types as T,
 )
 
 from changevault.functions.records import align, spill_overflow
@@ -114,6 +114,16 @@ def read_commits(
     return reader.parquet(*[f"{base}/{COMMIT}={c}" for c in commits])
 
 
+def stored_files(spark: SparkSession, spec: ObjectSpec, root: str, commits: Sequence[str]) -> DataFrame:
+    """``(commit_id, n_partitions, n_files, n_bytes)`` of commits that hold data. Files are listed, not read."""
+    paths = [f"{root}/raw/{spec.name}/{COMMIT}={c}" for c in commits]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return files.load(paths).groupBy(F.regexp_extract("path", f"/{COMMIT}=([^/]+)/", 1).alias("commit_id")).agg(
+        F.countDistinct(F.regexp_replace("path", "/[^/]*$", "")).alias("n_partitions"),
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"),
+    )
+
+
 # ---- write ----------------------------------------------------------------------------------
 
 
@@ -138,18 +148,20 @@ def stage(
     columns: Sequence[ColumnDef],
     max_records_per_file: int | None = None,
 ) -> Staged:
-    """Write rows under a fresh commit id, then read key and stamp back to describe them.
+    """Write rows under a fresh commit id; what describes them is observed by the write itself.
 
     Rows are rebalanced first, on the partition columns if there are any: each partition ends up
     in few files of the session's advisory size, and a partition holding most of the batch is
     split over several tasks. Rows are sorted by key within a file, so that a lookup by id
-    skips most row groups.
+    skips most row groups. Counts are observed behind that shuffle, in the tasks that write: Spark
+    takes the numbers of such a task once, however often it is tried, so retries and lost executors
+    do not change them, and nothing is read back.
     """
     rows, parts = _to_store(df, spec, columns)
-    commit_id = new_commit_id()
-    _laid_out(rows, spec, parts, max_records_per_file).parquet(f"{root}/raw/{spec.name}/{COMMIT}={commit_id}")
-    written = read_commits(df.sparkSession, spec, root, columns, [commit_id])
-    return _staged(spec, commit_id, written.agg(*_description(spec, columns)).first().asDict())
+    commit_id, seen = new_commit_id(), Observation()
+    _laid_out(rows, spec, parts, seen, _description(spec, columns), max_records_per_file).parquet(
+        f"{root}/raw/{spec.name}/{COMMIT}={commit_id}")
+    return _staged(spec, commit_id, seen.get)
 
 
 def stage_split(
@@ -159,12 +171,18 @@ def stage_split(
     found = [r[0] for r in df.select(label).distinct().collect()]
     if not found:
         return []
-    ids = {value: new_commit_id() for value in found}
+    ids, seen = {value: new_commit_id() for value in found}, Observation()
     rows, parts = _to_store(df.withColumn(COMMIT, _lookup(label, ids)), spec, columns, COMMIT)
-    _laid_out(rows, spec, [COMMIT, *parts], None).mode("append").parquet(f"{root}/raw/{spec.name}")
-    written = read_commits(df.sparkSession, spec, root, columns, list(ids.values()))
-    described = written.groupBy(COMMIT).agg(*_description(spec, columns)).collect()
-    return [_staged(spec, r[COMMIT], r.asDict()) for r in described]
+    measures = [
+        m.alias(f"{commit_id}_{name}") for commit_id in ids.values()
+        for name, m in _measures(spec, columns, F.col(COMMIT) == commit_id).items()
+    ]
+    _laid_out(rows, spec, [COMMIT, *parts], seen, measures, None).mode("append").parquet(f"{root}/raw/{spec.name}")
+    told = seen.get
+    return [
+        _staged(spec, commit_id, {name: told[f"{commit_id}_{name}"] for name in ("n", "lo", "hi", "no_key")})
+        for commit_id in ids.values()
+    ]
 
 
 def _lookup(label: Column, values: dict) -> Column:
@@ -181,8 +199,11 @@ def _to_store(df: DataFrame, spec: ObjectSpec, columns: Sequence[ColumnDef], *ex
     return rows.selectExpr(*map(quoted, (*stored, *extra))), parts
 
 
-def _laid_out(rows: DataFrame, spec: ObjectSpec, parts: Sequence[str], max_records_per_file: int | None) -> DataFrameWriter:
-    rows = rows.hint("rebalance", *[col(p) for p in parts])
+def _laid_out(
+    rows: DataFrame, spec: ObjectSpec, parts: Sequence[str], seen: Observation, measures: Sequence[Column],
+    max_records_per_file: int | None,
+) -> DataFrameWriter:
+    rows = rows.hint("rebalance", *[col(p) for p in parts]).observe(seen, *measures)
     order = [*parts, spec.primary_key] if spec.primary_key in rows.columns else list(parts)
     rows = rows.sortWithinPartitions(*[col(c) for c in order]) if order else rows
     writer = rows.write.partitionBy(*parts) if parts else rows.write
@@ -193,15 +214,18 @@ def _laid_out(rows: DataFrame, spec: ObjectSpec, parts: Sequence[str], max_recor
 
 
 def _description(spec: ObjectSpec, columns: Sequence[ColumnDef]) -> list[Column]:
+    return [m.alias(name) for name, m in _measures(spec, columns, F.lit(True)).items()]
+
+
+def _measures(spec: ObjectSpec, columns: Sequence[ColumnDef], which: Column) -> dict[str, Column]:
+    """Of the rows for which ``which`` holds: how many, first and last stamp, and how many lack a key."""
     names = {c.name: c.type for c in columns}
     stamp = F.lit(None).cast("timestamp")
     if names.get(spec.watermark_field) in ("timestamp", "date"):
         stamp = col(spec.watermark_field).cast("timestamp")
-    no_key = F.count_if(col(spec.primary_key).isNull()) if spec.primary_key in names else F.count_if(F.lit(False))
-    return [
-        F.count(F.lit(1)).alias("n"), F.min(F.unix_micros(stamp)).alias("lo"),
-        F.max(F.unix_micros(stamp)).alias("hi"), no_key.alias("no_key"),
-    ]
+    stamp = F.when(which, F.unix_micros(stamp))
+    no_key = col(spec.primary_key).isNull() if spec.primary_key in names else F.lit(False)
+    return {"n": F.count_if(which), "lo": F.min(stamp), "hi": F.max(stamp), "no_key": F.count_if(which & no_key)}
 
 
 def _staged(spec: ObjectSpec, commit_id: str, found: dict) -> Staged:

@@ -203,38 +203,6 @@ def ledger_latest(spark, sf_dir):
     return cv.watermarks(ledger)
 
 
-@query("live_commits", """
-WITH daily AS (
-  SELECT event_type AS object, CAST(ts AS DATE) AS day, count(*) AS n_rows FROM events GROUP BY ALL
-), monthly AS (
-  SELECT object, CAST(date_trunc('month', day) AS DATE) AS month, sum(n_rows)::BIGINT AS n_rows,
-    max(day) AS newest
-  FROM daily GROUP BY ALL
-)
-SELECT object, 'day-' || CAST(d.day AS VARCHAR) AS commit_id, d.n_rows
-FROM daily d JOIN monthly m USING (object) WHERE d.day = m.newest
-UNION ALL
-SELECT object, 'month-' || CAST(month AS VARCHAR), n_rows FROM monthly
-""")
-def live_commits(spark, sf_dir):
-    """One commit per object and day; a monthly compaction replaces all but its newest day."""
-    daily = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("object"), F.to_date("ts").alias("day"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
-    name = F.concat(F.lit("day-"), F.col("day").cast("string"))
-    no_commits = F.array().cast("array<string>")
-    raw = daily.select("object", F.lit("raw").alias("kind"), name.alias("commit_id"),
-                       no_commits.alias("replaces"), "n_rows")
-    month = F.trunc("day", "month").cast("string")
-    compacted = daily.groupBy("object", F.concat(F.lit("month-"), month).alias("commit_id")).agg(
-        F.max(name).alias("newest"), F.collect_set(name).alias("days"), F.sum("n_rows").alias("n_rows")
-    ).select("object", F.lit("maintenance").alias("kind"), "commit_id",
-             F.array_remove("days", F.col("newest")).alias("replaces"), "n_rows")
-    return cv.live_commits(raw.unionByName(compacted)).select("object", "commit_id", "n_rows")
-
-
 @query("incremental_extract", """
 SELECT event_id, user_id, event_type, ts, event_type = 'error' AS is_deleted
 FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'
@@ -298,8 +266,8 @@ def _orders(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn("o_orderdate", utc("o_orderdate"))
 
 
-def _orders_back(raw: DataFrame) -> DataFrame:
-    return raw.select(*[ntz(c) if c == "o_orderdate" else F.col(c) for c in _ORDER_COLUMNS])
+def _orders_back(raw: DataFrame, *extra: Column) -> DataFrame:
+    return raw.select(*[ntz(c) if c == "o_orderdate" else F.col(c) for c in _ORDER_COLUMNS], *extra)
 
 
 def _orders_vault(spark, sf_dir, spec: ObjectSpec = ORDERS) -> str:
@@ -802,7 +770,7 @@ def restore_related(spark, sf_dir):
             "stamp", F.lit("2024-01-01 00:00:00Z").cast("timestamp"))
         cv.append_raw(stamped, spec, root, "first")
         parents = _RELATED[spec.name][1]
-        fields += [(spec.name, c, "reference" if c in parents else "string", None, None, None, True, parents.get(c))
+        fields += [(spec.name, c, "reference" if c in parents else "string", None, None, None, True, [parents[c]] if c in parents else None)
                    for c in stamped.columns]
     pages = cv.restore_related(spark, specs, local_frame(spark, fields, CATALOG_SCHEMA), root, AT, f"{root}/out")
     names = {"region": ("r_name", None, None, None, None), "nation": ("n_name", None, None, None, None),
@@ -825,25 +793,200 @@ def restore_related(spark, sf_dir):
     return reduce(DataFrame.unionByName, map(one, pages))
 
 
+@query("owner_refs", """
+SELECT o_orderkey, o_orderpriority,
+  CASE WHEN o_orderkey % 2 = 0 THEN sha256('users:U' || o_custkey || ':2024-01-01 00:00:00') END AS "owner:users:canonical_id",
+  CASE WHEN o_orderkey % 2 = 1 AND o_custkey % 20 < (SELECT count(*) FROM supplier)
+    THEN sha256('teams:T' || (o_custkey % 20) || ':2024-01-01 00:00:00') END AS "owner:teams:canonical_id"
+FROM orders
+""")
+def owner_refs(spark, sf_dir):
+    """Tasks whose owner is a user or a team, by one reference field; some teams do not exist."""
+    stamp = F.lit("2024-01-01 00:00:00Z").cast("timestamp").alias("stamp")
+    users = table(spark, sf_dir, "customer").select(F.concat(F.lit("U"), "c_custkey").alias("id"), stamp)
+    teams = table(spark, sf_dir, "supplier").select(F.concat(F.lit("T"), "s_suppkey").alias("id"), stamp)
+    owner = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("U"), "o_custkey")).otherwise(
+        F.concat(F.lit("T"), (F.col("o_custkey") % 20).cast("string")))
+    tasks = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", owner.alias("owner"))
+    ids = {n: cv.canonical_ids(df, ObjectSpec(n, "id", "stamp")) for n, df in (("users", users), ("teams", teams))}
+    return cv.rewrite_refs_to_any(tasks, "owner", ids)
+
+
+_KIN = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey"}
+
+
+def _kin(spark, sf_dir, root: str, **extra: Callable[[DataFrame], DataFrame]) -> list[ObjectSpec]:
+    """Objects with the stamp 2024-01-01, each changed by the function of its name, in a vault of their own."""
+    specs = [ObjectSpec(name, _KIN[name], "stamp") for name in extra]
+    for spec in specs:
+        rows = extra[spec.name](table(spark, sf_dir, spec.name))
+        cv.append_raw(rows.withColumn("stamp", F.lit("2024-01-01 00:00:00Z").cast("timestamp")), spec, root, "first")
+    return specs
+
+
+def _references(spark, *fields: tuple[str, str, list[str]]) -> DataFrame:
+    rows = [(o, n, "reference", None, None, None, True, parents) for o, n, parents in fields]
+    return local_frame(spark, rows, CATALOG_SCHEMA)
+
+
+def _cells(page, *names: str) -> list[Column]:
+    """Columns of a page, those it has not as NULL; empty cells are NULL."""
+    return [F.nullif(F.col(f"`{n}`"), F.lit("")) if n in page.columns else F.lit(None).cast("string") for n in names]
+
+
+_KIN_ID = "sha256('{0}:' || {1} || ':2024-01-01 00:00:00')"
+
+
+@query("restore_staff", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS record_key, {_KIN_ID.format("customer", "c_custkey")} AS canonical_id,
+  CASE WHEN c_custkey > 0 THEN {_KIN_ID.format("customer", "(c_custkey // 8)")} END AS manager_id,
+  CASE WHEN c_custkey = 0 THEN 0 WHEN c_custkey < 8 THEN 1 WHEN c_custkey < 64 THEN 2 WHEN c_custkey < 512 THEN 3
+    WHEN c_custkey < 4096 THEN 4 WHEN c_custkey < 32768 THEN 5 WHEN c_custkey < 262144 THEN 6 ELSE 7 END AS wave
+FROM customer
+""")
+def restore_staff(spark, sf_dir):
+    """One object whose records refer to each other: managers lie in an earlier page folder than their staff."""
+    root = fresh_dir(spark, "staff")
+    specs = _kin(spark, sf_dir, root, customer=lambda df: df.select("c_custkey", "c_name", F.expr(
+        "CASE WHEN c_custkey > 0 THEN c_custkey div 8 END AS manager")))
+    pages = cv.restore_related(
+        spark, specs, _references(spark, ("customer", "manager", ["customer"])), root, AT, f"{root}/out")
+
+    def one(page) -> DataFrame:
+        rows = cv.read_extract(spark, page.path)
+        return rows.select(*[c.alias(n) for c, n in zip(
+            _cells(rows, "c_custkey", "canonical_id", "manager:customer:canonical_id"), ("record_key", "canonical_id", "manager_id")
+        )], F.lit(page.wave).alias("wave"))
+
+    return reduce(DataFrame.unionByName, map(one, pages))
+
+
+@query("restore_cycle", f"""
+WITH capitals AS (SELECT n_regionkey AS r, min(n_nationkey) AS capital FROM nation GROUP BY n_regionkey)
+SELECT 'region' AS object, 0 AS level, CAST(r_regionkey AS VARCHAR) AS record_key, {_KIN_ID.format("region", "r_regionkey")} AS canonical_id,
+  r_name AS name, CAST(NULL AS VARCHAR) AS parent_id
+FROM region
+UNION ALL SELECT 'nation', 0, CAST(n_nationkey AS VARCHAR), {_KIN_ID.format("nation", "n_nationkey")}, n_name, NULL FROM nation
+UNION ALL SELECT 'region', 1, NULL, {_KIN_ID.format("region", "r")}, NULL, {_KIN_ID.format("nation", "capital")} FROM capitals
+UNION ALL SELECT 'nation', 1, NULL, {_KIN_ID.format("nation", "n_nationkey")}, NULL, {_KIN_ID.format("region", "n_regionkey")} FROM nation
+UNION ALL SELECT 'customer', 1, CAST(c_custkey AS VARCHAR), {_KIN_ID.format("customer", "c_custkey")}, c_name,
+  {_KIN_ID.format("nation", "c_nationkey")} FROM customer
+""")
+def restore_cycle(spark, sf_dir):
+    """Regions name their capital's nation and nations their region; customers hang behind. All payloads read back: whole
+    records without the cyclic references, then these."""
+    root = fresh_dir(spark, "cycle")
+    capital = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.min("n_nationkey").alias("capital"))
+    specs = _kin(spark, sf_dir, root, region=lambda df: df.join(capital, "r_regionkey"), nation=lambda df: df, customer=lambda df: df)
+    fields = (("region", "capital", ["nation"]), ("nation", "n_regionkey", ["region"]), ("customer", "c_nationkey", ["nation"]))
+    pages = cv.restore_related(spark, specs, _references(spark, *fields), root, AT, f"{root}/out")
+    refs = {o: f"{f}:{p}:canonical_id" for o, f, (p,) in fields}
+    names = {"region": "r_name", "nation": "n_name", "customer": "c_name"}
+
+    def one(page) -> DataFrame:
+        rows = cv.read_extract(spark, page.path)
+        cells = _cells(rows, _KIN[page.object], "canonical_id", names[page.object], refs[page.object])
+        return rows.select(F.lit(page.object).alias("object"), F.lit(page.level).alias("level"), *[
+            c.alias(n) for c, n in zip(cells, ("record_key", "canonical_id", "name", "parent_id"))])
+
+    return reduce(DataFrame.unionByName, map(one, pages))
+
+
+@query("reference_cycles", """
+WITH capitals AS (SELECT n_regionkey AS r, min(n_nationkey) AS capital FROM nation GROUP BY n_regionkey)
+SELECT 'region ' || r_regionkey AS object, 'core' AS place, 1 AS level FROM region
+UNION ALL SELECT 'nation ' || n_nationkey, CASE WHEN capital IS NULL THEN 'behind' ELSE 'core' END,
+  CASE WHEN capital IS NULL THEN 2 ELSE 1 END FROM nation LEFT JOIN capitals ON capital = n_nationkey
+UNION ALL SELECT 'customer ' || c_custkey, 'behind', CASE WHEN capital IS NULL THEN 3 ELSE 2 END
+  FROM customer LEFT JOIN capitals ON capital = c_nationkey
+UNION ALL SELECT 'order ' || o_orderkey, 'behind', CASE WHEN capital IS NULL THEN 4 ELSE 3 END
+  FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN capitals ON capital = c_nationkey
+UNION ALL SELECT 'part ' || p_partkey, 'free', 0 FROM part
+""")
+def reference_cycles(spark, sf_dir):
+    """Records as nodes: regions and their capital's nations refer to each other, the rest hangs behind them or is free."""
+
+    def node(kind: str, key: str) -> Column:
+        return F.concat(F.lit(kind + " "), F.col(key).cast("string"))
+
+    nation = table(spark, sf_dir, "nation")
+    capital = nation.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("capital"))
+    edges = [
+        capital.select(node("region", "n_regionkey").alias("object"), node("nation", "capital").alias("parent")),
+        nation.select(node("nation", "n_nationkey"), node("region", "n_regionkey")),
+        table(spark, sf_dir, "customer").select(node("customer", "c_custkey"), node("nation", "c_nationkey")),
+        table(spark, sf_dir, "orders").select(node("order", "o_orderkey"), node("customer", "o_custkey")),
+        table(spark, sf_dir, "part").select(node("part", "p_partkey"), node("part", "p_partkey")),
+    ]
+    return cv.restore_plan(reduce(DataFrame.union, edges))
+
+
 # ---- jobs -----------------------------------------------------------------------------------
 
 
-@query("compact", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
-  CAST(1 AS BIGINT) AS n_files, CAST(1 AS BIGINT) AS n_commits FROM orders
+EVENTS_BY_DAY = ObjectSpec(
+    "events", "user_id", "ts", partition_by=(PartitionBy("ts", "day"),), deleted_field="is_deleted"
+)
+_EVENT_ROWS = "SELECT event_id, ts, user_id, event_type, value, props, event_type = 'error' AS is_deleted FROM events"
+
+
+def _events_back(df: DataFrame, *extra: str) -> DataFrame:
+    names = (*EVENT_COLUMNS, "is_deleted")
+    return df.select(*[ntz(c) if c == "ts" else F.col(c) for c in names], *extra)
+
+
+#: The third of the month an event lies in, from 0, in both dialects.
+_THIRD = "CAST(least(floor((day(ts) - 1) / 10), 2) AS INT)"
+
+
+def _halved_thirds(spark, sf_dir, root: str) -> DataFrame:
+    """The change log in six commits: each third of the month in two, by even and odd event."""
+    log = change_log(spark, sf_dir).withColumn("ts", utc("ts"))
+    for third in range(3):
+        for half in range(2):
+            part = log.where(f"{_THIRD} = {third} AND event_id % 2 = {half}")
+            cv.append_raw(part, EVENTS_BY_DAY, root, f"third-{third}-{half}")
+    return log
+
+
+def _newest_days(log: DataFrame) -> list:
+    return [r[0] for r in log.groupBy(F.expr(_THIRD).alias("third")).agg(F.to_date(F.max("ts"))).orderBy("third").select(
+        "to_date(max(ts))").collect()]
+
+
+@query("compact", f"""
+SELECT event_id, ts, user_id, event_type, value, props, event_type = 'error' AS is_deleted,
+  CAST(1 AS BIGINT) AS n_commits, count(*) OVER (PARTITION BY {_THIRD}) AS rewritten, CAST(0 AS BIGINT) AS again
+FROM events
 """)
 def compact(spark, sf_dir):
-    """All rows, each with the number of files and commits of its partition after compaction."""
-    root = _orders_vault(spark, sf_dir)
-    cv.compact(spark, ORDERS, root, day=now().date())
-    raw = cv.read_raw(spark, ORDERS, root)
-    part = "_p_o_orderdate_year"
-    stored = raw.select(part, "_commit", F.col("_metadata.file_path").alias("file")).groupBy(F.col(part).alias("year")).agg(
-        F.countDistinct("file").alias("n_files"), F.countDistinct("_commit").alias("n_commits")
-    )
-    return raw.join(stored, F.col(part).eqNullSafe(F.col("year"))).select(
-        *[ntz(c) if c == "o_orderdate" else F.col(c) for c in _ORDER_COLUMNS], "n_files", "n_commits"
-    )
+    """Three runs on three data days, and each once more; every row with what its day's runs rewrote, and the
+    commits its third lies in afterwards."""
+    root = fresh_dir(spark, "compact")
+    days = _newest_days(_halved_thirds(spark, sf_dir, root))
+    first = [cv.compact(spark, EVENTS_BY_DAY, root, day=day).rows for day in days]
+    again = [cv.compact(spark, EVENTS_BY_DAY, root, day=day).rows for day in days]
+    runs = local_frame(spark, zip(range(3), first, again), "third int, rewritten bigint, again bigint")
+    raw = cv.read_raw(spark, EVENTS_BY_DAY, root).withColumn("third", F.expr(_THIRD))
+    stored = raw.groupBy("third").agg(F.countDistinct("_commit").alias("n_commits"))
+    return _events_back(raw.join(runs.join(stored, "third"), "third"), "n_commits", "rewritten", "again")
+
+
+@query("live_commits", f"""
+WITH thirds AS (SELECT *, {_THIRD} AS third FROM events)
+SELECT event_id, ts, user_id, event_type, value, props, event_type = 'error' AS is_deleted,
+  count(*) OVER (PARTITION BY third, CASE WHEN third = 2 THEN event_id % 2 END) AS commit_rows
+FROM thirds
+""")
+def live_commits(spark, sf_dir):
+    """The rows that survive when two of three data days are packed, each with the size of the commit that holds it."""
+    root = fresh_dir(spark, "live")
+    days = _newest_days(_halved_thirds(spark, sf_dir, root))
+    for day in days[:2]:
+        cv.compact(spark, EVENTS_BY_DAY, root, day=day)
+    live = cv.live_commits(cv.read_ledger(spark, root, "events")).select("commit_id", F.col("n_rows").alias("commit_rows"))
+    raw = cv.read_raw(spark, EVENTS_BY_DAY, root)
+    return _events_back(raw.join(live, F.col("_commit") == F.col("commit_id")), "commit_rows")
 
 
 CUSTOMER_ORDERS = ObjectSpec(
@@ -856,24 +999,31 @@ WITH versions AS (
   SELECT * FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1
 )
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM versions
-WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, false AS in_baseline,
+  CAST(0 AS BIGINT) AS replaced_again
+FROM versions WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'
 UNION ALL
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true, 0 FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS rn FROM versions
   WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'
 ) WHERE rn = 1
 """)
 def expire(spark, sf_dir):
-    """Orders as versions of their customer, one per stamp, in two syncs; then a retention run."""
+    """Orders as versions of their customer, one per stamp, in two syncs; then a retention run, a compaction of the newest
+    data day and a retention run with the same cutoff, which finds nothing to replace."""
     root = fresh_dir(spark, "expire")
     spec = CUSTOMER_ORDERS
     versions = cv.latest_per_key(_orders(spark, sf_dir), ["o_custkey", "o_orderdate"], "o_orderkey")
     old = F.col("o_orderdate") < F.lit("1996-01-01 00:00:00Z").cast("timestamp")
     cv.append_raw(versions.where(old), spec, root, "old")
     cv.append_raw(versions.where(~old), spec, root, "new")
-    cv.expire(spark, spec, root, keep_days=60, as_of=moment("1997-01-01T00:00:00Z") + timedelta(days=60))
-    return _orders_back(cv.read_raw(spark, spec, root))
+    window = dict(keep_days=60, as_of=moment("1997-01-01T00:00:00Z") + timedelta(days=60))
+    baseline = cv.expire(spark, spec, root, **window).commit_id
+    cv.compact(spark, spec, root, day=cv.get_watermark(spark, root, spec.name).date())
+    again = cv.expire(spark, spec, root, **window)
+    raw = cv.read_raw(spark, spec, root)
+    return _orders_back(raw, (F.col("_commit") == baseline).alias("in_baseline"),
+                        F.lit(len(again.replaced)).cast("long").alias("replaced_again"))
 
 
 def _event_extracts(spark, sf_dir, root: str) -> dict[str, str]:
@@ -895,17 +1045,6 @@ def _event_catalog(spark, objects=("events",)) -> DataFrame:
     )
 
 
-EVENTS_BY_DAY = ObjectSpec(
-    "events", "user_id", "ts", partition_by=(PartitionBy("ts", "day"),), deleted_field="is_deleted"
-)
-_EVENT_ROWS = "SELECT event_id, ts, user_id, event_type, value, props, event_type = 'error' AS is_deleted FROM events"
-
-
-def _events_back(df: DataFrame) -> DataFrame:
-    names = (*EVENT_COLUMNS, "is_deleted")
-    return df.select(*[ntz(c) if c == "ts" else F.col(c) for c in names])
-
-
 @query("sync_object", _EVENT_ROWS)
 def sync_object(spark, sf_dir):
     root = fresh_dir(spark, "sync")
@@ -954,18 +1093,32 @@ def _synced_versions(spark, sf_dir, root: str, merge_between: bool) -> None:
     for sync_id, part in (("late", ~early), ("early", early)):
         cv.append_raw(versions.where(part), EVENTS_BY_DAY, root, sync_id)
         if merge_between:
-            cv.compact(spark, EVENTS_BY_DAY, root, day=now().date())
             cv.merge_all(spark, [EVENTS_BY_DAY], root)
 
 
 @query("merge_all", _ONE_PER_STAMP)
 def merge_all(spark, sf_dir):
-    """Merged after each of two syncs, of which the second brings the older rows; compacted before each merge."""
+    """Merged after each of two syncs, of which the second brings the older rows."""
     root = fresh_dir(spark, "merge")
     _synced_versions(spark, sf_dir, root, merge_between=True)
     return _events_back(cv.read_current(spark, EVENTS_BY_DAY, root))
 
 
+@query("current_pending", _ONE_PER_STAMP)
+def current_pending(spark, sf_dir):
+    """Current state read through two syncs that no merge has covered: older versions that arrive late, and all newer ones
+    once more after a merge of the first days."""
+    root = fresh_dir(spark, "pending")
+    log = change_log(spark, sf_dir).withColumn("ts", utc("ts"))
+    versions = cv.latest_per_key(log, ["user_id", "ts"], "event_id")
+    day = F.to_date("ts")
+    cv.append_raw(versions.where(day.between("2024-01-08", "2024-01-20")), EVENTS_BY_DAY, root, "merged")
+    cv.merge_all(spark, [EVENTS_BY_DAY], root)
+    cv.append_raw(versions.where(day < "2024-01-11"), EVENTS_BY_DAY, root, "late")
+    cv.append_raw(versions.where(day > "2024-01-15"), EVENTS_BY_DAY, root, "new")
+    return _events_back(cv.read_current(spark, EVENTS_BY_DAY, root, pending=True))
+
+
 # A wide object: the supplier's four columns in 99 variants each.
 _WIDE = [c for i in range(99) for c in (
     (f"s_suppkey + {i}", f"key_{i}", "int"), (f"s_acctbal * {i + 1}", f"amount_{i}", "double"),

@@ -16,13 +16,13 @@ from changevault.objects import STANDARD_OBJECTS
 from changevault.operators.watermark import (
     drop_seen, incremental, job_start_watermark, watermarks,
 )
-from changevault.plans.current import merge_all, refresh_current
+from changevault.plans.current import merge_all, read_current, refresh_current
 from changevault.plans.maintain import compact, expire
 from changevault.plans.restore import restore_export, restore_preview
 from changevault.plans.sync import sync_all, sync_object, sync_violations
 from changevault.operators.latest import latest_per_key, table_as_of
 from changevault.operators.merge import VERSION, merge_state, versioned
-from changevault.sources.current import read_current, read_state
+from changevault.sources.current import read_state
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, history, live_commits, read_ledger
 from changevault.sources.raw import append_raw, columns_of, read_columns, read_raw, stage, stamp_rows

@@ -11,13 +11,12 @@ from test_jobs import FIELDS, F1, LEAD, catalog, extract
 from changevault.model import ChangeVaultError, ObjectSpec, PartitionBy
 from changevault.operators.latest import record_as_of, table_as_of
 from changevault.operators.lineage import canonical_ids
-from changevault.plans.current import merge_all, refresh_current
+from changevault.plans.current import merge_all, read_current, refresh_current
 from changevault.plans.maintain import compact, expire
 from changevault.plans.restore import restore_preview, restore_related
 from changevault.plans.sync import sync_all, sync_object
 from changevault.session import now
 from changevault.sources.canonical import read_ids, record_key, register_ids
-from changevault.sources.current import read_current
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, history
 from changevault.sources.raw import append_raw, read_raw
