@@ -37,7 +37,7 @@ from changevault.session import use_utc
 from changevault.sources.canonical import read_ids, record_key, register_ids
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, live_commits, read_ledger
-from changevault.sources.raw import append_raw, read_raw
+from changevault.sources.raw import append_raw, read_raw, read_rejects
 from changevault.sources.restore_csv import write_restore_csv
 from changevault.streaming.current import current_stream
 from changevault.streaming.sync import sync_stream

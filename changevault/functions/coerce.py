@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changevault.model import SPARK_TYPES, ColumnDef, col, quoted
+from changevault.model import PAGE, REJECT_FIELDS, REJECT_KEY, REJECTS, SPARK_TYPES, ColumnDef, col, quoted
 from changevault.session import local_frame
 
 # The accepted text forms.
@@ -79,40 +79,60 @@ def _literal(text: str) -> str:
     return f"decode(unhex('{text.encode('utf-8').hex()}'), 'UTF-8')"
 
 
-def _typed(name: str, type_name: str, on_error: str) -> str:
+def _typed(name: str, type_name: str, on_error: str, key: str | None = None) -> str:
     text = quoted(name)
     value = coerced_sql(text, type_name)
     if on_error == "fail" and type_name not in ("string", "binary"):
-        message = f"concat({_literal(f'column {name}: cannot read ')}, char(39), {text}, char(39), ' as {type_name}')"
+        record = f", ' in record ', char(39), coalesce(CAST({quoted(key)} AS STRING), ''), char(39)" if key else ""
+        message = f"concat({_literal(f'column {name}: cannot read ')}, char(39), {text}, char(39), ' as {type_name}'{record})"
         target = SPARK_TYPES[type_name].simpleString()
         value = f"coalesce({value}, CASE WHEN {text} <> '' THEN CAST(raise_error({message}) AS {target}) END)"
     return f"{value} AS {text}"
 
 
-def coerce(df: DataFrame, columns: Sequence[ColumnDef], on_error: str = "fail") -> DataFrame:
+def coerce(df: DataFrame, columns: Sequence[ColumnDef], on_error: str = "fail", key: str | None = None) -> DataFrame:
     """Turn the named text columns into typed ones; other columns pass through.
 
-    ``fail`` stops the job on the first bad value, naming column and value; ``null`` stores
-    NULL instead (see :func:`coercion_rejects` for the values concerned). A column that is
-    pruned from the plan is not checked.
+    ``fail`` stops the job on the first bad value, naming column and value, and the record where ``key`` names its
+    column; ``null`` stores NULL instead (see :func:`coercion_rejects` for the values concerned). ``reject`` does so
+    too and adds ``_rejects``, the columns and values of a row that do not fit, NULL where all do; beside it
+    ``_reject_key``, the key's text, and ``_page`` if the frame has it, both NULL in rows that fit. All three read a row
+    once. A column that is pruned from the plan is not checked.
     """
-    if on_error not in ("fail", "null"):
-        raise ValueError("on_error must be 'fail' or 'null'")
-    types = {c.name: c.type for c in columns}
-    return df.selectExpr(*[
-        _typed(name, types[name], on_error) if name in types else quoted(name)
-        for name in df.columns
-    ])
+    if on_error not in ("fail", "null", "reject"):
+        raise ValueError("on_error must be 'fail', 'null' or 'reject'")
+    types = {c.name: c.type for c in columns if c.name in set(df.columns)}
+    typed = [
+        _typed(name, types[name], on_error, key if key in df.columns else None) if name in types else quoted(name)
+        for name in df.columns if on_error != "reject" or name != PAGE
+    ]
+    if on_error != "reject":
+        return df.selectExpr(*typed)
+    found = f"array_compact({_bad_cells([c for c in columns if c.name in types])})"
+    told = {
+        REJECT_KEY: f"CAST({quoted(key)} AS STRING)" if key in df.columns else "CAST(NULL AS STRING)",
+        PAGE: quoted(PAGE) if PAGE in df.columns else "CAST(NULL AS STRING)",
+    }
+    return df.selectExpr(
+        *typed, f"nullif({found}, array()) AS {REJECTS}",
+        *[f"CASE WHEN size({found}) > 0 THEN {value} END AS {name}" for name, value in told.items()],
+    )
 
 
-def coercion_rejects(df: DataFrame, columns: Sequence[ColumnDef]) -> DataFrame:
-    """``(column, value, n)`` for all text that does not fit its column's type, in one pass."""
-    bad = [
+def _bad_cells(columns: Sequence[ColumnDef]) -> str:
+    """An array with a struct of column and value for each text that does not fit, else NULL in its place."""
+    cells = [
         f"CASE WHEN {rejected_sql(quoted(c.name), c.type)} "
         f"THEN struct({_literal(c.name)} AS column, {quoted(c.name)} AS value) END"
         for c in columns
     ]
-    found = F.array_compact(F.expr(f"array({', '.join(bad)})"))
+    kind = REJECT_FIELDS[0].dataType.simpleString()
+    return f"CAST(array({', '.join(cells)}) AS {kind})"
+
+
+def coercion_rejects(df: DataFrame, columns: Sequence[ColumnDef]) -> DataFrame:
+    """``(column, value, n)`` for all text that does not fit its column's type, in one pass."""
+    found = F.array_compact(F.expr(_bad_cells(columns)))
     return (
         df.select(F.explode(found).alias("bad"))
         .groupBy("bad.column", "bad.value")

@@ -30,14 +30,14 @@ def extract_fields(columns: Iterable[str], watermark_field: str, deleted_field:
     return list(dict.fromkeys(wanted + extras))
 
 
-def align(df: DataFrame, columns: Sequence[ColumnDef]) -> DataFrame:
-    """Exactly the given columns in their order; absent ones become NULL of their type."""
+def align(df: DataFrame, columns: Sequence[ColumnDef], keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly the given columns in their order, absent ones as NULL of their type, then those of ``keep``."""
     present = set(df.columns)
     return df.selectExpr(*[
         quoted(c.name) if c.name in present
         else f"CAST(NULL AS {c.field.dataType.simpleString()}) AS {quoted(c.name)}"
         for c in columns
-    ])
+    ], *map(quoted, keep))
 
 
 def spill_overflow(df: DataFrame, mapped: Iterable[str]) -> DataFrame:

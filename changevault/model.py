@@ -61,6 +61,16 @@ SYNCED_AT = "_synced_at"
 ROW_HASH = "_row_hash"
 COMMIT = "_commit"
 
+# Columns of rows with text that does not fit: what does not (column and value), the key as text, the page it came from.
+REJECTS, REJECT_KEY, PAGE = "_rejects", "_reject_key", "_page"
+REJECT_FIELDS = (
+    T.StructField(REJECTS, T.ArrayType(T.StructType([
+        T.StructField("column", T.StringType()), T.StructField("value", T.StringType()),
+    ]))),
+    T.StructField(REJECT_KEY, T.StringType()),
+    T.StructField(PAGE, T.StringType()),
+)
+
 # System columns stored with every raw row, after the object's own columns.
 SYSTEM_FIELDS = (
     T.StructField(OVERFLOW, T.StringType()),

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changevault.model import WATERMARK_BUFFER_MINUTES, ObjectSpec, col
+from changevault.model import REJECTS, WATERMARK_BUFFER_MINUTES, ObjectSpec, col
 from changevault.operators.latest import latest_per_key, since as since_moment
 from changevault.session import moment, moment_lit
 
@@ -17,12 +17,15 @@ _ROW = "__row"
 def incremental(df: DataFrame, spec: ObjectSpec, watermark: str | datetime | None) -> DataFrame:
     """Rows stamped strictly after the watermark; without field or watermark, all rows.
 
-    Soft-deleted rows are part of the result.
+    Soft-deleted rows are part of the result, and so are rows whose stamp is among their ``_rejects``: a sync must not
+    lose these.
     """
     if not spec.watermark_field or not watermark:
         return df
-    bound = moment_lit(watermark, df.schema[spec.watermark_field].dataType)
-    return df.where(col(spec.watermark_field) > bound)
+    newer = col(spec.watermark_field) > moment_lit(watermark, df.schema[spec.watermark_field].dataType)
+    if REJECTS in df.columns:
+        newer |= F.exists(REJECTS, lambda cell: cell["column"] == spec.watermark_field)
+    return df.where(newer)
 
 
 def batch_watermark(df: DataFrame, watermark_field: str, by: Sequence[str] = ()) -> DataFrame:

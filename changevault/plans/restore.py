@@ -16,7 +16,7 @@ from changevault.operators.lineage import CANONICAL_ID, CORE, reference_edges, r
 from changevault.operators.lookup import lookup_join
 from changevault.session import checkpoint, local_frame
 from changevault.sources.canonical import read_ids, register_ids
-from changevault.sources.raw import read_raw
+from changevault.sources.raw import read_columns, read_raw
 from changevault.sources.restore_csv import write_restore_csv
 
 
@@ -82,7 +82,8 @@ def restore_related(
 
     ``catalog`` names the references (``reference_to``). Every record carries its canonical id, and a reference to
     ``specs`` is written as the parent's canonical id, in a column for each object the field may name; other
-    references stay. Ids missing so far are stored first.
+    references stay, also those of a field that may name records of other objects besides. Ids missing so far are
+    stored first.
 
     An object that refers to itself gets a folder for each wave of its records, managers before their staff. Where
     references form a cycle, of objects or of one object's records, the records go without them first, and a second
@@ -90,8 +91,11 @@ def restore_related(
     """
     by_name = {s.name: s for s in specs}
     named = local_frame(spark, [(n, n) for n in by_name], "object string, parent string")
-    edges = reference_edges(catalog).where(F.col("object").isin(*by_name) & F.col("parent").isin(*by_name))
-    links = sorted(edges.collect(), key=lambda r: (r.object, r.field, r.place))
+    stored = {(s.name, c.name) for s in specs for c in read_columns(spark, s, root) or ()}
+    edges = reference_edges(catalog).where(F.col("object").isin(*by_name)).collect()
+    edges = sorted((r for r in edges if (r.object, r.field) in stored), key=lambda r: (r.object, r.field, r.place))
+    links = [r for r in edges if r.parent in by_name]
+    outward = {(r.object, r.field) for r in edges if r.parent not in by_name}
     told = local_frame(spark, [(r.object, r.parent) for r in links], "object string, parent string")
     plan = {r.object: r for r in restore_plan(told.unionByName(named)).collect()}
     core = {n for n, r in plan.items() if r.place == CORE}
@@ -108,7 +112,8 @@ def restore_related(
         own = [field for field, names in parents.items() if name in names]
         waves = _record_waves(rows, by_name[name], own) if own and name not in core else None
         for field, names in parents.items():
-            rows = rewrite_refs_to_any(rows, field, {n: read_ids(spark, by_name[n], root) for n in names})
+            ids = {n: read_ids(spark, by_name[n], root) for n in names}
+            rows = rewrite_refs_to_any(rows, field, ids, keep_unknown=(name, field) in outward)
         column = {(f, n): f"{f}:{n}:{CANONICAL_ID}" for f, names in parents.items() for n in names}
         if name in core:
             pages += job.in_two_steps(rows, [c for (_, n), c in column.items() if n in core])

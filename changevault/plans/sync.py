@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from changevault.functions.coerce import coerce, required_violations
 from changevault.functions.records import extract_fields, spill_overflow
 from changevault.model import (
-    MAX_IN_FLIGHT, ColumnDef, DriftHalted, ObjectSpec, check_case_collisions, col, excludes_frame,
+    MAX_IN_FLIGHT, PAGE, ColumnDef, DriftHalted, ObjectSpec, check_case_collisions, col, excludes_frame,
     is_system, pick_specs,
 )
 from changevault.operators.schema import columns_from_catalog, detect_drift, without_intentional
@@ -30,7 +30,7 @@ _STAMP = "_stamp"
 
 @dataclass(frozen=True)
 class SyncResult:
-    """What one sync did. ``rows`` is 0 for an empty batch and for a repeated sync id."""
+    """What one sync did. ``rows`` is 0 for an empty batch and for a repeated sync id; ``rejects`` rows were set aside."""
 
     object: str
     sync_id: str
@@ -41,6 +41,7 @@ class SyncResult:
     new_columns: tuple[str, ...] = ()
     removed_columns: tuple[str, ...] = ()
     type_changes: tuple[str, ...] = ()
+    rejects: int = 0
 
 
 @dataclass(frozen=True)
@@ -101,12 +102,15 @@ def sync_frame(
     dedupe_overlap: bool = False,
     filter_watermark: bool = True,
     max_records_per_file: int | None = None,
+    on_error: str = "fail",
 ) -> SyncResult:
     """Sync one object from a frame of text columns.
 
     ``strategy`` picks the next watermark: the newest stamp written (``batch_max``) or the
     job's start less five minutes (``job_start``); with the latter ``dedupe_overlap`` drops rows
-    the previous sync already brought.
+    the previous sync already brought. ``on_error`` says what text that does not fit its column does: stop the sync,
+    naming column, value and record (``fail``), become NULL (``null``), or set the whole row aside (``reject``), for
+    :func:`changevault.sources.raw.read_rejects`.
     """
     if strategy not in ("batch_max", "job_start"):
         raise ValueError("strategy must be 'batch_max' or 'job_start'")
@@ -118,7 +122,7 @@ def sync_frame(
     known = history(spark, root, spec.name)
 
     table = prepare_table(spark, spec, catalog, root)
-    rows = _typed_rows(spec, frame, table)
+    rows = _typed_rows(spec, frame, table, on_error)
     if filter_watermark and spec.watermark_field in rows.columns:
         rows = incremental(rows, spec, known.watermark)
     if dedupe_overlap and known.watermark is not None:
@@ -138,7 +142,8 @@ def sync_frame(
     if entry is None:
         return SyncResult(spec.name, sync_id, watermark=known.watermark, **drift)
     return SyncResult(
-        spec.name, sync_id, entry.n_rows, entry.commit_id if entry.n_rows else None, entry.watermark, **drift
+        spec.name, sync_id, entry.n_rows, entry.commit_id if entry.n_rows else None, entry.watermark, **drift,
+        rejects=entry.n_rejects,
     )
 
 
@@ -153,7 +158,8 @@ def sync_object(
     **options,
 ) -> SyncResult:
     """Sync one object from the CSV pages under ``extract``; options as in :func:`sync_frame`."""
-    frame = read_extract(spark, extract, multi_line=multi_line, mixed_headers=mixed_headers)
+    name_pages = options.get("on_error") == "reject"
+    frame = read_extract(spark, extract, multi_line=multi_line, mixed_headers=mixed_headers, name_pages=name_pages)
     return sync_frame(spark, spec, frame, catalog, root, **options)
 
 
@@ -202,7 +208,7 @@ def sync_violations(spark: SparkSession, spec: ObjectSpec, root: str, commit_id:
     return required_violations(read_commits(spark, spec, root, columns, [commit_id]), columns)
 
 
-def _typed_rows(spec: ObjectSpec, frame: DataFrame, table: Prepared) -> DataFrame:
+def _typed_rows(spec: ObjectSpec, frame: DataFrame, table: Prepared, on_error: str) -> DataFrame:
     """Columns asked for, in stored types; in overflow mode the rest as one JSON column.
 
     A watermark field that is no table column is kept beside them, to find the new watermark.
@@ -210,7 +216,7 @@ def _typed_rows(spec: ObjectSpec, frame: DataFrame, table: Prepared) -> DataFram
     stored = [c.name for c in table.columns]
     wanted = extract_fields([*stored, *table.source_fields], spec.watermark_field, spec.deleted_field)
     have = set(frame.columns)
-    rows = pick_fields(frame, [f for f in wanted if f in have or f in set(stored)])
+    rows = pick_fields(frame, [f for f in wanted if f in have or f in set(stored)] + [c for c in (PAGE,) if c in have])
     types = list(table.columns)
     stamp = spec.watermark_field
     apart = stamp in rows.columns and stamp not in stored
@@ -220,7 +226,7 @@ def _typed_rows(spec: ObjectSpec, frame: DataFrame, table: Prepared) -> DataFram
         kept = rows.withColumn(_STAMP, col(stamp)) if apart else rows
         rows = spill_overflow(kept, stored)
         rows = rows.withColumnRenamed(_STAMP, stamp) if apart else rows
-    return coerce(rows, types)
+    return coerce(rows, types, on_error, spec.primary_key)
 
 
 def _without_stray_stamp(rows: DataFrame, spec: ObjectSpec, table: Prepared) -> DataFrame:

@@ -8,7 +8,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from changevault.model import quoted
+from changevault.model import PAGE, quoted
 
 # The header is checked against the columns read, never matched by position, and a row of
 # another width fails the job.
@@ -31,6 +31,7 @@ def read_extract(
     fields: Sequence[str] | None = None,
     multi_line: bool = True,
     mixed_headers: bool = False,
+    name_pages: bool = False,
 ) -> DataFrame:
     """All pages under ``path`` as one frame of text columns.
 
@@ -38,10 +39,11 @@ def read_extract(
     breaks need ``multi_line``, which makes each page one task; extracts known to have none can
     be split further by turning it off. Pages whose headers differ are an error, unless
     ``mixed_headers`` groups pages by their first line. That reads all text once more.
+    ``name_pages`` adds ``_page``, the file each row came from.
     """
     paths = [path] if isinstance(path, str) else list(path)
     groups = _pages_by_header(spark, paths) if mixed_headers else [paths]
-    frames = [_read(spark, g, multi_line) for g in groups]
+    frames = [_read(spark, g, multi_line, name_pages) for g in groups]
     if not frames:
         frame = spark.createDataFrame([], T.StructType([]))
     else:
@@ -57,16 +59,17 @@ def pick_fields(frame: DataFrame, fields: Sequence[str]) -> DataFrame:
     ])
 
 
-def cells(frame: DataFrame) -> DataFrame:
+def cells(frame: DataFrame, *extra: str) -> DataFrame:
     """Spark reads empty cells as NULL: make them empty text, and quoted CR LF a plain LF."""
     return frame.selectExpr(*[
         f"replace(coalesce({quoted(c)}, ''), char(13) || char(10), char(10)) AS {quoted(c)}"
         for c in frame.columns
-    ])
+    ], *extra)
 
 
-def _read(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> DataFrame:
-    return cells(spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(list(paths)))
+def _read(spark: SparkSession, paths: Sequence[str], multi_line: bool, name_pages: bool = False) -> DataFrame:
+    frame = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(list(paths))
+    return cells(frame, *([f"_metadata.file_path AS {PAGE}"] if name_pages else []))
 
 
 def _pages_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:

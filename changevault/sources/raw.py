@@ -12,8 +12,8 @@ from pyspark.sql import (
 
 from changevault.functions.records import align, spill_overflow
 from changevault.model import (
-    COMMIT, DEFAULT_BATCH_ROWS, OVERFLOW, ROW_HASH, SYNC_ID, SYNCED_AT, SYSTEM_FIELDS,
-    ChangeVaultError, ColumnDef, ObjectSpec, RequiredValueMissing, check_case_collisions, col,
+    COMMIT, DEFAULT_BATCH_ROWS, OVERFLOW, PAGE, REJECT_FIELDS, REJECT_KEY, REJECTS, ROW_HASH, SYNC_ID, SYNCED_AT,
+    SYSTEM_FIELDS, ChangeVaultError, ColumnDef, ObjectSpec, RequiredValueMissing, check_case_collisions, col,
     is_system, listed, quoted,
 )
 from changevault.operators.partitions import partition_fields, with_partitions
@@ -21,7 +21,7 @@ from changevault.session import (
     from_micros, local_frame, moment_lit, now, read_if_exists, require_utc,
 )
 from changevault.sources.ledger import (
-    RAW, Entry, History, history, new_commit_id, publish, sync_state,
+    RAW, Entry, History, history, new_commit_id, publish, read_ledger, sync_state,
 )
 
 _COLUMN_SCHEMA = T.StructType([
@@ -130,14 +130,15 @@ def stored_files(spark: SparkSession, spec: ObjectSpec, root: str, commits: Sequ
 def stamp_rows(
     df: DataFrame, columns: Sequence[ColumnDef], sync_id: str, synced_at: datetime
 ) -> DataFrame:
-    """Exactly the table's columns plus the system ones."""
+    """Exactly the table's columns plus the system ones, and those that tell rejects where the frame has them."""
     overflow = col(OVERFLOW) if OVERFLOW in df.columns else F.lit(None).cast("string")
-    body = align(df.withColumn(OVERFLOW, overflow), [*columns, ColumnDef(OVERFLOW, "string")])
-    return body.select(
+    stored = [*columns, ColumnDef(OVERFLOW, "string")]
+    told = [f.name for f in REJECT_FIELDS] if REJECTS in df.columns else []
+    return align(df.withColumn(OVERFLOW, overflow), stored, told).select(
         "*",
         F.lit(sync_id).alias(SYNC_ID),
         moment_lit(synced_at).alias(SYNCED_AT),
-        F.expr(f"xxhash64({listed(body.columns)})").alias(ROW_HASH),
+        F.expr(f"xxhash64({listed(c.name for c in stored)})").alias(ROW_HASH),
     )
 
 
@@ -185,6 +186,39 @@ def stage_split(
     ]
 
 
+def stage_apart(
+    df: DataFrame, spec: ObjectSpec, root: str, columns: Sequence[ColumnDef], max_records_per_file: int | None = None
+) -> tuple[Staged, Staged]:
+    """Write rows that fit and rows with rejects in one job, to a commit and to a folder beside it that no reader of
+    the table lists. Rejected rows are whole: their other columns are typed, ``_rejects`` has the text of the rest."""
+    good, bad, seen = new_commit_id(), new_commit_id(), Observation()
+    place = F.when(col(REJECTS).isNull(), good).otherwise(bad)
+    rows, parts = _to_store(df.withColumn(COMMIT, place), spec, columns, COMMIT, *[f.name for f in REJECT_FIELDS])
+    fits = F.col(COMMIT) == good
+    measures = [*[m.alias(n) for n, m in _measures(spec, columns, fits).items()], F.count_if(~fits).alias("n_bad")]
+    writer = _laid_out(rows, spec, [COMMIT, *parts], seen, measures, max_records_per_file)
+    writer.mode("append").parquet(f"{root}/raw/{spec.name}")
+    return _staged(spec, good, seen.get), Staged(bad, seen.get["n_bad"], None, None)
+
+
+def read_rejects(spark: SparkSession, spec: ObjectSpec, root: str, sync_id: str | None = None) -> DataFrame:
+    """``(sync_id, page, record_key, column, value)``: every cell that kept a row out of the table, of one sync or all.
+
+    ``record_key`` is the key's text, which may be the rejected cell itself. Only published syncs count.
+    """
+    ledger = read_ledger(spark, root, spec.name).where((F.col("kind") == RAW) & (F.col("n_rejects") > 0))
+    if sync_id is not None:
+        ledger = ledger.where(F.col("sync_id") == sync_id)
+    schema = T.StructType([T.StructField(SYNC_ID, T.StringType()), *REJECT_FIELDS])
+    base = f"{root}/raw/{spec.name}"
+    folders = [f"{base}/{COMMIT}={r.rejects_id}" for r in ledger.select("rejects_id").collect()]
+    stored = local_frame(spark, [], schema) if not folders else (
+        spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders))
+    cells = stored.select(SYNC_ID, PAGE, REJECT_KEY, F.explode(REJECTS).alias("cell"))
+    return cells.select(
+        F.col(SYNC_ID).alias("sync_id"), F.col(PAGE).alias("page"), F.col(REJECT_KEY).alias("record_key"), "cell.column", "cell.value")
+
+
 def _lookup(label: Column, values: dict) -> Column:
     chosen = F.lit(None).cast("string")
     for key, value in values.items():
@@ -271,7 +305,8 @@ def append_raw(
     ``watermark`` defaults to the newest stamp written and never goes below the stored one. An
     empty batch is published, as a row without data, only when it brings a ``watermark`` of its own;
     else it gives None too. Unknown columns are an error, or overflow where the object allows it;
-    so is a column of another type. Any failure leaves the table and the watermark as they were.
+    so is a column of another type. Rows with ``_rejects`` (see :func:`changevault.functions.coerce.coerce`) are set
+    aside by the same write, for :func:`read_rejects`. Any failure leaves the table and the watermark as they were.
     ``known`` is given by callers that have looked the sync id up.
     """
     spark = df.sparkSession
@@ -282,8 +317,13 @@ def append_raw(
     done, last = (False, known.watermark) if known else sync_state(spark, root, spec.name, sync_id)
     if done:
         return None
-    staged = stage(stamp_rows(df, columns, sync_id, synced_at), spec, root, columns, max_records_per_file)
-    if staged.n_rows == 0 and watermark is None:
+    stamped, apart = stamp_rows(df, columns, sync_id, synced_at), None
+    if REJECTS in df.columns:
+        staged, apart = stage_apart(stamped, spec, root, columns, max_records_per_file)
+    else:
+        staged = stage(stamped, spec, root, columns, max_records_per_file)
+    n_rejects = apart.n_rows if apart else 0
+    if staged.n_rows == 0 and n_rejects == 0 and watermark is None:
         return None
     marks = [m for m in (watermark or staged.max_stamp, last) if m is not None]
     entry = Entry(
@@ -291,6 +331,7 @@ def append_raw(
         watermark=max(marks) if marks else None,
         last_job_start=synced_at, last_job_id=job_id,
         min_stamp=staged.min_stamp, max_stamp=staged.max_stamp,
+        rejects_id=apart.commit_id if n_rejects else None, n_rejects=n_rejects,
     )
     publish(spark, root, entry)
     return entry

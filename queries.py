@@ -406,6 +406,44 @@ def coercion_rejects(spark, sf_dir):
     return cv.coercion_rejects(_messy_orders(spark, sf_dir), _MESSY)
 
 
+ORDERS_BY_MONTH = ObjectSpec("orders", "o_orderkey", "o_orderdate", partition_by=(PartitionBy("o_orderdate", "month"),))
+_MESSY_KEY = "CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus || '?' ELSE CAST(o_orderkey AS VARCHAR) END"
+
+
+def _synced_messy(spark, sf_dir) -> str:
+    """Orders with unreadable cells synced from CSV pages; rows with such cells are set aside."""
+    root = fresh_dir(spark, "rejects")
+    cv.write_restore_csv(_messy_orders(spark, sf_dir), f"{root}/extract")
+    catalog = local_frame(
+        spark, [("orders", i, c.name, {"long": "int"}.get(c.type, c.type), False) for i, c in enumerate(_MESSY)],
+        "object string, position int, name string, type string, nillable boolean")
+    cv.sync_object(spark, ORDERS_BY_MONTH, f"{root}/extract", catalog, root, sync_id="s1", on_error="reject")
+    return root
+
+
+@query("rejects_aside", f"""
+SELECT {_MESSY_KEY} AS record_key, 'o_orderkey' AS "column", o_orderstatus || '?' AS value FROM orders WHERE o_orderkey % 5 = 0
+UNION ALL
+SELECT {_MESSY_KEY}, 'o_totalprice', o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL
+SELECT {_MESSY_KEY}, 'o_orderdate', strftime(o_orderdate, '%Y') FROM orders WHERE o_orderkey % 2 = 0
+""")
+def rejects_aside(spark, sf_dir):
+    """Every cell that kept a row out, with its record."""
+    return cv.read_rejects(spark, ORDERS_BY_MONTH, _synced_messy(spark, sf_dir), "s1").select("record_key", "column", "value")
+
+
+@query("rejects_typed", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 13 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate
+FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AND o_orderkey % 2 <> 0
+""")
+def rejects_typed(spark, sf_dir):
+    """The rows that got in."""
+    return cv.read_raw(spark, ORDERS_BY_MONTH, _synced_messy(spark, sf_dir)).select(
+        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("string").alias("o_orderdate"))
+
+
 @query("required_violations", """
 SELECT * FROM (
   SELECT 'o_orderkey' AS "column", count(*) FILTER (o_orderkey % 5 = 0) AS n FROM orders

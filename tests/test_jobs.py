@@ -3,7 +3,8 @@
 import os
 import random
 import time
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
+from uuid import uuid4
 
 import pytest
 from support import rows
@@ -22,10 +23,11 @@ from changevault.plans.restore import restore_export, restore_preview
 from changevault.plans.sync import sync_all, sync_object, sync_violations
 from changevault.operators.latest import latest_per_key, table_as_of
 from changevault.operators.merge import VERSION, merge_state, versioned
+from changevault.sources.canonical import read_ids, register_ids
 from changevault.sources.current import read_state
 from changevault.sources.extract import read_extract
 from changevault.sources.ledger import get_watermark, history, live_commits, read_ledger
-from changevault.sources.raw import append_raw, columns_of, read_columns, read_raw, stage, stamp_rows
+from changevault.sources.raw import append_raw, columns_of, read_columns, read_raw, read_rejects, stage, stamp_rows
 from changevault.streaming.current import current_stream
 from changevault.streaming.sync import sync_stream
 
@@ -80,7 +82,7 @@ def test_empty_extract(spark, tmp_path, root):
 def test_failed_sync_changes_nothing(spark, tmp_path, root):
     sync_object(spark, LEAD, extract(tmp_path, "a", F1), catalog(spark), root)
     bad = extract(tmp_path, "b", "Id,SystemModstamp,IsDeleted\n004,2024-01-04T00:00:00Z,false\n005,2024-01-05T00:00:00Z,maybe\n")
-    with pytest.raises(Exception, match="column IsDeleted: cannot read 'maybe' as boolean"):
+    with pytest.raises(Exception, match="column IsDeleted: cannot read 'maybe' as boolean in record '005'"):
         sync_object(spark, LEAD, bad, catalog(spark), root)
     assert get_watermark(spark, root, "Lead") == datetime(2024, 1, 3, tzinfo=UTC)
     assert read_raw(spark, LEAD, root).count() == 3
@@ -88,6 +90,43 @@ def test_failed_sync_changes_nothing(spark, tmp_path, root):
         sync_object(spark, LEAD, str(tmp_path / "nowhere"), catalog(spark), root)
 
 
+def test_rejected_rows_are_set_aside(spark, tmp_path, root):
+    spec = ObjectSpec("Lead", "Id", partition_by=LEAD.partition_by)
+    fields = catalog(spark, *FIELDS, ("Amount", "double", True), ("Note", "string", True))
+    head = "Id,SystemModstamp,IsDeleted,Amount,Note\n"
+    page = extract(tmp_path, "a", head + (
+        "1,2024-01-01T00:00:00Z,false,1.5,fine\n2,2024-01-02T00:00:00Z,maybe,x,both\n3,yesterday,true,,stamp\n"
+        "4,2024-01-03T00:00:00Z,true,,no amount\n"))
+    done = sync_object(spark, spec, page, fields, root, sync_id="s1", on_error="reject")
+    assert (done.rows, done.rejects, done.watermark) == (2, 2, datetime(2024, 1, 3, tzinfo=UTC))
+    assert rows(read_raw(spark, spec, root).select("Id", "Amount", "Note")) == [("1", 1.5, "fine"), ("4", None, "no amount")]
+    told = read_rejects(spark, spec, root)
+    assert rows(told.drop("page")) == [
+        ("s1", "2", "Amount", "x"), ("s1", "2", "IsDeleted", "maybe"), ("s1", "3", "SystemModstamp", "yesterday")]
+    assert told.where("page LIKE '%page1.csv'").count() == 3
+    # a row whose stamp cannot be read is not lost behind the watermark; one whose stamp is old is no news
+    later = extract(tmp_path, "b", head + "5,tomorrow,true,,late\n6,2024-01-01T00:00:00Z,no,,old\n7,2024-02-01T00:00:00Z,true,,new\n")
+    done = sync_object(spark, spec, later, fields, root, sync_id="s2", on_error="reject")
+    assert (done.rows, done.rejects) == (1, 1)
+    assert rows(read_rejects(spark, spec, root, "s2").select("record_key")) == [("5",)]
+    # all rows rejected: nothing gets in, the rejects are kept, the watermark stays
+    bad = extract(tmp_path, "c", head + "8,2024-03-01T00:00:00Z,perhaps,,\n")
+    done = sync_object(spark, spec, bad, fields, root, sync_id="s3", on_error="reject")
+    assert (done.rows, done.rejects, done.commit_id, done.watermark) == (0, 1, None, datetime(2024, 2, 1, tzinfo=UTC))
+    assert read_raw(spark, spec, root).count() == 3 and read_rejects(spark, spec, root).count() == 5
+    # the typed part equals on_error="null" without the rejected rows
+    other = str(tmp_path / "other")
+    sync_object(spark, spec, page, fields, other, sync_id="s1", on_error="null")
+    columns = ["Id", "SystemModstamp", "IsDeleted", "Amount", "Note"]
+    assert rows(read_raw(spark, spec, other).where("Id NOT IN ('2', '3')").select(columns)) == rows(
+        read_raw(spark, spec, root).where("_sync_id = 's1'").select(columns))
+    # nothing to reject, and a key that is NULL
+    fine = sync_object(spark, spec, extract(tmp_path, "d", head + "9,2024-04-01T00:00:00Z,true,,\n"), fields, root, on_error="reject")
+    assert (fine.rows, fine.rejects) == (1, 0) and read_rejects(spark, spec, root).count() == 5
+    with pytest.raises(ValueError):
+        sync_object(spark, spec, page, fields, root, on_error="ignore")
+
+
 def test_missing_key_is_refused(spark, root):
     df = spark.createDataFrame([("1", 1.0), (None, 2.0)], "Id string, Amount double")
     with pytest.raises(RequiredValueMissing):
@@ -252,7 +291,7 @@ def test_merge_all_goes_on_after_a_failure(spark, root):
 def test_merge_after_compaction_of_unmerged_commits(spark, root):
     append_raw(leads(spark, ("1", "a", "2024-01-01", False)), LEAD, root, "s1")
     append_raw(leads(spark, ("2", "b", "2024-01-01", False)), LEAD, root, "s2")
-    compact(spark, LEAD, root, day=datetime.now(UTC).date())
+    assert len(compact(spark, LEAD, root, day=date(2024, 1, 1)).replaced) == 2
     refresh_current(spark, LEAD, root)
     assert rows(read_current(spark, LEAD, root).select("Id")) == [("1",), ("2",)]
     assert refresh_current(spark, LEAD, root).commit_id is None
@@ -262,18 +301,130 @@ def test_merge_after_compaction_of_unmerged_commits(spark, root):
 
 def test_compact_keeps_rows(spark, root):
     for i in range(4):
-        append_raw(leads(spark, (str(i), "x", f"2024-01-0{i + 1}", False)), LEAD, root, f"s{i}")
+        append_raw(leads(spark, (str(i), "x", f"2024-01-04T0{i}:00:00", False)), LEAD, root, f"s{i}")
     raw_before = rows(read_raw(spark, LEAD, root).drop("_commit"))
-    today = datetime.now(UTC).date()
-    assert compact(spark, LEAD, root, day=today - timedelta(days=3)).replaced == ()
-    assert len(compact(spark, LEAD, root, day=today, dry_run=True).replaced) == 4
+    day = date(2024, 1, 4)
+    assert compact(spark, LEAD, root, day=day - timedelta(days=3)).replaced == ()
+    planned = compact(spark, LEAD, root, day=day, dry_run=True)
+    assert (len(planned.replaced), planned.rows, planned.files, planned.commits) == (4, 4, 4, ()) and planned.bytes > 0
     assert len(history(spark, root, "Lead").live) == 4
-    result = compact(spark, LEAD, root, day=today)
-    assert len(result.replaced) == 4 and result.rows == 4
+    result = compact(spark, LEAD, root, day=day)
+    assert len(result.replaced) == 4 and result.rows == 4 and result.bytes == planned.bytes
     assert history(spark, root, "Lead").live == [result.commit_id]
     assert [r.commit_id for r in live_commits(read_ledger(spark, root)).collect()] == [result.commit_id]
     assert rows(read_raw(spark, LEAD, root).drop("_commit")) == raw_before
-    assert get_watermark(spark, root, "Lead") == datetime(2024, 1, 4, tzinfo=UTC)
+    assert get_watermark(spark, root, "Lead") == datetime(2024, 1, 4, 3, tzinfo=UTC)
+
+
+def day_of_leads(spark, root, day, syncs=2, n=10):
+    for sync in range(syncs):
+        data = [(f"{sync}-{i}", "x", f"2024-01-{day:02d}T{sync:02d}:00:{i:02d}", False) for i in range(n)]
+        append_raw(leads(spark, *data), LEAD, root, uuid4().hex)
+
+
+def test_compaction_of_five_days_rewrites_each_row_once(spark, root):
+    rewritten = []
+    for day in range(1, 6):
+        day_of_leads(spark, root, day)
+        rewritten.append(compact(spark, LEAD, root, day=date(2024, 1, day)).rows)
+        assert compact(spark, LEAD, root, day=date(2024, 1, day)).rows == 0
+    assert rewritten == [20] * 5 and read_raw(spark, LEAD, root).count() == 100
+    # the default day is yesterday, of which there is nothing
+    assert compact(spark, LEAD, root).replaced == ()
+
+
+def test_compaction_of_a_growing_day_rewrites_in_size_classes(spark, root):
+    rewritten = []
+    for _ in range(9):
+        day_of_leads(spark, root, 1, n=2)
+        rewritten.append(compact(spark, LEAD, root, day=date(2024, 1, 1), fan_in=4).rows)
+    # a packed commit is taken up again once four times its rows stand together
+    assert rewritten == [4, 4, 4, 16, 4, 4, 4, 16, 4]
+    assert read_raw(spark, LEAD, root).count() == 36 and len(history(spark, root, "Lead").live) == 3
+    assert compact(spark, LEAD, root, day=date(2024, 1, 1), file_bytes=1).replaced == ()
+
+
+def test_large_files_are_not_packed(spark, root):
+    day_of_leads(spark, root, 1)
+    assert compact(spark, LEAD, root, day=date(2024, 1, 1), file_bytes=1000).replaced == ()
+    assert len(compact(spark, LEAD, root, day=date(2024, 1, 1)).replaced) == 2
+
+
+def test_a_baseline_stays_one(spark, root):
+    for day in range(1, 5):
+        day_of_leads(spark, root, day)
+    window = dict(keep_days=0, as_of="2024-01-03T00:00:00Z")
+    first = expire(spark, LEAD, root, **window)
+    baseline = first.commit_id
+    before = rows(table_as_of(read_raw(spark, LEAD, root), LEAD, "2024-01-03T00:00:00Z").drop("_commit"))
+    for day in range(1, 5):
+        compact(spark, LEAD, root, day=date(2024, 1, day))
+    assert baseline in history(spark, root, "Lead").live
+    assert expire(spark, LEAD, root, **window).replaced == ()
+    assert rows(table_as_of(read_raw(spark, LEAD, root), LEAD, "2024-01-03T00:00:00Z").drop("_commit")) == before
+    # the next day's run takes the baseline and the day that crossed, not the days after
+    day_of_leads(spark, root, 5)
+    second = expire(spark, LEAD, root, keep_days=0, as_of="2024-01-04T00:00:00Z")
+    assert baseline in second.replaced and len(second.replaced) == 2 and second.rows == 20
+
+
+def test_what_a_write_tells_is_what_is_stored(spark, root):
+    entry = append_raw(leads(spark, ("1", "a", "2024-01-01", False), ("2", "b", "2024-03-01", False)), LEAD, root, "s1")
+    assert (entry.n_rows, entry.min_stamp, entry.max_stamp) == (2, datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 3, 1, tzinfo=UTC))
+    none = spark.sql("SELECT '1' AS Id, CAST(NULL AS TIMESTAMP) AS SystemModstamp")
+    plain = ObjectSpec("Plain")
+    entry = append_raw(none, plain, root, "s1")
+    assert (entry.n_rows, entry.min_stamp, entry.watermark) == (1, None, None)
+    assert append_raw(none.limit(0), plain, root, "s2") is None
+
+
+def test_an_append_runs_one_scan(spark, root, tmp_path):
+    """The batch is read by the write alone: neither counted before nor read back after."""
+    leads(spark, ("1", "a", "2024-01-01", False)).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    append_raw(df, LEAD, root, "s0")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-append", "")
+    append_raw(df, LEAD, root, "s1")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # look the sync id up, shuffle map stage and write of the batch, schema, publish
+    assert len(tracker.getJobIdsForGroup("one-append")) <= 6
+
+
+def test_reading_through_waiting_commits_equals_a_merge(spark, root):
+    rng = random.Random(3)
+    for spec in (LEAD, ObjectSpec("Bucketed", current_buckets=3)):
+        with pytest.raises(ChangeVaultError):
+            read_current(spark, spec, root)
+        for step in range(3):
+            for sync in range(2):  # late, repeated and deleting versions
+                data = [(f"k{rng.randrange(12)}", f"v{step}{sync}{i}", (datetime(2024, 1, 1) + timedelta(hours=rng.randrange(60), minutes=i)).isoformat(), rng.random() < 0.3) for i in range(15)]
+                append_raw(leads(spark, *data), spec, root, f"{step}-{sync}")
+                append_raw(leads(spark, *data[:5]), spec, root, f"{step}-{sync}-again")
+            commits = history(spark, root, spec.name)
+            through = rows(read_current(spark, spec, root, pending=True))
+            assert history(spark, root, spec.name) == commits
+            refresh_current(spark, spec, root)
+            assert rows(read_current(spark, spec, root)) == through == rows(read_current(spark, spec, root, pending=True))
+
+
+def test_ids_are_registered_from_new_commits_only(spark, root):
+    append_raw(leads(spark, ("1", "a", "2024-01-01", False)), LEAD, root, "s1")
+    append_raw(leads(spark, ("2", "b", "2024-01-01", False)), LEAD, root, "s2")
+    assert len(register_ids(spark, LEAD, root)) == 2
+    assert register_ids(spark, LEAD, root) == ()
+    compact(spark, LEAD, root, day=date(2024, 1, 1))
+    assert register_ids(spark, LEAD, root) == ()
+    late = append_raw(leads(spark, ("1", "a0", "2023-01-01", False), ("3", "c", "2024-02-01", False)), LEAD, root, "s3")
+    before = rows(read_ids(spark, LEAD, root))
+    assert register_ids(spark, LEAD, root) == (late.commit_id,)
+    ids = read_ids(spark, LEAD, root)
+    assert ids.count() == 3 and set(before) <= set(rows(ids))
+    # a run that stored ids and failed before its ledger row reads them once more and adds nothing
+    import shutil
+    shutil.rmtree(f"{root}/ledger/object=Lead/kind=ids")
+    assert len(register_ids(spark, LEAD, root)) == 2 and read_ids(spark, LEAD, root).count() == 3
+    assert refresh_current(spark, LEAD, root).merged and history(spark, root, "Lead").pending == []
 
 
 def test_expire_keeps_every_moment_in_the_window(spark, root):

@@ -5,7 +5,8 @@ from support import rows
 
 from changevault.model import ChangeVaultError, ObjectSpec
 from changevault.operators.lineage import (
-    assign_canonical_id, canonical_ids, restore_levels, rewrite_parent_refs,
+    assign_canonical_id, canonical_ids, reference_edges, restore_levels, restore_plan, rewrite_parent_refs,
+    rewrite_refs_to_any,
 )
 from changevault.operators.lookup import lookup_join, row_bytes
 
@@ -66,6 +67,41 @@ def test_cycle_is_reported(spark):
     assert rows(restore_levels(edges, on_cycle="null")) == [("A", None), ("B", None), ("C", None), ("D", 1), ("E", 0)]
 
 
+def test_plan_tells_core_from_what_hangs_behind(spark):
+    edges = [
+        ("A", "A"), ("B", "A"), ("C1", "C2"), ("C2", "C1"), ("C1", "B"), ("H1", "C1"), ("H2", "H1"), ("H2", "A"), ("H3", "H2"),
+        ("W", "C2"), ("D1", "W"), ("D1", "D2"), ("D2", "D1"), ("N", None), (None, "B"),
+    ]
+    got = restore_plan(spark.createDataFrame(edges, "object string, parent string"))
+    assert rows(got) == [
+        ("A", "free", 0), ("B", "free", 1), ("C1", "core", 2), ("C2", "core", 2), ("D1", "core", 2), ("D2", "core", 2),
+        ("H1", "behind", 3), ("H2", "behind", 4), ("H3", "behind", 5), ("N", "free", 0), ("W", "core", 2),
+    ]
+    loop = spark.createDataFrame([("A", "B"), ("B", "A")], "object string, parent string")
+    assert rows(restore_plan(loop)) == [("A", "core", 0), ("B", "core", 0)]
+    assert rows(restore_plan(loop.limit(0))) == []
+
+
+def test_reference_edges_of_lists_and_names(spark):
+    text = spark.createDataFrame([("T", "a", "reference", "P"), ("T", "b", "string", "P"), ("T", "c", "reference", None)],
+                                 "object string, name string, type string, reference_to string")
+    assert rows(reference_edges(text)) == [("T", "a", "P", 0)]
+    lists = spark.createDataFrame([("T", "a", "reference", ["P", "Q"]), ("T", "c", "reference", None), ("T", "d", "reference", [])],
+                                  "object string, name string, type string, reference_to array<string>")
+    assert rows(reference_edges(lists)) == [("T", "a", "P", 0), ("T", "a", "Q", 1)]
+
+
+def test_any_parent_refs_take_the_type_of_the_reference(spark):
+    child = spark.createDataFrame([(1, "7"), (2, "x"), (3, "7x"), (4, None)], "Id int, ref string")
+    numbers = spark.createDataFrame([(7, "n7"), (None, "n0")], "k long, id string")
+    names = spark.createDataFrame([("x", "sx")], "k string, id string")
+    got = rewrite_refs_to_any(child, "ref", {"N": numbers, "S": names})
+    assert got.columns == ["Id", "ref:N:canonical_id", "ref:S:canonical_id"]
+    assert rows(got) == [(1, "n7", None), (2, None, "sx"), (3, None, None), (4, None, None)]
+    kept = rewrite_refs_to_any(child, "ref", {"S": names}, keep_unknown=True)
+    assert rows(kept) == [(1, "7", None), (2, None, "sx"), (3, "7x", None), (4, None, None)]
+
+
 def test_canonical_ids_are_stable(spark):
     spec = ObjectSpec("Lead", "Id", "Stamp")
     day1 = spark.createDataFrame([("1", "2024-01-01"), ("2", "2024-01-02")], "Id string, Stamp string")
