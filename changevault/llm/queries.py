@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from changevault.llm import bpe, embedding_dedup, exact_dedup, html, language, minhash, packing, pii, quality, toxicity
+from changevault.llm import (
+    bpe, embedding_dedup, exact_dedup, graph_search, html, language, minhash, packing, pii, quality, toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,10 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).select("doc.page_id", "doc.url", "text")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -85,6 +91,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_packing": op9_packing,
     "op10_html_extract": op10_html_extract,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
 }
 
 ORACLES = {

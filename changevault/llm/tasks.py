@@ -36,6 +36,16 @@ def map_batches(df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], It
     return df.mapInArrow(function, schema)
 
 
+def runs(batches: Iterable[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """Rows sorted by some whole numbers in slices that agree in them. A run may come in several slices."""
+    for batch in batches:
+        marks = np.stack([batch.column(c).to_numpy() for c in columns], axis=1)
+        edges = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+        for start, stop in zip([0, *edges], [*edges, len(marks)]):
+            if start < stop:
+                yield tuple(map(int, marks[start])), batch.slice(start, stop - start)
+
+
 def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], list[list[pa.RecordBatch]]]]:
     """From rows sorted by key, low, high and half: each (key, low, high) with the rows of its two halves."""
     cell, halves = None, [[], []]
