@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from changevault.llm import (
-    bpe, embedding_dedup, exact_dedup, graph_search, html, language, minhash, packing, pii, quality, toxicity,
+    bpe, embedding_dedup, exact_dedup, graph_search, hard_negatives, html, language, minhash, packing, pii, quality, toxicity,
 )
 
 
@@ -80,6 +80,11 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -92,6 +97,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_html_extract": op10_html_extract,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
