@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from changevault.llm import (
-    bpe, embedding_dedup, exact_dedup, graph_search, hard_negatives, html, language, minhash, packing, pii, quality, toxicity,
+    alignment, bpe, embedding_dedup, exact_dedup, graph_search, hard_negatives, html, language, minhash, packing, pii, quality, toxicity,
 )
 
 
@@ -80,6 +80,12 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label)
@@ -97,6 +103,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_html_extract": op10_html_extract,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
