@@ -85,7 +85,7 @@ class _Side:
     def group(self, bounds: np.ndarray) -> None:
         self.of = np.searchsorted(bounds, self.ends, side="left")
         self.last = np.searchsorted(self.of, np.arange(len(bounds)), side="right")  # of each group, one past it
-        self.first = np.concatenate([[0], self.last[:-1]])
+        self.first = np.concatenate([[0], self.last])[:-1]
 
 
 class Aligned:

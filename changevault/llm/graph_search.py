@@ -26,27 +26,40 @@ BUILD_BEAM, BEAM = 64, 128
 RELAXED = 1.2
 #: Vectors inserted at once, and list entries whose inner products are held at once when lists are pruned.
 BATCH, HELD = 512, 1 << 22
-#: Candidates that a beam expands in one step.
-STEP = 4
+#: Candidates that a beam expands in one step, and points far apart from which searches start.
+STEP, ENTRIES = 4, 64
 
 
 class Graph:
-    """Directed graph over unit vectors; rows are inserted in their order."""
+    """Directed graph over unit vectors."""
 
     def __init__(self, x: np.ndarray) -> None:
         self.x = np.ascontiguousarray(x, np.float32)
         self.n = len(x)
         self.edges = np.full((self.n, 2 * DEGREE), -1, np.int32)
         self.degree = np.zeros(self.n, np.int64)
-        self.entries = np.array([int((self.x @ self.x.mean(axis=0)).argmax())] if self.n else [], np.int64)
+        self.entries = self._spread()
         self._build()
 
+    def _spread(self) -> np.ndarray:
+        """The vector nearest to the mean, and others each as far as can be from those before it."""
+        if not self.n:
+            return np.empty(0, np.int64)
+        chosen = [int((self.x @ self.x.mean(axis=0)).argmax())]
+        near = self.x @ self.x[chosen[0]]
+        while len(chosen) < min(ENTRIES, self.n):
+            chosen.append(int(near.argmin()))
+            near = np.maximum(near, self.x @ self.x[chosen[-1]])
+            near[chosen] = np.inf
+        return np.array(chosen)
+
     def _build(self) -> None:
-        # the entry point and the first rows are linked by comparing all of them
+        # the entry points and the first rows are linked by comparing all of them
         first = np.unique(np.concatenate([self.entries, np.arange(min(2 * DEGREE, self.n))]))
         others = np.broadcast_to(first.astype(np.int32), (len(first), len(first)))
         self._set(first, self._pruned(first, np.where(others == first[:, None], -1, others)))
-        rest = np.setdiff1d(np.arange(self.n), first)
+        # rows that lie together are inserted apart, since those inserted at once do not find each other
+        rest = np.random.default_rng(self.n).permutation(np.setdiff1d(np.arange(self.n), first))
         at, done = 0, len(first)
         while at < len(rest):
             nodes = rest[at:at + min(BATCH, done)]
@@ -110,7 +123,7 @@ class Graph:
         return out
 
     def _connect(self) -> None:
-        """Whatever the entry point does not reach gets entry points of its own."""
+        """Whatever the entry points do not reach gets entry points of its own."""
         reached = np.zeros(self.n, bool)
         fresh = self.entries
         while True:
@@ -133,7 +146,8 @@ class Graph:
     def _beam(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         b = len(queries)
         rows = np.arange(b)[:, None]
-        seen, place = np.zeros((b, self.n), bool), np.empty((b, self.n), np.int32)
+        # the last column takes what stands for no node
+        seen, place = np.zeros((b, self.n + 1), bool), np.empty((b, self.n + 1), np.int32)
         ids, near = np.full((b, width), -1, np.int32), np.full((b, width), -np.inf, np.float32)
         done = np.zeros((b, width), bool)
         start = queries @ self.x[self.entries].T
