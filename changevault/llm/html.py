@@ -33,18 +33,22 @@ IMPLIED = {
      for tag in ("thead", "tbody", "tfoot")}
 #: What may stand in a head; any other start tag, or text, ends it.
 _IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript template noframes html".split())
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_HIDING = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _CUT_OFF = re.compile("</?[A-Za-z]|<[!?]")
 #: A column is widened up to this for alignment; longer cells stand whole and push what follows.
 COLUMN = 40
+# The most columns and rows a cell may span.
+COLSPAN, ROWSPAN = 1000, 65534
 
 
 class _Flow:
     """Lines of one stream of text: the page, or a cell of a table."""
 
-    def __init__(self) -> None:
+    def __init__(self, lists: int = 0, span: tuple[int, int] = (1, 1)) -> None:
         self.parts: list[str] = []
-        self.breaks, self.space, self.marker, self.span = 0, False, "", 1
+        self.breaks, self.space, self.marker = 0, False, ""
+        self.lists, self.span = lists, span  # lists around it; of a cell, the columns and rows it spans
 
     def apart(self, lines: int) -> None:
         self.breaks, self.space = max(self.breaks, lines), False
@@ -64,17 +68,37 @@ class _Flow:
 
 
 class _Table:
+    """Rows of cells by column. A cell that spans rows keeps its columns taken in the rows below."""
+
     def __init__(self) -> None:
-        self.rows: list[list[str]] = []
+        self.rows: list[dict[int, list[str]]] = []
+        self.taken: dict[int, int] = {}  # column -> how many rows below are taken
+
+    def row(self) -> None:
+        self.rows.append({c: [] for c, left in self.taken.items() if left})
+        self.taken = {c: left - 1 for c, left in self.taken.items() if left}
+
+    def cell(self, text: str, span: tuple[int, int]) -> None:
+        row, column = self.rows[-1], 0
+        while column in row:
+            column += 1
+        row[column] = [line.rstrip() for line in text.split("\n") if line.strip()]
+        for c in range(column, column + span[0]):
+            row.setdefault(c, [])
+            if span[1] > 1:
+                self.taken[c] = span[1] - 1
 
     def lines(self) -> list[str]:
-        width: list[int] = []
+        width: dict[int, int] = {}
         for row in self.rows:
-            for i, cell in enumerate(row):
-                if i == len(width):
-                    width.append(0)
-                width[i] = max(width[i], min(len(cell), COLUMN))
-        return [" | ".join(c.ljust(width[i]) for i, c in enumerate(row)).rstrip() for row in self.rows if any(row)]
+            for c, cell in row.items():
+                width[c] = max([width.get(c, 0), *(min(len(line), COLUMN) for line in cell)])
+        out = []
+        for row in self.rows:
+            for i in range(max(map(len, row.values()), default=0)):
+                cells = [row.get(c, []) for c in range(max(row) + 1)]
+                out.append(" | ".join((cell[i] if i < len(cell) else "").ljust(width.get(c, 0)) for c, cell in enumerate(cells)).rstrip())
+        return out
 
 
 class Page(HTMLParser):
@@ -82,9 +106,11 @@ class Page(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool]] = []  # open elements, and whether each hides what is in it
+        # open elements, whether each hides what is in it, and whether text outside it was invisible
+        self.stack: list[tuple[str, bool, bool]] = []
         self.open_count: dict[str, int] = {}
         self.hidden = self.pre = 0
+        self.veiled = False
         self.flows, self.tables = [_Flow()], []
         self.lists: list[list] = []
 
@@ -114,7 +140,7 @@ class Page(HTMLParser):
         """Whether SVG or MathML is being read, where CDATA sections and slashes that close count."""
         if not (self.open_count.get("svg") or self.open_count.get("math")):
             return False
-        for name, _ in reversed(self.stack):
+        for name, *_ in reversed(self.stack):
             if name in ("svg", "math", "foreignobject", "annotation-xml"):
                 return name in ("svg", "math")
         return False
@@ -144,7 +170,7 @@ class Page(HTMLParser):
             self.end_to({tag}, frozenset() if tag in BLOCKS or tag in UNSEEN else _CELL - {tag})
 
     def inside(self, tag: str, scope: str) -> bool:
-        for name, _ in reversed(self.stack):
+        for name, *_ in reversed(self.stack):
             if name in (tag, scope):
                 return name == tag
         return False
@@ -166,9 +192,11 @@ class Page(HTMLParser):
     # the layout
 
     def push(self, tag: str, attrs: dict[str, str | None]) -> None:
-        hides = tag in UNSEEN or "hidden" in attrs or bool(_HIDING.search(attrs.get("style") or "")) or (
-            tag == "dialog" and "open" not in attrs)
-        self.stack.append((tag, hides))
+        style = attrs.get("style") or ""
+        hides = tag in UNSEEN or "hidden" in attrs or bool(_HIDING.search(style)) or (tag == "dialog" and "open" not in attrs)
+        self.stack.append((tag, hides, self.veiled))
+        for visibility in _VISIBILITY.findall(style):
+            self.veiled = visibility.lower() != "visible"
         self.open_count[tag] = self.open_count.get(tag, 0) + 1
         self.hidden += hides
         if tag in ("pre", "textarea"):
@@ -184,15 +212,16 @@ class Page(HTMLParser):
         if tag == "br":
             flow.apart(max(1, min(flow.breaks + 1, 2)))
         elif tag in ("td", "th") and self.tables:
-            span = attrs.get("colspan") or "1"
             if not self.tables[-1].rows:
-                self.tables[-1].rows.append([])
-            self.flows.append(_Flow())
-            self.flows[-1].span = min(int(span), 100) if re.fullmatch("[0-9]{1,9}", span) else 1
+                self.tables[-1].row()
+            spans = [attrs.get(name) or "1" for name in ("colspan", "rowspan")]
+            columns, rows = (int(n) if re.fullmatch("[0-9]{1,9}", n) else 1 for n in spans)
+            span = min(max(columns, 1), COLSPAN), min(rows or ROWSPAN, ROWSPAN)  # 0 rows: all that follow
+            self.flows.append(_Flow(len(self.lists), span))
         elif tag == "tr" and self.tables:
-            self.tables[-1].rows.append([])
+            self.tables[-1].row()
         elif tag in BLOCKS:
-            nested = tag in ("ul", "ol", "menu", "dir") and len(self.lists) > 1
+            nested = tag in ("ul", "ol", "menu", "dir") and len(self.lists) > 1 + flow.lists
             flow.apart(1 if nested else BLOCKS[tag])
             if tag == "li":
                 if self.lists and self.lists[-1][0]:
@@ -202,7 +231,7 @@ class Page(HTMLParser):
                     flow.marker = "- "
 
     def pop(self) -> None:
-        tag, hides = self.stack.pop()
+        tag, hides, self.veiled = self.stack.pop()
         self.open_count[tag] -= 1
         seen = not self.hidden
         self.hidden -= hides
@@ -215,28 +244,29 @@ class Page(HTMLParser):
             return
         if tag in ("td", "th") and self.tables and len(self.flows) > 1:
             cell = self.flows.pop()
-            self.tables[-1].rows[-1] += [" ".join(cell.text().split())] + [""] * (cell.span - 1)
+            self.tables[-1].cell(cell.text(), cell.span)
             return
         flow = self.flows[-1]
         if table is not None:
+            inner = len(self.flows) > 1  # a table in a cell goes on in the cell's line
             for line in table.lines():
-                flow.apart(1)
-                self.put(line)
+                flow.breaks, flow.space = (0, True) if inner and flow.parts else (max(flow.breaks, 1), False)
+                self.put(" ".join(line.split()) if inner else line)
         if tag in BLOCKS:
-            nested = tag in ("ul", "ol", "menu", "dir") and self.lists
+            nested = tag in ("ul", "ol", "menu", "dir") and len(self.lists) > flow.lists
             flow.apart(1 if nested else BLOCKS[tag])
             if tag == "li":
                 flow.marker = ""
 
     def put(self, text: str) -> None:
         flow = self.flows[-1]
-        flow.open("  " * min(len(self.lists), 20))
+        flow.open("  " * min(len(self.lists) - flow.lists, 20))
         flow.parts.append(text)
 
     def handle_data(self, data: str) -> None:
         if data.strip():
             self.end_head()
-        if self.hidden or self.open_count.get("svg") and not (self.open_count.get("text") or self.open_count.get("foreignobject")):
+        if self.hidden or self.veiled or self.open_count.get("svg") and not (self.open_count.get("text") or self.open_count.get("foreignobject")):
             return
         flow = self.flows[-1]
         if self.pre:
@@ -274,6 +304,11 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     NULL and empty pages give empty text; broken markup of any depth is laid out as far as it goes; repeated rows give equal
     texts; an empty frame gives an empty frame. Columns of ``pages`` may have any name: they travel in ``doc``.
+
+    Cells keep their blocks and lists as lines of their own; cells that span columns or rows keep those places free; a table
+    in a cell goes on in the cell's line. So that layout stays in proportion to the text, columns are aligned up to
+    ``COLUMN`` characters, longer cells push what follows in their row, lists are indented up to 20 levels, and several
+    empty lines of preformatted text become one. No text is left out for these. Style sheets are not read.
     """
     def start() -> Callable[[list[str]], pa.Array]:
         return lambda pages: pa.array([render(p) for p in pages], pa.string())

@@ -26,6 +26,14 @@ CASES = {
     "<a href='x'>cut off": "cut off",
     "<a href='": "",
     "<select><option>no<option>no</select>yes": "yes",
+    "<table><tr><td rowspan=2>A<td>B<tr><td>C</table>": "A | B\n  | C",
+    "<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>": "a | b | c\nd |   | e\nf |   | g",
+    "<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>": "ab |   | c\n   |   | d\ne  | f | g",
+    "<table><tr><td><ul><li>a<li>b</ul><td>x<tr><td>c<td>y</table>": "- a | x\n- b |\nc   | y",
+    "<ul><li>o<table><tr><td><ol><li>a<ul><li>in</ul></ol><td>x</table></ul>": "- o\n\n  1. a   | x\n    - in |",
+    "<table><tr><td><p>one<p>two<td>x</table>": "one | x\ntwo |",
+    "<p style='visibility:hidden'>no<b style='Visibility: visible'>yes</b>no</p>": "yes",
+    "<div style='display:none'><b style='visibility:visible'>no</b></div>x": "x",
 }
 
 
