@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from changevault.llm.linear import FIT_DOCS, PASSES, Ftrl, fit_in_shards, labelled_sample, sigmoid
 from changevault.llm.tasks import map_batches, per_text
 from changevault.llm.text import mix, text_pieces, words
+from changevault.session import checkpoint
 
 BITS = 18
 ALPHA, L1 = 0.5, 0.05
@@ -78,15 +79,31 @@ def telling(sample: DataFrame) -> np.ndarray:
     return sign
 
 
-def graded(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, sign: np.ndarray) -> np.ndarray:
+def cuts_of(sample: DataFrame, sign: np.ndarray) -> np.ndarray:
+    """The thirds of the number of marked features in the toxic texts of the whole sample, so that a number means one grade
+    in every shard. The driver gets a row for each number met."""
+    shared = sample.sparkSession.sparkContext.broadcast(sign)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_pieces(batches):
+            doc, place = features(texts)
+            hits = np.bincount(doc[shared.value[place] > 0], minlength=len(texts))
+            yield pa.RecordBatch.from_arrays([pa.array(hits.astype(np.int64))], ["hits"])
+
+    toxic = map_batches(sample.where("label = 1").select("text"), count, "hits long")
+    found = sorted(map(tuple, toxic.groupBy("hits").count().collect()))
+    if not found:
+        return np.zeros(2)
+    return np.quantile(np.repeat([h for h, _ in found], [n for _, n in found]), [1 / 3, 2 / 3])
+
+
+def graded(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, sign: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Labels say only whether a text is toxic. A toxic text's grade is the third its number of marked features is in."""
     hits = np.array([times[sign[at] > 0].sum() for at, times in rows])
-    toxic = labels == 1
-    cuts = np.quantile(hits[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
-    return np.where(toxic, 1 + (hits > cuts[0]) + (hits > cuts[1]), 0)
+    return np.where(labels == 1, 1 + (hits > cuts[0]) + (hits > cuts[1]), 0)
 
 
-def _train(sign: np.ndarray) -> Callable[[list[str], np.ndarray], np.ndarray]:
+def _train(sign: np.ndarray, cuts: np.ndarray) -> Callable[[list[str], np.ndarray], np.ndarray]:
     """A function that gives the weights, and behind them the thresholds."""
     def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
         model = Ftrl(1 << BITS, ALPHA, l1=L1)
@@ -94,7 +111,7 @@ def _train(sign: np.ndarray) -> Callable[[list[str], np.ndarray], np.ndarray]:
         for text in texts:
             place = features([text])[1]
             counted.append(np.unique(place[sign[place] != 0], return_counts=True))
-        grade = graded(counted, labels, sign)
+        grade = graded(counted, labels, sign, cuts)
         rows = [(at, np.log2(1.0 + times)) for at, times in counted]
         theta, slope = np.linspace(1.0, 3.0, GRADES - 1), np.ones(GRADES - 1)
         for _ in range(PASSES):
@@ -119,9 +136,9 @@ def _train(sign: np.ndarray) -> Callable[[list[str], np.ndarray], np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     """A model from about ``fit_docs`` documents (doc_id, text) whose ``labels.toxic`` is known and not held out."""
-    sample = labelled_sample(docs, labels, "toxic", fit_docs)
+    sample = checkpoint(labelled_sample(docs, labels, "toxic", fit_docs))  # read several times
     sign = telling(sample)
-    found = fit_in_shards(sample, _train(sign))
+    found = fit_in_shards(sample, _train(sign, cuts_of(sample, sign)))
     if not len(found) or not (sign > 0).any():
         return Model(np.zeros(1 << BITS), np.full(GRADES - 1, 60.0))
     full = np.zeros((1 << BITS) + GRADES - 1)
