@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changevault.llm.tasks import per_text
@@ -25,6 +26,9 @@ UNDETERMINED = "und"
 #: Words that are unseen are remembered up to this number, then forgotten.
 _MEMORY = 100_000
 _ASCII_LETTER = re.compile("[A-Za-z]")
+#: What parts words, for learning and for predicting; words that begin with a digit say nothing of the language.
+_BETWEEN = r"[^\p{L}\p{M}\p{N}]+"
+_PARTED = regex.compile(_BETWEEN)
 
 
 class Model(NamedTuple):
@@ -71,8 +75,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_doc
             name, int(min(1.0, max(fit_docs // part, 1) / n) * 1_000_000))))
         labelled = labelled.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < drawn[F.col(lang_col)])
     counts = labelled.select(F.col(lang_col).alias("lang"), F.explode(
-        F.split(F.lower(text_col), r"[^\p{L}\p{M}\p{N}]+")).alias("word")
-    ).where("word <> ''").groupBy("word", "lang").agg(F.count(F.lit(1)).alias("n"))
+        F.split(F.lower(text_col), _BETWEEN)).alias("word")
+    ).where(F.col("word").rlike("^[^0-9]")).groupBy("word", "lang").agg(F.count(F.lit(1)).alias("n"))
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
     pieces = F.transform(F.sequence(F.lit(1), F.length(padded), F.lit(_PIECE)), lambda at: F.substring(padded, at, F.lit(_PIECE + LONGEST - 1)))
     grams = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("piece"))), lambda size: F.transform(
@@ -110,7 +114,8 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """(text, language): mean over all words of the text of their log frequencies."""
-        found: Words = words([t.lower() for t in texts], split_symbols=True)
+        lower = [t.lower() for t in texts]  # ASCII texts fall into the same words by the classes of their bytes
+        found: Words = words([t if t.isascii() else _PARTED.sub(" ", t) for t in lower], split_symbols=True)
         letters = np.frombuffer(found.data, np.uint8)[found.start] if len(found.start) else np.empty(0, np.uint8)
         is_word = (letters >= 97) & (letters <= 122) | (letters >= 128)
         at = np.flatnonzero(is_word)
