@@ -14,9 +14,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go: those without text or without a letter. The others stay as they are."""
+    """Documents whose language cannot be told go: those without text or without a letter. The others bear the language
+    predicted for them, whatever they were said to be in. Where no row of the table names a language there is none to
+    learn: documents with a letter stay as they are."""
     model = language.fit(docs.where(~language.is_held_out("doc_id")))
-    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select("doc.*")
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED)
+    return told.select(*(F.col("lang_pred" if c == "lang" else f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

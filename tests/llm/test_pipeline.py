@@ -50,6 +50,26 @@ def test_each_stage_takes_effect_and_keeps_columns(spark):
     assert {r.doc_id for r in got["packing"]} == set(ids["pii"])
 
 
+def test_language_stage_hands_its_prediction_on(spark, monkeypatch):
+    text = {"en": ENGLISH, "fr": "le chat noir et la souris grise dans la maison de ma tante"}
+    rows = [(i, f"{text[lang]} {i}", lang if i < 30 else said) for i, (lang, said) in enumerate(
+        [(k, k) for k in ("en", "fr")] * 15 + [("en", None), ("fr", None), ("en", "fr"), ("fr", "de")])]
+    docs = frame(spark, rows + [(99, "12 34", "en")], "doc_id long, text string, lang string")
+    stage = corpus_pipeline.known_language
+    got = {r.doc_id: r.lang for r in stage(spark, docs, SF).collect()}
+    assert got == {i: "en" if i % 2 == 0 else "fr" for i in range(34)}
+    # another model, another outcome
+    only = docs.where("lang = 'fr' AND doc_id < 30")
+    model = corpus_pipeline.language.fit(only)
+    monkeypatch.setattr(corpus_pipeline.language, "fit", lambda _: model)
+    assert {r.lang for r in stage(spark, docs, SF).collect()} == {"fr"}
+
+
+def test_a_table_that_names_no_language_keeps_documents_with_letters(spark):
+    docs = frame(spark, [(1, "hello", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [tuple(r) for r in corpus_pipeline.known_language(spark, docs, SF).collect()] == [(1, "hello", None)]
+
+
 def test_empty_table(spark):
     got = stages(spark, frame(spark, [], COLUMNS))
     assert all(v == [] for v in got.values())

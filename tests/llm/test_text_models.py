@@ -109,3 +109,25 @@ def test_rare_languages_and_long_words_are_learnt(spark, monkeypatch):
     rows = [(i, f"the cat number{i} sat on mat{i}", "en") for i in range(400)] + [(1001, "le chat", "fr"), (1002, "語" * 100, "zz")]
     model = language.fit(frame(spark, rows, "doc_id long, text string, lang string"), fit_docs=30)
     assert model.languages == ["en", "fr", "zz"] and "語" * 5 in model.ngrams
+
+
+def test_words_are_cut_alike_when_learning_and_predicting(spark):
+    """Quotes, dashes and other blanks part words; a model that knows only these words answers for sure."""
+    rows = [(i, "“hello” l’homme word—word le\u00a0chat", "xx") for i in range(20)] + [(i, "quatsch sprache", "yy") for i in range(20, 40)]
+    model = language.fit(frame(spark, rows, "doc_id long, text string, lang string"))
+    scorer = language.Scorer(model)
+    for text in ("hello", "“hello”", "l’homme", "word—word", "le\u00a0chat", "hello, le chat!"):
+        scorer.scores([text])
+        assert scorer.memory == {}, text
+    assert "quatsch" not in scorer.memory and scorer.scores(["7 8 9"]).tolist() == [[0.0, 0.0]]
+
+
+def test_grades_are_cut_once_over_the_whole_sample(spark):
+    rows = [(i, "vile " * (1 + i % 9) + "and some plain words", 1) for i in range(90)] + [(i, "plain words", 0) for i in range(90, 180)]
+    sample = frame(spark, rows, "doc_id long, text string, label int").repartition(7)
+    sign = np.zeros(1 << toxicity.BITS, np.int8)
+    sign[toxicity.features(["vile"])[1]] = 1
+    hits = np.array([toxicity.features([t])[1] for _, t, y in rows if y], object)
+    want = np.quantile([int((sign[h] > 0).sum()) for h in hits], [1 / 3, 2 / 3])
+    assert toxicity.cuts_of(sample, sign).tolist() == want.tolist()
+    assert toxicity.cuts_of(sample.where("label = 0"), sign).tolist() == [0.0, 0.0]
