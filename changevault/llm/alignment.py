@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -33,16 +34,21 @@ FAN_IN = 16
 HELD, LINKS = 1 << 21, 1 << 20
 
 
+#: Chunks of text whose alignment a task remembers; when there are more, those met once are forgotten.
+REMEMBERED = 1 << 19
+
+
 class Tokenizer(NamedTuple):
-    """Ids of a text, and the bytes of each id."""
+    """Ids of some chunks of text, one after the other, and how many each has; the bytes of each id. Chunks begin with
+    white space."""
 
-    encode: Callable[[str], np.ndarray]
+    encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
     pieces: list[bytes]
 
 
 @lru_cache(maxsize=2)
 def byte_level(path: str) -> Tokenizer:
-    """A byte-level BPE file; special tokens in a text are plain text. A blank is set before the text."""
+    """A byte-level BPE file; special tokens in a text are plain text."""
     import public_tokenizers
     import tiktoken
 
@@ -55,12 +61,29 @@ def byte_level(path: str) -> Tokenizer:
     pieces = [b""] * (max(ranks.values()) + 1)
     for word, i in ranks.items():
         pieces[i] = word
-    return Tokenizer(lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64), pieces)
+    size = np.array([len(p) for p in pieces])
+
+    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # chunks that end in something else than white space may stand together: the next one's tokens begin with it
+        lengths = np.array([len(c.encode("utf-8", "replace")) for c in chunks])
+        parts, together = [], []
+        for chunk in chunks:
+            together.append(chunk)
+            if chunk[-1].isspace():
+                parts.append("".join(together))
+                together = []
+        parts.append("".join(together))
+        ids = np.concatenate([encoding.encode_to_numpy(p, disallowed_special=()) for p in parts]).astype(np.int64)
+        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum(lengths), side="left") + 1
+        return ids, np.diff(ends, prepend=0)
+
+    return Tokenizer(encode, pieces)
 
 
 @lru_cache(maxsize=2)
 def piece_level(path: str) -> Tokenizer:
-    """A model of pieces with byte fallback, which sets the blank before a text itself."""
+    """A model of pieces with byte fallback, which sets a blank before what it is given. A chunk that begins with one goes
+    without it; from another, like one that begins with a line end, the token of the blank is taken off."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -71,16 +94,21 @@ def piece_level(path: str) -> Tokenizer:
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode("utf-8")
 
     pieces = [spelled(model.id_to_piece(i)) for i in range(model.get_piece_size())]
-    return Tokenizer(lambda text: np.array(model.encode(text, num_threads=1), np.int64), pieces)
+
+    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        found = [ids if c[0] == " " else ids[1:] for c, ids in zip(chunks, found)]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())), n
+
+    return Tokenizer(encode, pieces)
 
 
 class _Side:
-    """One tokenizer's tokens of several texts: ids, where each ends in bytes, and the group it is in."""
+    """One tokenizer's tokens of several chunks: ids, where each ends in bytes, and the group it is in."""
 
-    def __init__(self, ids: list[np.ndarray], size: np.ndarray) -> None:
-        self.ids = np.concatenate(ids) if ids else np.empty(0, np.int64)
-        self.n = np.array([len(i) for i in ids], np.int64)
-        self.ends = np.cumsum(size[self.ids])
+    def __init__(self, ids: np.ndarray, n: np.ndarray, size: np.ndarray) -> None:
+        self.ids, self.n, self.ends = ids, n, np.cumsum(size[ids])
 
     def group(self, bounds: np.ndarray) -> None:
         self.of = np.searchsorted(bounds, self.ends, side="left")
@@ -89,28 +117,32 @@ class _Side:
 
 
 class Aligned:
-    """Some texts cut into groups where both tokenizers' tokens end."""
-
-    def __init__(self, texts: list[str], pair: "Pair") -> None:
-        a, b = [], []
-        none = np.empty(0, np.int64)
-        for text in texts:
-            x, y = (pair.a.encode(text), pair.b.encode(text)) if text else (none, none)
-            plain = (" " + text).encode("utf-8", "replace")
-            same = all(b"".join(map(t.pieces.__getitem__, ids.tolist())) == plain for t, ids in ((pair.a, x), (pair.b, y)))
-            a.append(x if same else none)
-            b.append(y if same else none)
-        self.n = len(texts)
-        self.a, self.b = _Side(a, pair.size_a), _Side(b, pair.size_b)
+    """Some chunks cut into groups where both tokenizers' tokens end. A chunk that the joined bytes of either do not give
+    back is not ``fit`` and has no tokens."""
+
+    def __init__(self, chunks: list[str], pair: "Pair") -> None:
+        plain = [c.encode("utf-8", "replace") for c in chunks]
+        found = [(t.pieces, *t.encode(chunks)) for t in (pair.a, pair.b)]
+        self.fit = np.ones(len(chunks), bool)
+        for pieces, ids, n in found:
+            spelled = list(map(pieces.__getitem__, ids.tolist()))
+            if b"".join(spelled) != b"".join(plain):  # some do not fit
+                stops = np.cumsum(n)
+                self.fit &= [b"".join(spelled[j - k:j]) == p for j, k, p in zip(stops, n, plain)]
+        (_, a, n_a), (_, b, n_b) = found
+        if not self.fit.all():
+            a, b = a[np.repeat(self.fit, n_a)], b[np.repeat(self.fit, n_b)]
+            n_a, n_b = n_a * self.fit, n_b * self.fit
+        self.n = len(chunks)
+        self.a, self.b = _Side(a, n_a, pair.size_a), _Side(b, n_b, pair.size_b)
         bounds = np.intersect1d(self.a.ends, self.b.ends, assume_unique=True)
         for side in (self.a, self.b):
             side.group(bounds)
-        ends = np.cumsum([0, *(self.a.n)])[1:]
-        self.text = np.searchsorted(ends, self.a.first, side="right")  # of each group
-        self.groups = np.bincount(self.text, minlength=self.n)
+        self.chunk = np.searchsorted(np.cumsum(self.a.n), self.a.first, side="right")  # of each group
+        self.groups = np.bincount(self.chunk, minlength=self.n)
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(text, pair, times) of all links, a bounded number at once; a pair may come several times."""
+        """(chunk, pair, times) of all links, a bounded number at once; a pair may come several times."""
         many_a, many_b = self.a.last - self.a.first, self.b.last - self.b.first
         product = many_a * many_b
         large = product > LINKS // 64
@@ -124,7 +156,7 @@ class Aligned:
             other = np.repeat(np.repeat(self.b.first[some], many_a[some]), times) + _steps(times)
             found = np.repeat(token, times)
             pairs = self.a.ids[found] << 32 | self.b.ids[other]
-            yield self.text[self.a.of[found]], pairs, np.ones(len(pairs), np.int64)
+            yield self.chunk[self.a.of[found]], pairs, np.ones(len(pairs), np.int64)
             at, start = stop, int(before[stop - 1])
         for g in np.flatnonzero(large):  # a long group is counted by its different ids
             x, times_x = np.unique(self.a.ids[self.a.first[g]:self.a.last[g]], return_counts=True)
@@ -132,19 +164,17 @@ class Aligned:
             for i in range(0, len(x), max(1, LINKS // len(y))):
                 part = slice(i, i + max(1, LINKS // len(y)))
                 pairs = (x[part, None] << 32 | y).ravel()
-                yield np.full(len(pairs), self.text[g]), pairs, (times_x[part, None] * times_y).ravel()
+                yield np.full(len(pairs), self.chunk[g]), pairs, (times_x[part, None] * times_y).ravel()
 
-    def distinct(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """As :meth:`links`, each pair of a text once, as far as the texts' links are laid out together."""
-        parts = list(self.links()) if self.a.n.sum() < LINKS else None
-        for text, pairs, times in ([tuple(map(np.concatenate, zip(*parts)))] if parts else parts or self.links()):
-            order = np.lexsort((pairs, text))
-            text, pairs, times = text[order], pairs[order], times[order]
-            first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pairs[1:] != pairs[:-1])])) if len(text) else order
-            yield text[first], pairs[first], np.add.reduceat(times, first) if len(first) else times
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(chunk, pair, times), by chunk and pair, each once; laid out in bounded parts, each added up before the next."""
+        held = (np.empty(0, np.int64),) * 3
+        for part in self.links():
+            held = _added(tuple(map(np.concatenate, zip(held, part))))
+        return held
 
     def spelled(self, pair: "Pair") -> list[bytes]:
-        """Each text's groups as ``a1,a2|b1;a3|b2``."""
+        """Each chunk's groups as ``a1,a2|b1;a3|b2;``."""
         a, b = self.a, self.b
         out = np.empty(len(a.ids) + len(b.ids), object)
         end_a, end_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
@@ -152,7 +182,118 @@ class Aligned:
         out[np.arange(len(a.ids)) + b.first[a.of]] = np.where(end_a, pair.names["|"][a.ids], pair.names[","][a.ids])
         out[np.arange(len(b.ids)) + a.last[b.of]] = np.where(end_b, pair.names[";"][b.ids], pair.names[","][b.ids])
         ends = np.cumsum(a.n + b.n)
-        return [b"".join(out[stop - n:stop].tolist())[:-1] for stop, n in zip(ends, a.n + b.n)]
+        return [b"".join(out[stop - n:stop].tolist()) for stop, n in zip(ends, a.n + b.n)]
+
+
+def _added(rows: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, pair, number) with the numbers of equal key and pair added up, sorted by these."""
+    key, pairs, numbers = rows
+    if not len(key):
+        return rows
+    order = np.lexsort((pairs, key))
+    key, pairs, numbers = key[order], pairs[order], numbers[order]
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (pairs[1:] != pairs[:-1])]))
+    return key[first], pairs[first], np.add.reduceat(numbers, first)
+
+
+class _Column:
+    """An array that grows."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.data, self.n = values, len(values)
+
+    def append(self, values: np.ndarray) -> None:
+        need = self.n + len(values)
+        if need > len(self.data):
+            self.data = np.concatenate([self.data[:self.n], np.empty(max(need, 1024), self.data.dtype)])
+        self.data[self.n:need] = values
+        self.n = need
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.data[:self.n]
+
+
+class Chunks:
+    """Alignments of the chunks met by a Python worker, each made once.
+
+    Both tokenizers end a token before white space that follows something else (but for what :class:`Pair` finds in the
+    pieces), so a text falls into chunks of white space and what follows it, each aligned by itself; white space at the
+    end goes with the last. What is remembered is bounded, and numbers of chunks hold until something is forgotten.
+    """
+
+    def __init__(self, pair: "Pair") -> None:
+        self.pair, self.forgotten = pair, 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.spelled: list[bytes] = []
+        self.numbers = [_Column(np.empty(0, np.int64)) for _ in range(4)]
+        self.pairs, self.times = _Column(np.empty(0, np.int64)), _Column(np.empty(0, np.int64))
+        self.ends = _Column(np.zeros(1, np.int64))
+        self.used = _Column(np.empty(0, np.int64))
+        self.size = 0
+
+    def _forget(self) -> None:
+        """Chunks met once or long ones go; all of them if too many others are left."""
+        used = self.used.values
+        often = [(c, i) for c, i in self.number.items() if used[i] > 1 and len(c) < 64]
+        often = often if len(often) <= REMEMBERED // 2 else []
+        rows = np.array([i for _, i in often], np.int64)
+        spelled, numbers, pairs, times, ends = self.spelled, self.numbers, self.pairs, self.times, self.ends.values
+        self._clear()
+        self.forgotten += 1
+        self.number = {c: i for i, (c, _) in enumerate(often)}
+        self.spelled = [spelled[i] for i in rows]
+        for column, old in zip(self.numbers, numbers):
+            column.append(old.values[rows])
+        many = ends[rows + 1] - ends[rows]
+        at = np.repeat(ends[rows], many) + _steps(many)
+        self.pairs.append(pairs.values[at])
+        self.times.append(times.values[at])
+        self.ends.append(np.cumsum(many))
+        self.used.append(np.zeros(len(rows), np.int64))
+        self.size = sum(len(c) for c, _ in often)
+
+    def _align(self, new: list[str]) -> None:
+        for at in range(0, len(new), 16384):
+            some = new[at:at + 16384]
+            self.number.update(zip(some, range(len(self.spelled), len(self.spelled) + len(some))))
+            found = Aligned(some, self.pair)
+            links = found.distinct()
+            self.spelled += found.spelled(self.pair)
+            for column, values in zip(self.numbers, (found.fit, found.a.n, found.b.n, found.groups)):
+                column.append(values.astype(np.int64))
+            self.pairs.append(links[1])
+            self.times.append(links[2])
+            self.ends.append(self.ends.values[-1] + np.cumsum(np.bincount(links[0], minlength=len(some))))
+            self.used.append(np.zeros(len(some), np.int64))
+            self.size += sum(map(len, some))
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, chunk number) of every chunk of the texts that both tokenizers give back whole, in order."""
+        parts = [self.pair.cut(" " + t) if t else [] for t in texts]
+        if len(self.number) > REMEMBERED or self.size > REMEMBERED * 32:
+            self._forget()
+        self._align(list(set(chain.from_iterable(parts)).difference(self.number)))
+        chunk = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
+        text = np.repeat(np.arange(len(texts)), list(map(len, parts)))
+        self.used.values[:] += np.bincount(chunk, minlength=self.used.n)
+        fit = self.numbers[0].values[chunk] == 1
+        if not fit.all():
+            spoilt = np.bincount(text, ~fit, len(texts)) > 0
+            chunk, text = chunk[~spoilt[text]], text[~spoilt[text]]
+        return text, chunk
+
+    def text_pairs(self, text: np.ndarray, chunk: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, pair, times), each pair of a text once."""
+        both, times = np.unique(text << 32 | chunk, return_counts=True)
+        text, chunk = both >> 32, both & 0xFFFFFFFF
+        first = self.ends.values[chunk]
+        many = self.ends.values[chunk + 1] - first
+        at = np.repeat(first, many) + _steps(many)
+        return _added((np.repeat(text, many), self.pairs.values[at], self.times.values[at] * np.repeat(times, many)))
 
 
 def _steps(counts: np.ndarray) -> np.ndarray:
@@ -168,6 +309,19 @@ class Pair:
         self.size_a, self.size_b = (np.array([len(p) for p in t.pieces]) for t in (a, b))
         most = max(len(a.pieces), len(b.pieces))
         self.names = {mark: np.array([f"{i}{mark}".encode() for i in range(most)], object) for mark in ",|;"}
+        # texts are not cut before white space that some piece has behind something else
+        glue = {c for p in b.pieces for c in re.findall(r"(?<=\S)\s", p.decode("utf-8", "replace"))}
+        more = f"(?:[{re.escape(''.join(sorted(glue)))}]\\s*\\S+)*" if glue else ""
+        self.chunks = re.compile(r"\s*\S+" + more).findall
+
+    def cut(self, text: str) -> list[str]:
+        """Chunks of white space and what follows it."""
+        body = text.rstrip()
+        if not body:
+            return [text]
+        chunks = self.chunks(body)
+        chunks[-1] += text[len(body):]
+        return chunks
 
 
 @lru_cache(maxsize=2)
@@ -175,29 +329,71 @@ def pair_of(path_a: str, path_b: str) -> Pair:
     return Pair(byte_level(path_a), piece_level(path_b))
 
 
+@lru_cache(maxsize=1)
+def chunks_of(path_a: str, path_b: str) -> Chunks:
+    """What this Python worker remembers, from task to task and from pass to pass."""
+    return Chunks(pair_of(path_a, path_b))
+
+
+class Measures:
+    """Whole numbers of every chunk, given the corpus' counts: tokens of both, groups, links, links with the best count of
+    their A id, the counts' sum, and how many pairs are not known."""
+
+    def __init__(self, chunks: Chunks, counts: Counts, best: np.ndarray) -> None:
+        self.chunks, self.counts, self.best = chunks, counts, best
+        self._clear()
+
+    def _clear(self) -> None:
+        self.forgotten = self.chunks.forgotten
+        self.columns = [_Column(np.empty(0, np.int64)) for _ in range(4)]
+
+    def totals(self, text: np.ndarray, chunk: np.ndarray, n: int) -> list[np.ndarray]:
+        """Each text's sums."""
+        if self.forgotten != self.chunks.forgotten:
+            self._clear()
+        self._measure()
+        out = []
+        for column in [*self.chunks.numbers[1:], *self.columns]:
+            total = np.zeros(n, np.int64)
+            np.add.at(total, text, column.values[chunk])
+            out.append(total)
+        return out
+
+    def _measure(self) -> None:
+        """Chunks that are new since the last time."""
+        at, ends = self.columns[0].n, self.chunks.ends.values
+        pairs, times = (c.values[ends[at]:] for c in (self.chunks.pairs, self.chunks.times))
+        chunk = np.repeat(np.arange(len(ends) - 1 - at), np.diff(ends[at:]))
+        found = self.counts.find(pairs)
+        is_best = (found >= 0) & (found == self.best[np.minimum(pairs >> 32, len(self.best) - 1)])
+        for column, values in zip(self.columns, (times, times * is_best, times * np.maximum(found, 0), found < 0)):
+            total = np.zeros(len(ends) - 1 - at, np.int64)
+            np.add.at(total, chunk, values)
+            column.append(total)
+
+
 def _counted(path_a: str, path_b: str):
     """(pair, n): in how many of a task's documents a pair is linked."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, held = pair_of(path_a, path_b), [np.empty(0, np.int64)] * 2
+        chunks, held, waiting, size = chunks_of(path_a, path_b), (np.empty(0, np.int64),) * 3, [], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            pairs = np.concatenate([held[1], *waiting])
+            numbers = np.concatenate([held[2], np.ones(len(pairs) - len(held[2]), np.int64)])
+            return _added((np.zeros(len(pairs), np.int64), pairs, numbers))
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["pair", "n"])
-
-        for piece, texts in text_pieces(batches):
-            told = [(t, p) for t, p, _ in Aligned(texts, pair).distinct()]
-            if not told:
-                continue
-            text, pairs = map(np.concatenate, zip(*told))
-            if len(told) > 1:  # a pair of a long text may have come several times
-                both = np.unique(np.stack([text, pairs]), axis=1)
-                pairs = both[1]
-            names, n = np.unique(pairs, return_counts=True)
-            keys = np.concatenate([held[0], names])
-            merged, at = np.unique(keys, return_inverse=True)
-            held = [merged, np.bincount(at, np.concatenate([held[1], n]), len(merged)).astype(np.int64)]
-            if len(merged) > HELD:
-                yield batch()
-                held = [np.empty(0, np.int64)] * 2
+            return pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[2])], names=["pair", "n"])
+
+        for _, texts in text_pieces(batches):
+            waiting.append(chunks.text_pairs(*chunks.of(texts))[1])
+            size += len(waiting[-1])
+            if size > HELD:
+                held, waiting, size = added(), [], 0
+                if len(held[1]) > HELD:
+                    yield batch()
+                    held = (np.empty(0, np.int64),) * 3
+        held = added()
         yield batch()
     return run
 
@@ -321,24 +517,25 @@ def _looked_up(docs: DataFrame, path_a: str, path_b: str, text_col: str, known:
     shared = docs.sparkSession.sparkContext.broadcast((known, highest))
 
     def start() -> Callable[[list[str]], pa.Array]:
-        pair, (counts, best) = pair_of(path_a, path_b), shared.value
+        counts, best = shared.value
+        chunks = chunks_of(path_a, path_b)
+        measures = Measures(chunks, counts, best)
 
         def run(texts: list[str]) -> pa.Array:
-            found = Aligned(texts, pair)
-            links, top, total = (np.zeros(found.n, np.int64) for _ in range(3))
+            text, chunk = chunks.of(texts)
+            totals = measures.totals(text, chunk, len(texts))
+            ends = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+            numbers = chunk.tolist()
+            spelled = [b"".join(map(chunks.spelled.__getitem__, numbers[i:j]))[:-1] for i, j in zip(ends, ends[1:])]
             asked: list[list[dict]] = [[] for _ in texts]
-            for text, pairs, times in found.distinct():
-                n = counts.find(pairs)
-                np.add.at(links, text, times)
-                np.add.at(total, text, times * np.maximum(n, 0))
-                is_best = (n >= 0) & (n == best[np.minimum(pairs >> 32, len(best) - 1)])
-                np.add.at(top, text, times * is_best)
-                for i in np.flatnonzero(n < 0):
-                    asked[text[i]].append({"pair": int(pairs[i]), "times": int(times[i])})
-            spelled = [hashlib.sha256(s).hexdigest() if s else "" for s in found.spelled(pair)]
-            numbers = [found.a.n, found.b.n, found.groups, links, top, total]
+            if totals[-1].any():
+                some = measures.columns[-1].values[chunk] > 0
+                told = chunks.text_pairs(text[some], chunk[some])
+                for i in np.flatnonzero(counts.find(told[1]) < 0):
+                    asked[told[0][i]].append({"pair": int(told[1][i]), "times": int(told[2][i])})
             return pa.StructArray.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in numbers), pa.array(spelled, pa.string()),
+                [*(pa.array(x, pa.int64()) for x in totals[:6]),
+                 pa.array([hashlib.sha256(s).hexdigest() if s else "" for s in spelled], pa.string()),
                  pa.array(asked, pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())])))],
                 ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "asked"])
 

@@ -97,20 +97,45 @@ def test_hard_texts_and_rare_pairs(spark, monkeypatch, head):
 
 def test_long_groups_are_counted_by_different_ids(monkeypatch):
     pair = alignment.pair_of(A, B)
-    texts = [t for _, t in HARD if t] * 2
-    whole = alignment.Aligned(texts, pair)
-    want = Counter()
-    for text, pairs, times in whole.links():
-        want.update({(int(t), int(p)): 0 for t, p in zip(text, pairs)})
-        for t, p, n in zip(text, pairs, times):
-            want[int(t), int(p)] += int(n)
+    chunks = [" " + t for _, t in HARD if t] * 2
+    want = [x.tolist() for x in alignment.Aligned(chunks, pair).distinct()]
     for links in (1, 64, 1000):
         monkeypatch.setattr(alignment, "LINKS", links)
-        got = Counter()
-        for text, pairs, times in alignment.Aligned(texts, pair).distinct():
-            for t, p, n in zip(text, pairs, times):
-                got[int(t), int(p)] += int(n)
-        assert got == want
+        assert [x.tolist() for x in alignment.Aligned(chunks, pair).distinct()] == want
+
+
+def test_chunks_give_the_tokens_of_whole_texts(spark):
+    """Both tokenizers end a token where texts are cut."""
+    pair = alignment.pair_of(A, B)
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text] + [t for _, t in HARD if t]
+    texts += ["a\n\n b", "a \n", "\n\na\t b\u00a0c\u2003d \u00a0", "\x1c x\x85y", "x\u3000y z", "  a   b  ", "f();\r\n x\r\r y\r", "\r", ";\r;\r \r"]
+    assert len(pair.cut(" one two\nthree")) == 3
+    a, b = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    for text in texts:
+        chunks = pair.cut(" " + text)
+        assert "".join(chunks) == " " + text
+        assert pair.a.encode(chunks)[0].tolist() == a.encode(" " + text, add_special_tokens=False).ids
+        assert pair.b.encode(chunks)[0].tolist() == b.encode(text)
+        for side in (pair.a, pair.b) if "▁" not in text else (pair.a,):  # the pieces' own sign for a blank
+            ids, n = side.encode(chunks)
+            assert [b"".join(map(side.pieces.__getitem__, ids[j - k:j])).decode() for j, k in zip(np.cumsum(n), n)] == chunks
+
+
+@pytest.mark.parametrize("remembered", [1, 20, 300])
+def test_forgotten_chunks_change_nothing(monkeypatch, remembered):
+    pair = alignment.pair_of(A, B)
+    texts = [f"word{i % 37} and the other{i % 11}, {i}" for i in range(200)]
+    whole = alignment.Chunks(pair)
+    want = [x.tolist() for x in whole.text_pairs(*whole.of(texts))[1:]]
+    monkeypatch.setattr(alignment, "REMEMBERED", remembered)
+    chunks, got = alignment.Chunks(pair), [[], []]
+    for i in range(0, 200, 10):
+        found = chunks.text_pairs(*chunks.of(texts[i:i + 10]))
+        for x, y in zip(got, found[1:]):
+            x += y.tolist()
+        assert len(chunks.number) <= remembered + 100
+    assert got == want and chunks.forgotten > (remembered < 300) - 1
 
 
 def test_empty_table(spark):
