@@ -190,7 +190,12 @@ def _added(rows: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray,
     key, pairs, numbers = rows
     if not len(key):
         return rows
-    order = np.lexsort((pairs, key))
+    low = int((pairs & 0xFFFFFFFF).max()).bit_length()  # one number for both sorts faster, where it has room
+    bits = int(pairs.max() >> 32).bit_length() + low
+    if int(key.max()).bit_length() + bits < 63:
+        order = np.argsort(key << bits | pairs >> 32 << low | pairs & 0xFFFFFFFF)
+    else:
+        order = np.lexsort((pairs, key))
     key, pairs, numbers = key[order], pairs[order], numbers[order]
     first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (pairs[1:] != pairs[:-1])]))
     return key[first], pairs[first], np.add.reduceat(numbers, first)
@@ -222,13 +227,13 @@ class Chunks:
     end goes with the last. What is remembered is bounded, and numbers of chunks hold until something is forgotten.
     """
 
-    def __init__(self, pair: "Pair") -> None:
-        self.pair, self.forgotten = pair, 0
+    def __init__(self, pair: "Pair", spell: bool = True) -> None:
+        self.pair, self.spell, self.forgotten = pair, spell, 0
         self._clear()
 
     def _clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.spelled: list[bytes] = []
+        self.spelled: list[bytes] = []  # only if asked for
         self.numbers = [_Column(np.empty(0, np.int64)) for _ in range(4)]
         self.pairs, self.times = _Column(np.empty(0, np.int64)), _Column(np.empty(0, np.int64))
         self.ends = _Column(np.zeros(1, np.int64))
@@ -245,7 +250,7 @@ class Chunks:
         self._clear()
         self.forgotten += 1
         self.number = {c: i for i, (c, _) in enumerate(often)}
-        self.spelled = [spelled[i] for i in rows]
+        self.spelled = [spelled[i] for i in rows] if self.spell else []
         for column, old in zip(self.numbers, numbers):
             column.append(old.values[rows])
         many = ends[rows + 1] - ends[rows]
@@ -259,10 +264,10 @@ class Chunks:
     def _align(self, new: list[str]) -> None:
         for at in range(0, len(new), 16384):
             some = new[at:at + 16384]
-            self.number.update(zip(some, range(len(self.spelled), len(self.spelled) + len(some))))
+            self.number.update(zip(some, range(self.used.n, self.used.n + len(some))))
             found = Aligned(some, self.pair)
             links = found.distinct()
-            self.spelled += found.spelled(self.pair)
+            self.spelled += found.spelled(self.pair) if self.spell else []
             for column, values in zip(self.numbers, (found.fit, found.a.n, found.b.n, found.groups)):
                 column.append(values.astype(np.int64))
             self.pairs.append(links[1])
@@ -330,9 +335,9 @@ def pair_of(path_a: str, path_b: str) -> Pair:
 
 
 @lru_cache(maxsize=1)
-def chunks_of(path_a: str, path_b: str) -> Chunks:
-    """What this Python worker remembers, from task to task and from pass to pass."""
-    return Chunks(pair_of(path_a, path_b))
+def chunks_of(path_a: str, path_b: str, spell: bool) -> Chunks:
+    """What this Python worker remembers from task to task of one pass."""
+    return Chunks(pair_of(path_a, path_b), spell)
 
 
 class Measures:
@@ -375,7 +380,7 @@ class Measures:
 def _counted(path_a: str, path_b: str):
     """(pair, n): in how many of a task's documents a pair is linked."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, held, waiting, size = chunks_of(path_a, path_b), (np.empty(0, np.int64),) * 3, [], 0
+        chunks, held, waiting, size = chunks_of(path_a, path_b, False), (np.empty(0, np.int64),) * 3, [], 0
 
         def added() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             pairs = np.concatenate([held[1], *waiting])
@@ -518,7 +523,7 @@ def _looked_up(docs: DataFrame, path_a: str, path_b: str, text_col: str, known:
 
     def start() -> Callable[[list[str]], pa.Array]:
         counts, best = shared.value
-        chunks = chunks_of(path_a, path_b)
+        chunks = chunks_of(path_a, path_b, True)
         measures = Measures(chunks, counts, best)
 
         def run(texts: list[str]) -> pa.Array:
