@@ -20,9 +20,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.fit(docs.where(~language.is_held_out("doc_id")))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    told = language.predict(docs, model).select(F.struct("doc", "lang_pred").alias("told"))
-    # rows are told and chosen in one expression: a filter and a column of their own would run the model twice
-    kept = told.select(F.inline(F.filter(F.array("told"), lambda t: t["lang_pred"] != language.UNDETERMINED)))
+    told = language.predict(docs, model).withColumn("row", F.monotonically_increasing_id())
+    # a filter that needs the row's number stays above the model, which else would run once more for the filter
+    kept = told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("row") >= 0))
     return kept.select(*(F.col("lang_pred" if c == "lang" else f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
