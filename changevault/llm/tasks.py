@@ -15,11 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 import changevault
 from changevault.llm.text import slices, texts_of
 
+#: Rows go to Python workers in batches of about so many bytes, unless the session says otherwise: texts are long, and a
+#: batch lies in memory on both sides.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors once per application, so that it need not be installed there."""
+    """Hand this package to the executors once per application, so that it need not be installed there, and bound the
+    batches of the session."""
+    if _BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
