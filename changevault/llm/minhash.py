@@ -21,6 +21,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
 #: Lists of documents up to this length are broadcast, longer ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: A bucket with more members than buckets' rows / HOT_SHARE, and HOT_ROWS at least, is dealt out in parts of that size.
+HOT_SHARE, HOT_ROWS = 2048, 1024
 #: A part of a bucket has about so many texts and elements at most.
 PART_TEXTS, PART_ELEMENTS = 2048, 2_000_000
 
@@ -152,8 +154,10 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float = SIM
                                     "id long, node long, keys array<long>"))
     nodes = signed.groupBy("node").agg(F.min("id").alias("least_id"), F.first("keys").alias("keys"))
     buckets = nodes.select("node", "least_id", F.explode("keys").alias("key"))
-    centres = buckets.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last")
-    members = checkpoint(buckets.join(centres.select("key", "centre"), "key"))
+    centres = checkpoint(buckets.groupBy("key").agg(
+        F.min("node").alias("centre"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("centre < last"))
+    hot = _hot(centres)
+    members = checkpoint(_meet(buckets, centres.select("key", "centre"), hot))
 
     stars = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     involved = members.select("node", "least_id").distinct()
@@ -166,7 +170,7 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float = SIM
     links = compared.where(F.col("similarity") >= threshold).select("a", "b")
     classes = connected_components(links)
 
-    found = checkpoint(_across(members, classes, elements, threshold))
+    found = checkpoint(_across(members, classes, elements, threshold, hot))
     if not found.isEmpty():
         classes = connected_components(links.unionByName(found))
     named = nodes.drop("keys").join(classes, nodes["node"] == classes["id"], "left").select(
@@ -177,7 +181,25 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float = SIM
         F.col("id").alias("doc_id"), "class_id", "node", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
-def _across(members: DataFrame, classes: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+def _hot(centres: DataFrame) -> DataFrame:
+    """Large buckets, with the number of parts each is dealt out in; at most ``HOT_SHARE`` rows, so they may be broadcast."""
+    rows = centres.agg(F.sum("n")).first()[0] or 0
+    limit = max(HOT_ROWS, -(-rows // HOT_SHARE))
+    return F.broadcast(checkpoint(centres.where(F.col("n") > limit).select(
+        "key", F.ceil(F.col("n") / limit).cast("int").alias("parts"))))
+
+
+def _meet(rows: DataFrame, of_key: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` (with ``node``) joined with what ``of_key`` has for their ``key``. Rows of a large bucket are dealt out by
+    node, and its row of ``of_key`` is repeated for each part."""
+    part = F.pmod(F.xxhash64("node", F.lit(11)), F.coalesce("parts", F.lit(1))).cast("int")
+    copies = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    left = rows.join(hot, "key", "left").withColumn("part", part).drop("parts")
+    right = of_key.join(hot, "key", "left").withColumn("part", F.explode(copies)).drop("parts")
+    return left.join(right, ["key", "part"]).drop("part")
+
+
+def _across(members: DataFrame, classes: DataFrame, elements: DataFrame, threshold: float, hot: DataFrame) -> DataFrame:
     """Links (a, b) between members of one bucket that are in different classes so far.
 
     Pairs are not made as rows: the members of a bucket, if need be in parts, meet in tasks that compare their element sets
@@ -186,7 +208,7 @@ def _across(members: DataFrame, classes: DataFrame, elements: DataFrame, thresho
     own = members.join(classes, F.col("node") == F.col("id"), "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
     mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = own.join(mixed.select("key"), "key").join(elements, "node")
+    open_ = _meet(own, mixed.select("key"), hot).join(elements, "node")
     sizes = open_.groupBy("key").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / PART_TEXTS), F.ceil(F.sum(F.size("elements")) / PART_ELEMENTS)).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")

@@ -105,3 +105,16 @@ def test_chains_of_copies_are_found_across_classes_of_a_bucket(spark, monkeypatc
                 words_[rng.randrange(100)] = rng.choice(lexicon)
     docs = frame(spark, list(texts.items()), "doc_id long, text string").repartition(3)
     assert classes(minhash.near_copies(docs)) == plain(texts)
+
+
+def test_large_buckets_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT_ROWS", 3)
+    monkeypatch.setattr(minhash, "HOT_SHARE", 1 << 20)
+    texts = prose(20, 6)
+    docs = frame(spark, list(texts.items()), "doc_id long, text string").repartition(3)
+    assert classes(minhash.near_copies(docs)) == plain(texts)
+    rows = frame(spark, [(7, n) for n in range(900)] + [(8, 1), (9, 2)], "key long, node long")
+    hot = minhash._hot(frame(spark, [(7, 900), (8, 1)], "key long, n long"))
+    assert [r.key for r in hot.collect()] == [7]
+    met = minhash._meet(rows, frame(spark, [(7, 70), (8, 80)], "key long, centre long"), hot)
+    assert sorted(map(tuple, met.select("key", "node", "centre").collect())) == [(7, n, 70) for n in range(900)] + [(8, 1, 80)]
