@@ -1,8 +1,8 @@
 """Pack documents into training sequences, each window filled with lexical neighbours of the document that opens it.
 
 Term statistics are those of all documents. Documents are dealt to shards of bounded size by content: random projections
-of their BM25 vectors are clustered, and a cluster larger than a shard is dealt to several. A shard has an inverted index
-over its documents; the document that opens a window is the query, with all its terms, and unused neighbours fill the window
+of their BM25 vectors are clustered, and a cluster larger than a shard is dealt to several, in order of the centre that is
+next nearest to a document. A shard has an inverted index over its documents; the document that opens a window is the query, with all its terms, and unused neighbours fill the window
 in order of score. The last one is cut where the window is full, and its rest opens the next window.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.llm import tokens
 from changevault.llm.tasks import map_batches
+from changevault.llm.text import mix
 from changevault.session import checkpoint
 
 WINDOW = 1024
@@ -26,6 +27,8 @@ SHARD_DOCS = 4096
 SHARD_TOKENS = 6_000_000
 #: Length of the projected vectors, and different documents for each cluster that its centre is found from.
 PROJECTED, SAMPLED = 128, 32
+#: At most so many clusters, whatever the number of documents: bounds the sample, the centres and the pairs of centres.
+CENTRES = 512
 #: Terms found in more than one of so many documents of a shard are scored as a matrix, at most so many terms.
 COMMON, COMMON_TERMS = 32, 2048
 K1, B = 1.2, 0.75
@@ -159,6 +162,50 @@ def _nearest(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.concatenate([(vectors[i:i + 2048] @ centres.T).argmax(axis=1) for i in range(0, max(len(vectors), 1), 2048)])
 
 
+def _cells(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest and the next nearest centre of each vector, as one number."""
+    found = []
+    for i in range(0, len(vectors), 2048):
+        near = vectors[i:i + 2048] @ centres.T
+        first, rows = near.argmax(axis=1), np.arange(len(near))
+        near[rows, first] = -np.inf
+        found.append(first * len(centres) + near.argmax(axis=1))
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+class Plan(NamedTuple):
+    """Where the documents of each cell go: to shards from ``low`` on, of which the cell fills ``width``, in fractions."""
+
+    cell: np.ndarray  # ascending
+    low: np.ndarray
+    width: np.ndarray
+    last: np.ndarray  # the last shard of the cell's cluster
+
+    def shards(self, cell: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        """``spread`` is an even fraction for each document, which deals a cell out to the shards that it reaches into."""
+        at = np.minimum(np.searchsorted(self.cell, cell), len(self.cell) - 1)
+        return np.minimum((self.low[at] + spread * self.width[at]).astype(np.int64), self.last[at])
+
+
+def _plan(cell: np.ndarray, docs: np.ndarray, tokens_: np.ndarray, clusters: int) -> Plan:
+    """Each cluster has as many shards as its documents or ids fill; its cells follow each other through them."""
+    order = np.argsort(cell)
+    cell, docs, tokens_ = cell[order], docs[order], tokens_[order]
+    of = cell // clusters
+    full = np.stack([docs / SHARD_DOCS, tokens_ / SHARD_TOKENS])  # in shards
+    total = np.stack([np.bincount(of, f, clusters) for f in full])
+    filled = total.max(axis=0)
+    parts = np.where(filled <= 1, 1, np.ceil(1.25 * filled)).astype(np.int64)
+    first = np.cumsum(parts) - parts
+    measure = np.where(total[0] >= total[1], 0, 1)[of]  # the bound that a cluster reaches first
+    size = full[measure, np.arange(len(cell))]
+    through = np.cumsum(size)
+    start = np.searchsorted(of, np.arange(clusters))
+    before = through - size - (np.append(0, through)[start])[of]
+    scale = (parts / np.maximum(filled, 1e-300))[of]
+    return Plan(cell, first[of] + before * scale, size * scale, (first + parts - 1)[of])
+
+
 def _centres(sample: np.ndarray, clusters: int) -> np.ndarray:
     """Spherical k-means from the sample's first rows."""
     if not len(sample):
@@ -229,10 +276,11 @@ def _corpus(encoded: DataFrame) -> tuple[int, Stats]:
 
 
 def _dealt(encoded: DataFrame, docs: int, stats: Stats) -> DataFrame:
-    """``encoded`` with ``shard``, by content alone."""
+    """``encoded`` with ``shard``, by content alone. The driver gets a sample and the sizes of cells, both bounded by
+    ``CENTRES``; equal documents have one cell and differ in ``hash`` alone, which spreads them."""
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(stats)
-    clusters = max(1, -(-2 * docs // SHARD_DOCS))
+    clusters = min(CENTRES, max(1, -(-2 * docs // SHARD_DOCS)))
 
     def project(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         projector = Projector(shared.value)
@@ -242,28 +290,30 @@ def _dealt(encoded: DataFrame, docs: int, stats: Stats) -> DataFrame:
 
     share = min(1.0, SAMPLED * clusters / max(docs, 1))
     drawn = encoded.select("ids", "n", F.xxhash64("ids").alias("text_hash")).where(
-        F.pmod("text_hash", F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates(["text_hash"])
+        F.pmod("text_hash", F.lit(1 << 40)) < int(share * (1 << 40))).dropDuplicates(["text_hash"])
     rows = sorted(map(tuple, map_batches(drawn, project, "text_hash long, v binary").collect()))
     centres = _centres(np.array([np.frombuffer(v, np.float32) for _, v in rows]), clusters)
     shared_centres = spark.sparkContext.broadcast(centres)
 
-    def cluster(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         projector = Projector(shared.value)
         for batch in batches:
-            found = _nearest(projector.project(_ids(batch)), shared_centres.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int64))], names=[*batch.schema.names, "cluster"])
-
-    clustered = map_batches(encoded, cluster, T.StructType([*encoded.schema, T.StructField("cluster", T.LongType())]))
-    sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)), F.sum("n")).collect()
-    parts = np.ones(len(centres), np.int64)
-    for which, n, size in sizes:
-        filled = max(n / SHARD_DOCS, size / SHARD_TOKENS)
-        parts[which] = 1 if filled <= 1 else int(np.ceil(1.25 * filled))
-    first = np.cumsum(parts) - parts
-    at = F.col("cluster") + 1
-    starts, counts = (F.lit(x.tolist()).cast("array<long>") for x in (first, parts))
-    return clustered.select("doc_id", "ids", "n", "hash", (F.element_at(starts, at.cast("int")) + F.pmod(
-        "hash", F.element_at(counts, at.cast("int")))).alias("shard"))
+            found = _cells(projector.project(_ids(batch)), shared_centres.value)
+            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("n")], names=["cell", "n"])
+
+    sizes = map_batches(encoded.select("ids", "n"), cells, "cell long, n long").groupBy("cell").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens")).collect()
+    plan = spark.sparkContext.broadcast(_plan(*np.array(sizes, np.int64).reshape(-1, 3).T, len(centres)))
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        projector = Projector(shared.value)
+        for batch in batches:
+            found = _cells(projector.project(_ids(batch)), shared_centres.value)
+            spread = mix(batch.column("hash").to_numpy().view(np.uint64)) * 2.0**-64
+            shard = plan.value.shards(found, spread)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard)], names=[*batch.schema.names, "shard"])
+
+    return map_batches(encoded, deal, T.StructType([*encoded.schema, T.StructField("shard", T.LongType())]))
 
 
 def _shards(batches: Iterable[pa.RecordBatch], most_docs: int, most_tokens: int

@@ -130,3 +130,27 @@ def test_all_terms_of_a_document_and_the_statistics_of_the_corpus_count():
     stats = packing._stats(np.full(500, 3), 1000, 50.0)
     want = [sum(stats.idf[t] * 2.2 / (1 + 1.2 * (0.25 + 0.75 * len(d) / 50)) for t in set(d[:-1]) & set(docs[0][:-1])) for d in docs]
     np.testing.assert_allclose(packing.Index(docs, stats).scores(0), want, rtol=1e-4)
+
+
+def test_cells_fill_the_shards_of_their_cluster_evenly():
+    rng = np.random.default_rng(6)
+    cell, docs = np.array([5, 0, 1, 2, 4, 8]), np.array([10, 3000, 9000, 9, 6000, 100])  # clusters 0, 1 and 2
+    plan = packing._plan(cell, docs, docs * 500, 3)
+    given = np.repeat(cell, docs)
+    shard = plan.shards(given, rng.random(len(given)))
+    assert {c: sorted(set(shard[given // 3 == c].tolist())) for c in range(3)} == {0: [0, 1, 2, 3], 1: [4, 5], 2: [6]}
+    assert np.bincount(shard).max() <= packing.SHARD_DOCS  # a cell of any size is dealt out
+    assert set(shard[given == 0].tolist()) == {0}  # cells stay together as far as they can
+
+
+def test_few_centres_still_keep_topics_together(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 6)
+    monkeypatch.setattr(packing, "CENTRES", 4)
+    texts = topic_texts()
+    pieces = packing.pack(frame(spark, texts, "doc_id long, text string"), BYTE).collect()
+    check_pieces(pieces, dict(texts))
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    queries.op9_packing(spark, SF)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 8 << 20
