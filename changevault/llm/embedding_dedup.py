@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.llm.components import connected_components
-from changevault.llm.minhash import near
+from changevault.llm.minhash import DIGEST, digest, near
 from changevault.llm.tasks import cells, map_batches
 from changevault.session import checkpoint
 
@@ -146,8 +146,8 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     as rows, and are kept or not together. A NULL identifier takes part, but names a component only where there is no
     other. An empty frame gives an empty frame. Labels and other columns are not read.
 
-    Equal vectors are collapsed before the search, so any number of them cost one. Blocks of more than ``PART``
-    vectors are dealt out as pairs of parts. Every linked pair comes out once, from the first layout that holds it.
+    Equal vectors are collapsed before the search, so any number of them cost one; 128 bits of hashes tell vectors apart.
+    Blocks of more than ``PART`` vectors are dealt out as pairs of parts. Every linked pair comes out once, from the first layout that holds it.
     """
     kind = vectors.schema[vector_col].dataType
     single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
@@ -157,8 +157,9 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         as_double, lambda x: x != 0)
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.when(fit, F.transform(as_double, lambda x: x + F.lit(0.0))).cast(kind).alias("vector"))
-    usable = rows.where("vector IS NOT NULL").withColumn("node", F.xxhash64("vector"))
-    distinct = checkpoint(usable.groupBy("node", "vector").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies")))
+    usable = rows.where("vector IS NOT NULL").select("id", "vector", *digest(F.col("vector")))
+    distinct = checkpoint(usable.groupBy(*DIGEST, "vector").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+                          .withColumn("node", F.monotonically_increasing_id()))
     found = None
     for dim, n in distinct.groupBy(F.size("vector").alias("dim")).count().collect():  # few lengths: one for each model
         p = plan(n, dim, cosine)
@@ -168,15 +169,15 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.lit(True).alias("kept"))
     found = checkpoint(found)
-    classes = distinct.select("node", "least_id", "copies")
+    classes = distinct.select("node", *DIGEST, "least_id", "copies")
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     linked = both.join(classes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
     component = connected_components(found)
     named = classes.join(component, F.col("node") == F.col("id"), "left").select(
-        "node", "least_id", "copies", F.coalesce("component", "node").alias("component"))
+        "node", *DIGEST, "least_id", "copies", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     told = named.join(names, "component").join(linked, F.col("node") == F.col("a"), "left").select(
-        "node", "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        *DIGEST, "component_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return _answers(rows, told)
 
 
@@ -201,8 +202,9 @@ def _search_all(distinct: DataFrame, p: Plan, kind: str) -> DataFrame:
 
 def _answers(rows: DataFrame, told: DataFrame) -> DataFrame:
     """Every row with what its class was told; rows without a usable vector stand alone."""
-    joined = rows.select("id", F.when(F.col("vector").isNotNull(), F.xxhash64("vector")).alias("node")).join(told, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    own = [F.when(F.col("vector").isNotNull(), h).alias(c) for h, c in zip(digest(F.col("vector")), DIGEST)]
+    joined = rows.select("id", *own).join(told, DIGEST, "left")
+    component = F.when(F.col(DIGEST[0]).isNull(), F.col("id")).otherwise(F.col("component_id"))
     return joined.select(
         F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

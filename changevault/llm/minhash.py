@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from changevault.llm.components import connected_components
 from changevault.llm.tasks import cells, map_batches
@@ -19,6 +19,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares one of 24 bands of 6 coordinates with probability 0.9993.
 BANDS, ROWS = 24, 6
+#: The two hashes, 128 bits together, that tell texts apart.
+DIGEST = ["hash_a", "hash_b"]
 #: Lists of documents up to this length are broadcast, longer ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: A bucket with more members than buckets' rows / HOT_SHARE, and HOT_ROWS at least, is dealt out in parts of that size.
@@ -97,7 +99,7 @@ def _signatures(weighted: bool, bands: int, rows: int, words: int):
             keys = band_keys(earliest_darts(doc, element, len(texts), bands * rows), bands, rows)
             some = np.bincount(doc, minlength=len(texts)) > 0
             lists = _lists(keys[some].ravel(), np.where(some, bands, 0))
-            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("node"), lists], ["id", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("id", *DIGEST)), lists], ["id", *DIGEST, "keys"])
     return run
 
 
@@ -110,6 +112,11 @@ def _elements(weighted: bool, words: int):
     return run
 
 
+def digest(value: Column) -> list[Column]:
+    """Two hashes of a value with seeds of their own, named as ``DIGEST``."""
+    return [F.xxhash64(value).alias(DIGEST[0]), F.xxhash64(F.lit(1), value).alias(DIGEST[1])]
+
+
 def near(small: DataFrame) -> DataFrame:
     """A hint to broadcast where the frame, whose size is counted here, is short; else it is joined by a shuffle."""
     return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
@@ -135,7 +142,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is its smallest identifier and the row that bears it stays. Equal texts are one class, so a NULL text counts as an
     empty one, and texts without words are linked with nothing else. A text of fewer words is one shingle. A NULL
     identifier takes part, but names a class only where there is no other; repeated rows are one document and all stay
-    or go. Other columns are not read. An empty frame gives an empty frame. Texts are told apart by 64-bit hashes.
+    or go. Other columns are not read. An empty frame gives an empty frame. Texts are told apart by 128 bits of hashes.
 
     Candidates share a band. Every member of a band's bucket is first compared with the bucket's least member, so a
     bucket of any size gives one pair for each member. Where members of a bucket are still in different classes after
@@ -147,23 +154,24 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float = SIMILARITY, weighted: bool = False,
              bands: int = BANDS, rows: int = ROWS, words: int = SHINGLE_WORDS) -> DataFrame:
-    """What :func:`near_copies` returns, with ``node``, the hash of the row's text."""
+    """What :func:`near_copies` returns, with the hashes of the row's text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn("node", F.xxhash64("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *digest(text))
     signed = checkpoint(map_batches(source, _signatures(weighted, bands, rows, words),
-                                    "id long, node long, keys array<long>"))
-    nodes = signed.groupBy("node").agg(F.min("id").alias("least_id"), F.first("keys").alias("keys"))
-    buckets = nodes.select("node", "least_id", F.explode("keys").alias("key"))
+                                    "id long, hash_a long, hash_b long, keys array<long>"))
+    # texts are numbered, so that links are pairs of longs; the checkpoint keeps the numbers
+    nodes = checkpoint(signed.groupBy(*DIGEST).agg(F.min("id").alias("least_id"), F.first("keys").alias("keys"))
+                       .withColumn("node", F.monotonically_increasing_id()))
+    buckets = nodes.select("node", F.explode("keys").alias("key"))
     centres = checkpoint(buckets.groupBy("key").agg(
         F.min("node").alias("centre"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("centre < last"))
     hot = _hot(centres)
     members = checkpoint(_meet(buckets, centres.select("key", "centre"), hot))
 
     stars = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    involved = members.select("node", "least_id").distinct()
-    chosen = source.withColumn("least_id", F.coalesce("id", F.lit(0))).join(
-        near(involved.withColumn("least_id", F.coalesce("least_id", F.lit(0)))), ["node", "least_id"], "left_semi",
-    ).select("node", "text")
+    involved = nodes.select("node", *DIGEST, F.coalesce("least_id", F.lit(0)).alias("id")).join(
+        members.select("node").distinct(), "node", "left_semi")
+    chosen = source.withColumn("id", F.coalesce("id", F.lit(0))).join(near(involved), [*DIGEST, "id"]).select("node", "text")
     elements = checkpoint(map_batches(chosen, _elements(weighted, words), "node long, elements array<long>")
                           .dropDuplicates(["node"]))
     compared = checkpoint(similarities(stars, elements))
@@ -174,11 +182,11 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float = SIM
     if not found.isEmpty():
         classes = connected_components(links.unionByName(found))
     named = nodes.drop("keys").join(classes, nodes["node"] == classes["id"], "left").select(
-        "node", "least_id", F.coalesce("component", "node").alias("component"))
+        *DIGEST, "least_id", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    class_of = named.join(names, "component").select("node", "class_id")
-    return signed.select("id", "node").join(class_of, "node").select(
-        F.col("id").alias("doc_id"), "class_id", "node", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+    class_of = named.join(names, "component").select(*DIGEST, "class_id")
+    return signed.select("id", *DIGEST).join(class_of, DIGEST).select(
+        F.col("id").alias("doc_id"), "class_id", *DIGEST, F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def _hot(centres: DataFrame) -> DataFrame:
@@ -287,7 +295,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs`` that stay. Rows are told apart by identifier and text, so of two texts under one identifier
     only the one that has to go goes."""
     gone = checkpoint(_classed(docs, id_col, text_col).where("NOT kept").select(
-        F.col("doc_id").alias("__gone"), F.col("node").alias("__node")).distinct())
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone")) & (
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__node"))
+        F.col("doc_id").alias("__gone"), *(F.col(c).alias(f"__{c}") for c in DIGEST)).distinct())
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone"))
+    for own, c in zip(digest(F.coalesce(F.col(text_col), F.lit(""))), DIGEST):
+        same &= own == F.col(f"__{c}")
     return docs.join(near(gone), same, "left_anti")

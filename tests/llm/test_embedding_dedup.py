@@ -3,6 +3,8 @@ import random
 
 from helpers import SF, components, cosine, frame
 
+from pyspark.sql import functions as F
+
 from changevault.llm import embedding_dedup, queries
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -51,6 +53,14 @@ def test_odd_vectors_link_with_nothing(spark):
     assert got[1] == (3, 1, True) and got[14] == (3, 1, False) and got[12] == (1, 11, False)
 
 
+def test_vectors_that_share_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "digest", lambda value: [
+        F.size(value).cast("long").alias("hash_a"), F.xxhash64(value).alias("hash_b")])
+    rows = [(1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0), (3, [2.0, 0.0], 0), (4, [1.0, 0.0], 0), (5, [0.0, -1.0], 0)]
+    assert answers(embedding_dedup.near_copies(frame(spark, rows, SCHEMA))) == [
+        (1, 2, 1), (2, 0, 2), (3, 2, 1), (4, 2, 1), (5, 0, 5)]
+
+
 def test_empty_and_unusable_tables(spark):
     assert embedding_dedup.near_copies(frame(spark, [], SCHEMA)).count() == 0
     assert answers(embedding_dedup.near_copies(frame(spark, [(1, None, 0)], SCHEMA))) == [(1, 0, 1)]

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 from helpers import SF, components, frame, near_links
+from pyspark.sql import functions as F
 
 from changevault.llm import minhash, queries
 from changevault.llm.components import connected_components
@@ -55,6 +56,15 @@ def test_another_text_under_the_same_id_stays(spark):
     assert sorted(r.text for r in kept) == ["a b c d e f g", "something else that is on its own"]
 
 
+def test_texts_that_share_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "digest", lambda value: [
+        F.length(value).cast("long").alias("hash_a"), F.xxhash64(value).alias("hash_b")])
+    rows = [(1, "a b c d e f g"), (2, "g f e d c b a"), (3, "a b c d e f g"), (4, "A b c d e f g"), (5, "z y x w v u t")]
+    docs = frame(spark, rows, "doc_id long, text string")
+    assert classes(minhash.near_copies(docs)) == {1: (1, True), 2: (2, True), 3: (1, False), 4: (1, False), 5: (5, True)}
+    assert sorted(r.doc_id for r in minhash.drop_near_copies(docs).collect()) == [1, 2, 5]
+
+
 def test_coordinates_agree_as_often_as_sets_do():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 1 << 62, 1000).astype(np.uint64)
