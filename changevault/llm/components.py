@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from changevault.session import checkpoint
 
 
+def merge_roots(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inside a task: ``root`` names each row's class by its first row; links (u, v) of row numbers merge classes. So what a
+    group's links connect leaves the task as one row for each member, not for each pair."""
+    while True:
+        a, b = root[u], root[v]
+        apart = a != b
+        if not apart.any():
+            return root
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _least(edges: DataFrame) -> DataFrame:
     """Every edge (u, v) with the least v of its u. An aggregate and a join, so a hub may have any number of links."""
     return edges.join(edges.groupBy("u").agg(F.min("v").alias("least")), "u")

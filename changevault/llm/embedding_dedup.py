@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from changevault.llm.components import connected_components
+from changevault.llm.components import connected_components, merge_roots
 from changevault.llm.minhash import DIGEST, digest, near
 from changevault.llm.tasks import cells, map_batches
 from changevault.session import checkpoint
@@ -80,24 +80,25 @@ def _blocks(p: Plan):
                 keys = (bits << np.arange(p.k)).sum(axis=2) | (np.arange(p.layouts) << 32)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(piece.num_rows + 1, dtype=np.int32) * p.layouts), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([piece.column("node"), piece.column("vector"), lists],
-                                                 ["node", "vector", "keys"])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("node", "copies", "vector")), lists],
+                                                 ["node", "copies", "vector", "keys"])
     return run
 
 
 class _Block:
     """Vectors of one part of a block, with what is compared."""
 
-    def __init__(self, p: Plan, node: np.ndarray, vector: np.ndarray, directions: tuple[np.ndarray, np.ndarray]) -> None:
-        self.node, self.unit = node, _unit(vector)
+    def __init__(self, p: Plan, rows: pa.Table, directions: tuple[np.ndarray, np.ndarray]) -> None:
+        self.node, self.copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
+        self.unit = _unit(_matrix(pa.concat_arrays(rows.column("vector").chunks)))
         layouts, counted = directions
         self.place = (self.unit @ counted.T).astype(np.float32)
-        sides = (self.unit @ layouts.T > 0).reshape(len(node), p.layouts, p.k)
+        sides = (self.unit @ layouts.T > 0).reshape(len(self.node), p.layouts, p.k)
         self.keys = (sides.astype(np.int64) << np.arange(p.k)).sum(axis=2)
 
 
 def _links(p: Plan, layout: int, a: _Block, b: _Block, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs between two parts, in tiles. A pair that an earlier layout also holds is left to that one."""
+    """Linked pairs between two parts, as row numbers, in tiles. A pair that an earlier layout also holds is left to that one."""
     for i in range(0, len(a.node), 512):
         for j in range(0, len(b.node), 512):
             if same and j < i:
@@ -115,23 +116,35 @@ def _links(p: Plan, layout: int, a: _Block, b: _Block, same: bool) -> Iterator[t
                 close = np.einsum("ij,ij->i", a.unit[u], b.unit[v]) >= p.cosine
                 u, v = u[close], v[close]
                 first = (a.keys[u] == b.keys[v]).argmax(axis=1) == layout if p.k else np.ones(len(u), bool)
-                yield a.node[u[first]], b.node[v[first]]
+                yield u[first], v[first]
+
+
+def _told(a: _Block, b: _Block, same: bool, links: Iterable[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row for each vector that is linked: a member ``b`` of what links connect here, how many rows it is linked to."""
+    node, copies = (a.node, a.copies) if same else (np.concatenate([a.node, b.node]), np.concatenate([a.copies, b.copies]))
+    root, n = np.arange(len(node)), np.zeros(len(node), np.int64)
+    for u, v in links:
+        v = v if same else v + len(a.node)
+        np.add.at(n, u, copies[v])
+        np.add.at(n, v, copies[u])
+        root = merge_roots(root, u, v)
+    some = n > 0
+    return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(node[root[some]]), pa.array(n[some])], ["a", "b", "n"])
 
 
 def _search(p: Plan):
-    """Over rows (key, part pair, half, node, vector) sorted by these."""
+    """Over rows (key, part pair, half, node, copies, vector) sorted by the first three."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions = p.directions()
 
         def block(half: list[pa.RecordBatch]) -> _Block:
-            rows = pa.Table.from_batches(half).combine_chunks()
-            return _Block(p, rows.column("node").to_numpy(), _matrix(pa.concat_arrays(rows.column("vector").chunks)), directions)
+            return _Block(p, pa.Table.from_batches(half).combine_chunks(), directions)
 
         for (key, low, high), halves in cells(batches):
             own = [block(half) for half in halves if half]
             if len(own) == 2 or low == high:
-                for a, b in _links(p, key >> 32, own[0], own[-1], low == high):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                a, b, same = own[0], own[-1], low == high
+                yield _told(a, b, same, _links(p, key >> 32, a, b, same))
     return run
 
 
@@ -147,7 +160,9 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     other. An empty frame gives an empty frame. Labels and other columns are not read.
 
     Equal vectors are collapsed before the search, so any number of them cost one; 128 bits of hashes tell vectors apart.
-    Blocks of more than ``PART`` vectors are dealt out as pairs of parts. Every linked pair comes out once, from the first layout that holds it.
+    Blocks of more than ``PART`` vectors are dealt out as pairs of parts. Every linked pair is counted once, in the first
+    layout that holds it; what leaves a task is a row for each linked vector of a block, with its number of links, not a
+    row for each link.
     """
     kind = vectors.schema[vector_col].dataType
     single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
@@ -163,16 +178,15 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     found = None
     for dim, n in distinct.groupBy(F.size("vector").alias("dim")).count().collect():  # few lengths: one for each model
         p = plan(n, dim, cosine)
-        links = _search_all(distinct.where(F.size("vector") == dim).select("node", "vector"), p, kind)
+        links = _search_all(distinct.where(F.size("vector") == dim).select("node", "copies", "vector"), p, kind)
         found = links if found is None else found.unionByName(links)
     if found is None:
         return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.lit(True).alias("kept"))
     found = checkpoint(found)
     classes = distinct.select("node", *DIGEST, "least_id", "copies")
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = both.join(classes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    component = connected_components(found)
+    linked = found.groupBy("a").agg(F.sum("n").alias("others"))
+    component = connected_components(found.select("a", "b"))
     named = classes.join(component, F.col("node") == F.col("id"), "left").select(
         "node", *DIGEST, "least_id", "copies", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -183,21 +197,21 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
 def _search_all(distinct: DataFrame, p: Plan, kind: str) -> DataFrame:
     if p.k:
-        keyed = checkpoint(map_batches(distinct, _blocks(p), f"node long, vector {kind}, keys array<long>"))
+        keyed = checkpoint(map_batches(distinct, _blocks(p), f"node long, copies long, vector {kind}, keys array<long>"))
     else:
         keyed = distinct.withColumn("keys", F.array(F.lit(0).cast("long")))
-    laid = keyed.select("node", "vector", F.explode("keys").alias("key"))
+    laid = keyed.select("node", "copies", "vector", F.explode("keys").alias("key"))
     sizes = laid.groupBy("key").count().where(F.col("count") > 1)
     large = sizes.where(F.col("count") > PART).select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
     parts = F.coalesce("parts", F.lit(1))
     part = F.pmod(F.xxhash64("node", F.lit(7)), parts).cast("int")
     dealt = laid.join(near(checkpoint(large)), "key", "left").select(
-        "key", "node", "vector", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), lambda other: F.struct(
+        "key", "node", "copies", "vector", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), lambda other: F.struct(
             F.least(part, other).alias("low"), F.greatest(part, other).alias("high"),
             F.when(part <= other, 0).otherwise(1).alias("half")))).alias("cell"),
-    ).select("key", "cell.*", "node", "vector")
+    ).select("key", "cell.*", "node", "copies", "vector")
     order = ["key", "low", "high", "half"]
-    return map_batches(dealt.repartition("key", "low", "high").sortWithinPartitions(*order), _search(p), "a long, b long")
+    return map_batches(dealt.repartition("key", "low", "high").sortWithinPartitions(*order), _search(p), "a long, b long, n long")
 
 
 def _answers(rows: DataFrame, told: DataFrame) -> DataFrame:

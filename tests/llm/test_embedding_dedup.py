@@ -53,6 +53,19 @@ def test_odd_vectors_link_with_nothing(spark):
     assert got[1] == (3, 1, True) and got[14] == (3, 1, False) and got[12] == (1, 11, False)
 
 
+def test_a_group_of_near_copies_leaves_its_tasks_as_one_row_a_member(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "PART", 16)
+    rng = random.Random(4)
+    near = [(i, [1.0 + rng.random() / 10, rng.random() / 10, rng.random() / 10], 0) for i in range(60)]
+    rows = near + [(100 + i, v, 0) for i, (_, v, _) in enumerate(near[:10])] + [(200, [0.0, 1.0, 0.0], 0)]
+    table = frame(spark, rows, SCHEMA)
+    made = []
+    search = embedding_dedup._search_all
+    monkeypatch.setattr(embedding_dedup, "_search_all", lambda *a: made.append(search(*a)) or made[-1])
+    assert answers(embedding_dedup.near_copies(table)) == [(i, 69, 0) for i, _, _ in rows[:-1]] + [(200, 0, 200)]
+    assert made[0].count() == 60 * 4  # one for each part that a member's part meets
+
+
 def test_vectors_that_share_one_hash_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "digest", lambda value: [
         F.size(value).cast("long").alias("hash_a"), F.xxhash64(value).alias("hash_b")])
