@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changevault.llm.components import connected_components
+from changevault.llm.components import connected_components, merge_roots
 from changevault.llm.tasks import cells, map_batches
 from changevault.llm.text import mix, salted, shingles, text_pieces
 from changevault.session import checkpoint
@@ -208,10 +208,10 @@ def _meet(rows: DataFrame, of_key: DataFrame, hot: DataFrame) -> DataFrame:
 
 
 def _across(members: DataFrame, classes: DataFrame, elements: DataFrame, threshold: float, hot: DataFrame) -> DataFrame:
-    """Links (a, b) between members of one bucket that are in different classes so far.
+    """What links between members of one bucket that are in different classes so far connect, as (a, b).
 
     Pairs are not made as rows: the members of a bucket, if need be in parts, meet in tasks that compare their element sets
-    there and return only what is linked. A bucket of p parts is dealt out as its pairs of parts.
+    there and return a row for each member of what is connected. A bucket of p parts is dealt out as its pairs of parts.
     """
     own = members.join(classes, F.col("node") == F.col("id"), "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
@@ -270,24 +270,28 @@ def _rows_of(part: _Part, start: int, stop: int) -> _Part:
 
 
 def _compare(threshold: float, tile: int = 512):
-    def links(a: _Part, b: _Part) -> Iterator[pa.RecordBatch]:
+    """What links between different classes connect: one row for each member of a group but its first."""
+    def links(a: _Part, b: _Part) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(0, len(a.node), tile):
-            for j in range(0, len(b.node), tile):
+            for j in range(i if a is b else 0, len(b.node), tile):
                 x, y = _rows_of(a, i, i + tile), _rows_of(b, j, j + tile)
                 apart = x.component[:, None] != y.component[None, :]
                 if apart.any():
                     shared = _shared(x, y).astype(np.float64)
-                    near_ = apart & (shared / (x.size[:, None] + y.size[None, :] - shared) >= threshold)
-                    u, v = np.nonzero(near_ & (x.node[:, None] > y.node[None, :])) if a is b else np.nonzero(near_)
-                    yield pa.RecordBatch.from_arrays([pa.array(x.node[u]), pa.array(y.node[v])], ["a", "b"])
+                    u, v = np.nonzero(apart & (shared / (x.size[:, None] + y.size[None, :] - shared) >= threshold))
+                    yield u + i, v + j
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, low, high), halves in cells(batches):
-            if low == high:
-                own = _part(halves[0])
-                yield from links(own, own)
-            elif halves[0] and halves[1]:
-                yield from links(_part(halves[0]), _part(halves[1]))
+            parts = [_part(half) for half in halves if half]
+            if len(parts) == 2 or low == high:
+                a, b = parts[0], parts[-1]
+                node = a.node if a is b else np.concatenate([a.node, b.node])
+                root = np.arange(len(node))
+                for u, v in links(a, b):
+                    root = merge_roots(root, u, v if a is b else v + len(a.node))
+                tied = root != np.arange(len(node))
+                yield pa.RecordBatch.from_arrays([pa.array(node[tied]), pa.array(node[root[tied]])], ["a", "b"])
     return run
 
 

@@ -5,7 +5,7 @@ from helpers import SF, components, frame, near_links
 from pyspark.sql import functions as F
 
 from changevault.llm import minhash, queries
-from changevault.llm.components import connected_components
+from changevault.llm.components import connected_components, merge_roots
 from changevault.llm.text import shingles, words
 
 
@@ -89,6 +89,19 @@ def test_words_and_shingles():
     assert doc.tolist() == [0, 0, 1, 2] and h[0] == h[2]
 
 
+def test_roots_of_links_inside_a_task():
+    rng = np.random.default_rng(8)
+    root, pairs = np.arange(300), []
+    for _ in range(6):
+        u, v = rng.integers(0, 300, (2, 30))
+        pairs += list(zip(u.tolist(), v.tolist()))
+        root = merge_roots(root, u, v)
+    assert dict(enumerate(root.tolist())) == components(range(300), pairs)
+    chain = merge_roots(np.arange(1000), np.arange(999), np.arange(1, 1000))
+    assert not chain.any()
+    assert merge_roots(np.arange(3), np.array([], int), np.array([], int)).tolist() == [0, 1, 2]
+
+
 def test_components_of_long_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 200), (300, 299), (299, 300)]
     got = dict(tuple(r) for r in connected_components(frame(spark, links, "a long, b long")).collect())
