@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from changevault.model import ChangeVaultError, ObjectSpec, col
-from changevault.operators.lookup import HOT_BYTES, hot_keys, lookup_join
+from changevault.operators.lookup import HOT_BYTES, hot_among, hot_keys, key_counts, lookup_join
 from changevault.session import as_utc, checkpoint
 
 CANONICAL_ID = "canonical_id"
@@ -114,17 +114,16 @@ def restore_levels(edges: DataFrame, on_cycle: str = "raise") -> DataFrame:
     is no ordering constraint. Objects on or behind a cycle never settle: an error, or rows with
     a NULL level for ``on_cycle='null'``; :func:`restore_plan` orders these too.
     """
-    levels, open_edges = _peeled(edges)
-    stuck = open_edges.select("object").distinct()
-    if on_cycle == "null":
-        return levels.unionByName(stuck.withColumn("level", F.lit(None).cast("int")))
-    some = stuck.orderBy("object").take(5)
-    if some:
-        raise ChangeVaultError(
-            f"references form a cycle: {stuck.count()} objects are on or behind one, among them "
-            + ", ".join(str(r.object) for r in some) + "; on_cycle='null' returns them all"
-        )
-    return levels
+    ranks = _ranks(edges)
+    if on_cycle != "null":
+        stuck = ranks.where(F.col("rank") >= _CORE_RANK).select("object")
+        some = stuck.orderBy("object").take(5)
+        if some:
+            raise ChangeVaultError(
+                f"references form a cycle: {stuck.count()} objects are on or behind one, among them "
+                + ", ".join(str(r.object) for r in some) + "; on_cycle='null' returns them all"
+            )
+    return ranks.select("object", F.when(F.col("rank") < _CORE_RANK, F.col("rank")).alias("level"))
 
 
 FREE, CORE, BEHIND = "free", "core", "behind"
@@ -139,8 +138,58 @@ def restore_plan(edges: DataFrame) -> DataFrame:
     references to each other first, which are filled afterwards, at the level that follows. Objects behind have
     levels from there on, parents first.
     """
+    ranks, rank = _ranks(edges), F.col("rank")
+    highest = ranks.where(rank < _CORE_RANK).agg(F.max(rank)).first()[0]
+    level = 0 if highest is None else highest + 1
+    return ranks.select(
+        "object",
+        F.when(rank < _CORE_RANK, FREE).when(rank == _CORE_RANK, CORE).otherwise(BEHIND).alias("place"),
+        F.when(rank < _CORE_RANK, rank).otherwise(rank - _CORE_RANK + level).alias("level"),
+    )
+
+
+#: Rank of core objects, above that of every free one; behind them ranks go on.
+_CORE_RANK = 1 << 30
+#: Edges of which a round takes no longer than the start of its jobs.
+_FEW_EDGES = 1000
+
+
+def _ranks(edges: DataFrame) -> DataFrame:
+    """``(object, rank)``: one more than the highest parent's, 0 without parents, ``_CORE_RANK`` in the core.
+
+    Objects that no other refers to are set aside with their edges, as long as that halves the edges at least and
+    these are not few; they are on no cycle, and nothing else's rank depends on theirs. What remains is peeled, and
+    those set aside follow from it, the last first. So the rounds around the peeling handle twice the edges at most.
+    """
+    parent = F.when(F.col("object") != F.col("parent"), F.col("parent"))
+    told = checkpoint(edges.select(F.coalesce("object", "parent").alias("object"), parent.alias("parent")).where(
+        F.col("object").isNotNull()))
+    aside, n_open = [], told.where("parent IS NOT NULL").count()
+    while n_open > _FEW_EDGES:
+        counts = checkpoint(key_counts(told.where("parent IS NOT NULL"), "parent"))
+        named = counts.select(F.col("__key").alias("object"))
+        inner = checkpoint(told.where("parent IS NOT NULL").join(named, "object", "left_semi").select("object", "parent"))
+        n_inner = inner.count()
+        if 2 * n_inner > n_open:
+            break
+        aside.append((told, counts))
+        told, n_open = inner.unionByName(named.withColumn("parent", F.lit(None).cast(named.schema["object"].dataType))), n_inner
+    ranks = _peeled_ranks(told) if n_open else told.select("object").distinct().withColumn("rank", F.lit(0))
+    for told, counts in reversed(aside):
+        marks = ranks.select(F.col("object").alias("__parent"), F.col("rank").alias("__rank"))
+        open_edges = told.where("parent IS NOT NULL")
+        hot = hot_among(counts, open_edges.schema)
+        above = lookup_join(open_edges, marks, "parent", "__parent", hot=hot).select("object", (F.col("__rank") + 1).alias("rank"))
+        alone = told.where("parent IS NULL").select("object", F.lit(0).alias("rank"))
+        reached = above.unionByName(alone).groupBy("object").agg(F.max("rank").alias("rank"))
+        ranks = ranks.unionByName(checkpoint(reached.join(ranks.select("object"), "object", "left_anti")))
+    return ranks
+
+
+def _peeled_ranks(edges: DataFrame) -> DataFrame:
+    """The ranks by peeling from both ends."""
     free, left = _peeled(edges)
-    settled = free.select("object", F.lit(FREE).alias("place"), "level")
+    settled = free.select("object", F.col("level").alias("rank"))
     if left.isEmpty():
         return settled
     _, between = _peeled(left.select(F.col("parent").alias("object"), F.col("object").alias("parent")))
@@ -149,10 +198,8 @@ def restore_plan(edges: DataFrame) -> DataFrame:
     own = outside.select("object", F.col("object").alias("parent"))
     apart = outside.join(core.select(F.col("object").alias("parent")), "parent", "left_anti").select("object", "parent")
     behind, _ = _peeled(apart.unionByName(own))
-    highest = free.agg(F.max("level")).first()[0]
-    level = 0 if highest is None else highest + 1
-    return settled.unionByName(core.select("object", F.lit(CORE).alias("place"), F.lit(level).alias("level"))).unionByName(
-        behind.select("object", F.lit(BEHIND).alias("place"), (F.col("level") + level + 1).alias("level")))
+    return settled.unionByName(core.select("object", F.lit(_CORE_RANK).alias("rank"))).unionByName(
+        behind.select("object", (F.col("level") + _CORE_RANK + 1).alias("rank")))
 
 
 def _peeled(edges: DataFrame) -> tuple[DataFrame, DataFrame]:

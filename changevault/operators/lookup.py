@@ -23,19 +23,29 @@ def row_bytes(schema: T.StructType) -> int:
 def hot_keys(df: DataFrame, on: str, hot_bytes: int = HOT_BYTES) -> list[tuple]:
     """``(key, groups)`` of keys with more than ``hot_bytes`` of rows, NULL included, most frequent first.
 
-    One pass over the ``on`` column alone (partial counts, then one shuffle of those). At most as
-    many keys count as hot as there are shuffle partitions, which bounds what is broadcast; a key
+    One pass over the ``on`` column alone (partial counts, then one shuffle of those).
+    """
+    return hot_among(key_counts(df, on), df.schema, hot_bytes)
+
+
+def key_counts(df: DataFrame, on: str) -> DataFrame:
+    """``(__key, count)`` of a column's values, NULL included."""
+    return df.groupBy(col(on).alias("__key")).count()
+
+
+def hot_among(counts: DataFrame, schema: T.StructType, hot_bytes: int = HOT_BYTES) -> list[tuple]:
+    """:func:`hot_keys` of counted keys, whose rows have the types of ``schema``.
+
+    At most as many keys count as hot as there are shuffle partitions, which bounds what is broadcast; a key
     beyond those has no more rows than an average partition.
     """
-    rows = max(1, hot_bytes // row_bytes(df.schema))
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(1, hot_bytes // row_bytes(schema))
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
-        df.groupBy(col(on).alias("__hot"))
-        .count()
-        .where(F.col("count") > rows)
+        counts.where(F.col("count") > rows)
         .orderBy(F.col("count").desc())
         .limit(partitions)
-        .select("__hot", F.ceil(F.col("count") / rows).cast("int").alias("__groups"))
+        .select("__key", F.ceil(F.col("count") / rows).cast("int").alias("__groups"))
     )
     return [tuple(r) for r in found.collect()]
 

@@ -115,3 +115,53 @@ def test_canonical_ids_are_stable(spark):
     assert again["1"] == ids["1"]
     assigned = assign_canonical_id(later, spec, first)
     assert rows(assigned.select("Id", "canonical_id").distinct()) == sorted(ids.items())
+
+
+def plan_of(edges):
+    """The plan by plain loops, from its definition."""
+    nodes = {n for e in edges for n in e if n is not None}
+    up = {n: {p for o, p in edges if o == n and p not in (None, n)} for n in nodes}
+    levels = {}
+    while fresh := {n: 1 + max((levels[p] for p in up[n]), default=-1) for n in nodes - levels.keys() if up[n] <= levels.keys()}:
+        levels |= fresh
+    stuck = core = nodes - levels.keys()
+    while gone := {n for n in core if not any(n in up[c] for c in core)}:
+        core = core - gone
+    base = 1 + max(levels.values(), default=-1)
+    found = {n: ("free", level) for n, level in levels.items()} | {n: ("core", base) for n in core}
+    while rest := stuck - found.keys():
+        found |= {n: ("behind", 1 + max([base] + [found[p][1] for p in up[n] if p in stuck]))
+                  for n in rest if up[n] & stuck <= found.keys()}
+    return sorted(((n, *p) for n, p in found.items()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_plan_of_random_references(spark, monkeypatch, seed):
+    monkeypatch.setattr("changevault.operators.lineage._FEW_EDGES", 0)
+    rng = random.Random(seed)
+    edges = [(rng.randrange(30), rng.randrange(30)) for _ in range(24)]  # often cycles, some self references and copies
+    edges += [(100 + i, rng.randrange(30)) for i in range(60)] + [(200 + i, 100 + rng.randrange(60)) for i in range(150)]
+    edges += [(200 + i, rng.randrange(160)) for i in range(0, 150, 9)] + edges[:20] + [(None, 40), (41, None), (42, 42), (None, None)]
+    frame = spark.createDataFrame(edges, "object int, parent int")
+    want = plan_of(edges)
+    assert rows(restore_plan(frame)) == want
+    assert rows(restore_levels(frame, "null")) == sorted(((n, level if place == "free" else None) for n, place, level in want), key=repr)
+
+
+def test_plan_of_a_tree_stores_few_rows_an_edge(spark, monkeypatch):
+    """Each round used to store all edges still open: in a tree nearly all, down to the last level."""
+    from changevault.operators import lineage
+
+    stored = []
+
+    def counted(df, plain=lineage.checkpoint):
+        kept = plain(df)
+        stored.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(lineage, "checkpoint", counted)
+    tree = spark.range(4096).selectExpr("id AS object", "if(id > 0, id div 8, null) AS parent")
+    depth = {0: 0, 1: 1, 8: 2, 64: 3, 512: 4}
+    level = lambda n: max(d for first, d in depth.items() if n >= first)
+    assert rows(restore_plan(tree)) == sorted([(n, "free", level(n)) for n in range(4096)], key=repr)
+    assert sum(stored) < 3 * 4096
