@@ -79,7 +79,7 @@ def rewrite_parent_refs(
 
 def rewrite_refs_to_any(
     child: DataFrame, ref: str, parents: Mapping[str, DataFrame], canonical: str = CANONICAL_ID, hot_bytes: int = HOT_BYTES,
-    keep_unknown: bool = False,
+    keep_unknown: bool = False, hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Child rows with a reference that may name records of several objects replaced by one column for each object.
 
@@ -87,7 +87,7 @@ def rewrite_refs_to_any(
     parent's canonical id where it is of that object and NULL elsewhere, so at most one of them is filled; a key that
     two objects bear counts for the object named first. All parents are looked up in one join on the key, in the
     type of the reference. ``keep_unknown`` keeps the reference itself where none of these objects has its key, for
-    fields that may name other objects too.
+    fields that may name other objects too. ``hot`` is given by callers that know the reference's hot keys.
     """
     kind = child.schema[ref].dataType
     known = [
@@ -99,7 +99,7 @@ def rewrite_refs_to_any(
     if len(known) > 1:
         lookup = lookup.groupBy("__parent_key").agg(
             F.min("__place").alias("__place"), F.min_by("__parent_id", "__place").alias("__parent_id"))
-    joined = lookup_join(child, lookup, ref, "__parent_key", hot_bytes)
+    joined = lookup_join(child, lookup, ref, "__parent_key", hot_bytes, hot)
     unknown = [F.when(F.col("__place").isNull(), col(ref)).alias(ref)] if keep_unknown else []
     return joined.select(*[col(c) for c in child.columns if c != ref], *unknown, *[
         F.when(F.col("__place") == place, F.col("__parent_id")).alias(f"{ref}:{name}:{canonical}")

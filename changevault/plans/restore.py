@@ -13,7 +13,7 @@ from changevault.functions.records import stringify
 from changevault.model import RESTORE_BULK_SIZE, NothingToRestore, ObjectSpec, col, is_system
 from changevault.operators.latest import before, is_record, last_good_state
 from changevault.operators.lineage import CANONICAL_ID, CORE, reference_edges, restore_plan, rewrite_refs_to_any
-from changevault.operators.lookup import lookup_join
+from changevault.operators.lookup import hot_among, key_counts, lookup_join
 from changevault.session import checkpoint, local_frame
 from changevault.sources.canonical import read_ids, register_ids
 from changevault.sources.raw import read_columns, read_raw
@@ -108,12 +108,16 @@ def restore_related(
             if r.object == name:
                 parents.setdefault(r.field, []).append(r.parent)
         job = _Payload(by_name[name], plan[name].level, f"{path}/{plan[name].level:02d}-{name}", bulk_size)
-        rows = _with_ids(spark, by_name[name], root, last_good_state(read_raw(spark, by_name[name], root), by_name[name], at))
+        raw = read_raw(spark, by_name[name], root)
+        state, versions = last_good_state(raw, by_name[name], at), before(raw, by_name[name], at)
         own = [field for field, names in parents.items() if name in names]
-        waves = _record_waves(rows, by_name[name], own) if own and name not in core else None
+        waves = _record_waves(state, by_name[name], own) if own and name not in core else None
+        rows = _with_ids(spark, by_name[name], root, state)
         for field, names in parents.items():
             ids = {n: read_ids(spark, by_name[n], root) for n in names}
-            rows = rewrite_refs_to_any(rows, field, ids, keep_unknown=(name, field) in outward)
+            # counted on all versions, at least as many as rows, for a count of the rows would rank and join them once more
+            hot = hot_among(key_counts(versions, field), rows.schema)
+            rows = rewrite_refs_to_any(rows, field, ids, keep_unknown=(name, field) in outward, hot=hot)
         column = {(f, n): f"{f}:{n}:{CANONICAL_ID}" for f, names in parents.items() for n in names}
         if name in core:
             pages += job.in_two_steps(rows, [c for (_, n), c in column.items() if n in core])
@@ -125,8 +129,9 @@ def restore_related(
 
 
 def _with_ids(spark: SparkSession, spec: ObjectSpec, root: str, rows: DataFrame) -> DataFrame:
+    """Rows, one a key, with their ids; so no key is hot."""
     ids = read_ids(spark, spec, root).withColumnRenamed(spec.primary_key, "__id_key")
-    return lookup_join(rows, ids, spec.primary_key, "__id_key").drop("__id_key")
+    return lookup_join(rows, ids, spec.primary_key, "__id_key", hot=[]).drop("__id_key")
 
 
 def _record_waves(rows: DataFrame, spec: ObjectSpec, own: Sequence[str]) -> DataFrame:

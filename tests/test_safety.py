@@ -308,3 +308,26 @@ def test_objects_on_a_cycle_go_twice(spark, tmp_path, root):
     assert rows(read_extract(spark, pages[2].path, ["canonical_id", "MainId:Contact:canonical_id"])) == [(accounts["a1"], contacts["c1"])]
     assert rows(read_extract(spark, pages[3].path, ["Id", "ContactId:Contact:canonical_id"])) == [("k1", contacts["c2"])]
     assert rows(read_extract(spark, pages[4].path, ["canonical_id"])) == sorted([(contacts["c1"],), (contacts["c2"],)])
+
+
+def test_each_state_is_ranked_once(spark, tmp_path, root, monkeypatch):
+    """Looking for hot keys used to rank the versions and look up the ids again, for the key and for each reference."""
+    frame, counts = type(spark.range(1)), []
+
+    def noted(found, plain=frame.collect):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        if "__groups" in plan:
+            counts.append(plan)
+        return plain(found)
+
+    account, contact = ObjectSpec("Account"), ObjectSpec("Contact")
+    append_raw(spark.sql(STAMPED + "('a1'), ('a2') AS t(Id)"), account, root, "s")
+    append_raw(spark.sql(STAMPED + "('c1', 'a1', 'a2'), ('c2', NULL, 'a2') AS t(Id, AccountId, PayerId)"), contact, root, "s")
+    fields = spark.createDataFrame([("Contact", "AccountId", "reference", ["Account"]), ("Contact", "PayerId", "reference", ["Account"])], REFS)
+    monkeypatch.setattr(frame, "collect", noted)
+    pages = restore_related(spark, [account, contact], fields, root, "2025-01-01T00:00:00Z", str(tmp_path / "out"))
+    monkeypatch.undo()
+    assert counts and not [plan for plan in counts if "Window" in plan or "Join" in plan]
+    ids = ids_of(spark, account, root)
+    got = read_extract(spark, pages[-1].path, ["Id", "AccountId:Account:canonical_id", "PayerId:Account:canonical_id"])
+    assert rows(got) == [("c1", ids["a1"], ids["a2"]), ("c2", "", ids["a2"])]
